@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from vecspark.sources.schema import data_type
+
 
 def _raise_unless(ok: Column, value: Column, message: str) -> Column:
     dtype_error = F.raise_error(F.lit(message))
@@ -83,7 +85,7 @@ def array_from_text(
     A value of another depth or element type is an error, or null unless strict.
     """
     text = F.col(text) if isinstance(text, str) else text
-    dtype = T.DataType.fromDDL(element) if isinstance(element, str) else element
+    dtype = data_type(element)
     for _ in range(depth):
         dtype = T.ArrayType(dtype, True)
     parsed = F.from_json(text, dtype)

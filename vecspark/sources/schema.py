@@ -15,11 +15,25 @@ DEFAULT_VARCHAR = 16384
 MAX_ARRAY_DEPTH = 6
 
 
+_SIMPLE = {
+    t.simpleString(): t
+    for t in (
+        T.StringType(), T.BooleanType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(),
+        T.FloatType(), T.DoubleType(), T.DateType(), T.TimestampType(), T.TimestampNTZType(),
+    )
+}
+
+
+def data_type(dtype: T.DataType | str) -> T.DataType:
+    """A type object for a type or its name; simple names need no running session."""
+    if isinstance(dtype, T.DataType):
+        return dtype
+    return _SIMPLE.get(dtype) or T.DataType.fromDDL(dtype)
+
+
 def field(name: str, dtype: T.DataType | str, nullable: bool = False, **params) -> T.StructField:
     """A field; ``params`` (dim, max_length, srid, json ...) travel as metadata."""
-    if isinstance(dtype, str):
-        dtype = T.DataType.fromDDL(dtype)
-    return T.StructField(name, dtype, nullable, {k: v for k, v in params.items() if v is not None})
+    return T.StructField(name, data_type(dtype), nullable, {k: v for k, v in params.items() if v is not None})
 
 
 def vector_field(name: str, dim: int, nullable: bool = False) -> T.StructField:
@@ -50,7 +64,7 @@ def json_field(name: str, nullable: bool = False) -> T.StructField:
 def array_field(
     name: str, element: T.DataType | str, depth: int = 1, nullable: bool = False
 ) -> T.StructField:
-    dtype = T.DataType.fromDDL(element) if isinstance(element, str) else element
+    dtype = data_type(element)
     if not 1 <= depth <= MAX_ARRAY_DEPTH:
         raise ValueError(f"arrays nest 1 to {MAX_ARRAY_DEPTH} levels")
     for _ in range(depth):
@@ -60,7 +74,7 @@ def array_field(
 
 def collection_array_field(name: str, element: T.DataType | str, nullable: bool = False):
     """An array field of a collection, whose elements must be plain scalars."""
-    dtype = T.DataType.fromDDL(element) if isinstance(element, str) else element
+    dtype = data_type(element)
     if isinstance(dtype, (T.ArrayType, T.StringType)):
         raise ValueError("collection arrays hold numbers or booleans")
     return array_field(name, dtype, 1, nullable)
@@ -97,7 +111,7 @@ class TableSpec:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType(self.fields)
+        return T.StructType(list(self.fields))
 
     @property
     def names(self) -> list[str]:
