@@ -25,7 +25,8 @@ STOP_WORDS = (
 BM25_K1 = 1.2
 BM25_B = 0.75
 
-WORD = r"[\p{L}\p{N}]+"
+# Possessive: a run of letters and digits never gives characters back.
+WORD = r"[\p{L}\p{N}]++"
 _NOT_IN_WORD = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}"
 _CJK_OR_WORD = rf"[{_CJK}]+|[\p{{L}}\p{{N}}&&[^{_CJK}]]+"
@@ -46,7 +47,7 @@ def _text(column: Column | str) -> Column:
 
 
 def _runs(text: Column, pattern: str = WORD) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def _grams(run: Column, sizes: tuple[int, ...]) -> Column:
@@ -173,7 +174,7 @@ def _whole_word(words: list[str]) -> str:
 
 
 def term_frequency(token_array: Column, term: str) -> Column:
-    return F.size(F.filter(token_array, lambda t: t == F.lit(term)))
+    return F.size(token_array) - F.size(F.array_remove(token_array, F.lit(term)))
 
 
 def idf(n_docs: Column, doc_freq: Column) -> Column:

@@ -11,9 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vecspark.functions import text as tx
 from vecspark.operators.read import filtered
 from vecspark.operators.sparse import read_terms, write_postings
-
-POSTING_SCHEMA = "term string, tf bigint, doc_len int"
-
+from vecspark.session import materialise
 
 def document_tokens(columns: str | Sequence[str], parser: str = "space") -> Column:
     """Tokens of one column, or of several columns one after another."""
@@ -28,13 +26,27 @@ def document_tokens(columns: str | Sequence[str], parser: str = "space") -> Colu
 def postings(df: DataFrame, columns: str | Sequence[str], primary_key: str, parser: str = "space") -> DataFrame:
     """One row per (term, document): ``(term, <key>, tf, doc_len)``.
 
-    Terms of a document are counted map-side before the shuffle, which is by (key,
-    term), so a term found in every document does not gather anywhere.
+    A document is one row, so its terms are counted inside the row, as runs of equal
+    values in its sorted tokens. No shuffle, and nothing depends on how often a term
+    occurs elsewhere.
     """
-    tokens = df.select(primary_key, document_tokens(columns, parser).alias("tokens"))
-    terms = tokens.select(primary_key, F.size("tokens").alias("doc_len"), F.explode("tokens").alias("term"))
-    counted = terms.groupBy(primary_key, "doc_len", "term").agg(F.count("*").alias("tf"))
-    return counted.select("term", primary_key, "tf", "doc_len")
+    tokens = df.select(primary_key, F.sort_array(document_tokens(columns, parser)).alias("tokens"))
+    one = F.lit(1)
+    positions = F.when(F.size("tokens") > 0, F.sequence(one, F.size("tokens"))).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(
+        positions,
+        lambda i: (i == 1) | (F.element_at("tokens", i) != F.element_at("tokens", F.greatest(i - 1, one))),
+    )
+    runs = tokens.select(primary_key, "tokens", starts.alias("starts"))
+    counted = F.transform(
+        "starts",
+        lambda i, j: F.struct(
+            F.element_at("tokens", i).alias("term"),
+            (F.coalesce(F.get("starts", j + 1), F.size("tokens") + 1) - i).cast("bigint").alias("tf"),
+        ),
+    )
+    rows = runs.select(primary_key, F.size("tokens").alias("doc_len"), F.inline(counted))
+    return rows.select("term", primary_key, "tf", "doc_len")
 
 
 def document_frequency(term_postings: DataFrame) -> DataFrame:
@@ -127,7 +139,7 @@ def term_columns(tokens: Column, terms: Sequence[str], prefix: str = "") -> dict
     return columns
 
 
-def corpus_stats(df: DataFrame, n_terms: int, prefix: str = "") -> list[Column]:
+def corpus_stats(n_terms: int, prefix: str = "") -> list[Column]:
     """Aggregates for BM25 over columns made by :func:`term_columns`."""
     return [
         F.count("*").alias(f"{prefix}n"),
@@ -139,25 +151,27 @@ def corpus_stats(df: DataFrame, n_terms: int, prefix: str = "") -> list[Column]:
 def bm25_scores(
     df: DataFrame, query: str, columns: str | Sequence[str], primary_key: str, parser: str = "space"
 ) -> DataFrame:
-    """BM25 without an index: two scans, one for corpus totals and one for scores.
+    """BM25 without an index: ``(<key>, score)`` for rows with a query token.
 
-    The totals are a single row, read as a scalar subquery. Returns ``(<key>, score)``
-    for rows with at least one query token.
+    The text is read once. Its few counts per document are stored, because they are
+    needed twice: for the corpus totals (one row, read as a scalar subquery) and for
+    the scores.
     """
     terms = tx.query_tokens(query, parser)
     tokens = df.select(primary_key, document_tokens(columns, parser).alias("tokens"))
     counted = tokens.select(primary_key, *[c.alias(n) for n, c in term_columns(F.col("tokens"), terms).items()])
-    totals = counted.agg(*corpus_stats(counted, len(terms))).select(F.struct("*").alias("s"))
-    with_totals = counted.withColumn("_s", totals.scalar())
-    score = F.lit(0.0)
+    counted = materialise(counted, "bm25")
+    totals = counted.agg(*corpus_stats(len(terms))).select(F.struct("*").alias("s"))
     any_hit = F.lit(False)
     for i in range(len(terms)):
-        tf = F.col(f"tf{i}")
+        any_hit = any_hit | (F.col(f"tf{i}") > 0)
+    with_totals = counted.where(any_hit).withColumn("_s", totals.scalar())
+    score = F.lit(0.0)
+    for i in range(len(terms)):
         score = score + tx.bm25_term(
-            tf, F.col("len"), F.col("_s")["avg"], tx.idf(F.col("_s")["n"], F.col("_s")[f"df{i}"])
+            F.col(f"tf{i}"), F.col("len"), F.col("_s")["avg"], tx.idf(F.col("_s")["n"], F.col("_s")[f"df{i}"])
         )
-        any_hit = any_hit | (tf > 0)
-    return with_totals.where(any_hit).select(primary_key, score.alias("score"))
+    return with_totals.select(primary_key, score.alias("score"))
 
 
 def bm25_topk(

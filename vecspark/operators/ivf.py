@@ -12,6 +12,7 @@ import json
 import math
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -66,18 +67,22 @@ class IvfIndex:
         return spark.read.parquet(f"{self.path}/lists")
 
     def centres(self) -> np.ndarray:
-        return np.array(KMeansModel.load(f"{self.path}/centres").clusterCenters())
+        return _load_centres(f"{self.path}/centres")
 
     def codebooks(self) -> list[np.ndarray]:
-        return [
-            np.array(KMeansModel.load(f"{self.path}/codebook{i}").clusterCenters()) for i in range(self.m)
-        ]
+        return [_load_centres(f"{self.path}/codebook{i}") for i in range(self.m)]
 
     @property
     def default_nprobe(self) -> int:
         return math.ceil(self.nlist / 8)
 
 
+@lru_cache(maxsize=256)
+def _load_centres(path: str) -> np.ndarray:
+    """The centres of a stored model; a model folder is never rewritten."""
+    return np.array(KMeansModel.load(path).clusterCenters())
+
+
 def _unit(vector: Column) -> Column:
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     return F.transform(vector, lambda x: x.cast("double") / F.when(norm > 0, norm).otherwise(1.0))
@@ -185,9 +190,9 @@ def build(
             ]
     finally:
         sample.unpersist()
-    model.write().overwrite().save(f"{path}/centres")
+    model.write().save(f"{path}/centres")
     for i, book in enumerate(codebooks or []):
-        book.write().overwrite().save(f"{path}/codebook{i}")
+        book.write().save(f"{path}/codebook{i}")
     index = IvfIndex(
         path, kind, metric, primary_key, vector, shape["dim"], len(model.clusterCenters()), shape["n"], m,
         samples_per_list=samples_per_list,

@@ -17,6 +17,7 @@ from vecspark.functions import text as tx
 from vecspark.functions.distance import resolve_metric
 from vecspark.operators.fts import TextIndex
 from vecspark.operators.search import query_distance
+from vecspark.session import materialise
 
 # Page size and vector candidates where a request names none.
 DEFAULT_SIZE = 10
@@ -72,6 +73,7 @@ class _Request:
     def __init__(self, parsers: Mapping[str, str], default_parser: str):
         self.parsers, self.default_parser = parsers, default_parser
         self.fields: dict[str, _Field] = {}
+        self.columns: list[str] = []
 
     def field(self, name: str) -> _Field:
         if name not in self.fields:
@@ -80,7 +82,7 @@ class _Request:
         return self.fields[name]
 
     def collect(self, node: Mapping) -> None:
-        """Note the terms and phrases of a query tree."""
+        """Note the terms, phrases and plain columns of a query tree."""
         kind, spec = _only(node)
         if kind == "bool":
             for part in ("must", "should", "must_not", "filter"):
@@ -91,6 +93,8 @@ class _Request:
                 f = self.field(_weighted(name)[0])
                 for clause in tx.query_clauses(spec["query"], f.parser):
                     f.phrase(clause) if clause.is_phrase else f.term(clause.terms[0])
+        else:
+            self.columns += [c for c in spec if c != "boost" and c not in self.columns]
 
     def needs_text(self, node: Mapping) -> bool:
         """True when every hit must hold a query term."""
@@ -193,9 +197,13 @@ class _Request:
     # --- term counts, phrase hits and BM25 parts as columns ----------------------------
 
     def with_features(
-        self, df: DataFrame, key: str, indexes: Mapping[str, TextIndex], required: bool
+        self, df: DataFrame, key: str, indexes: Mapping[str, TextIndex], required: bool, carried: Sequence[str]
     ) -> DataFrame:
-        """Add the columns :meth:`compile` refers to, for every requested text column."""
+        """Add the columns :meth:`compile` refers to, for every requested text column.
+
+        Without an index the text is read once: its counts are stored with the
+        ``carried`` columns, for the corpus totals and then for the scores.
+        """
         scanned = [f for f in self.fields.values() if f.name not in indexes]
         for f in self.fields.values():
             if f.name in indexes:
@@ -211,7 +219,9 @@ class _Request:
             for j, clause in enumerate(f.phrases):
                 columns[f"{f.prefix}ph{j}"] = tx.phrase_match(tokens, clause)
             columns[f"{f.prefix}len"] = F.size(tokens)
-        df = df.withColumns(columns).drop(*[f"{f.prefix}tok" for f in scanned])
+        made = [c for f in self.fields.values() if f not in scanned for c in df.columns if c.startswith(f.prefix)]
+        df = df.select(*carried, *made, *[c.alias(name) for name, c in columns.items()])
+        df = materialise(df, "hybrid")
         totals = []
         for f in scanned:
             totals.append(F.count("*").alias(f"{f.prefix}n"))
@@ -320,7 +330,10 @@ def hybrid_search(
             request.collect(node)
     required = all(node is not None and request.needs_text(node) for node in (query, knn_filter) if node is not None)
     required = required and (knn is None or knn_filter is not None)
-    featured = request.with_features(df, primary_key, indexes or {}, required) if request.fields else df
+    carried = list(dict.fromkeys([primary_key, *request.columns, *([knn["field"]] if knn_filter else [])]))
+    featured = df
+    if request.fields:
+        featured = request.with_features(df, primary_key, indexes or {}, required, carried)
 
     vector_hits = None
     if knn is not None:
