@@ -30,13 +30,13 @@ def truncate_decimal(value: Column, scale: int) -> Column:
 def decimal_value(value: Column, precision: int, scale: int) -> Column:
     """A number as ``decimal(precision, scale)``: extra digits cut, overflow raised."""
     number = value.cast("double")
-    cut = truncate_decimal(number, scale)
+    target = f"decimal({precision},{scale})"
+    cut = truncate_decimal(number, scale).try_cast(target)
     digits = F.length(F.format_string("%.0f", F.floor(F.abs(number)).cast("double")))
-    # A leading zero counts as a digit, so 0.5 does not fit decimal(2, 2).
+    # A leading zero counts as a digit, so 0.5 does not fit decimal(1, 1).
     shown = F.least(decimal_digits(number), F.lit(scale))
-    return F.when(digits + shown > precision, _raise(number, f"decimal({precision},{scale})")).otherwise(
-        cut.cast(f"decimal({precision},{scale})")
-    )
+    misfit = (digits + shown > precision) | (cut.isNull() & number.isNotNull())
+    return F.when(misfit, _raise(number, target)).otherwise(cut)
 
 
 def decimal_digits(number: Column) -> Column:

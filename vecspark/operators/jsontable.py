@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from vecspark.functions.jsonrules import TIMESTAMP_FORMAT, JsonType, checked_value, converted_value
 from vecspark.operators.read import conjunction
-from vecspark.session import materialise
+from vecspark.session import number_rows
 from vecspark.sources.schema import TableSpec, field
 from vecspark.sources.tables import VersionedTable
 
@@ -258,28 +258,6 @@ def admin_ids(data: DataFrame, user_id: str | None = None) -> DataFrame:
     return scoped(data, user_id).select("admin_id").distinct()
 
 
-def number_rows(rows: DataFrame, start: int) -> DataFrame:
-    """``rows`` with consecutive ``jdata_id`` values after ``start``.
-
-    The rows are written first, so that their order is fixed; then the row counts of
-    the written tasks (one small row each) give every task its offset. No window over
-    the whole table.
-    """
-    stored = materialise(rows.withColumn("_mid", F.monotonically_increasing_id()), "number")
-    task = F.shiftright("_mid", 33)
-    counts = stored.groupBy(task.alias("_task")).agg(F.count("*").alias("n"))
-    offsets, total = [], start + 1
-    for row in counts.orderBy("_task").collect():
-        offsets.append((row["_task"], total))
-        total += row["n"]
-    if not offsets:
-        return stored.withColumn("jdata_id", F.col("_mid")).drop("_mid")
-    starts = rows.sparkSession.createDataFrame(offsets, "_task bigint, _start bigint")
-    placed = stored.withColumn("_task", task).join(F.broadcast(starts), "_task")  # one row per task
-    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn("jdata_id", F.col("_start") + local).drop("_task", "_start", "_mid")
-
-
 # --- the store ----------------------------------------------------------------------------
 
 _META = TableSpec(
@@ -419,7 +397,7 @@ class JsonTables:
             F.lit(user).alias("user_id"), F.lit(self.admin_id).alias("admin_id"),
             new_documents(rows, declared, given).alias("jdata"),
         )
-        numbered = number_rows(documents, last)
+        numbered = number_rows(documents, last, "jdata_id")
         count = numbered.count()
         store.append(numbered)
         return count

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -50,3 +50,25 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def number_rows(rows: DataFrame, start: int, column: str) -> DataFrame:
+    """``rows`` with consecutive numbers after ``start`` in ``column``.
+
+    The rows are written first, so that their order is fixed; then the row counts of
+    the written tasks (one small row each) give every task its offset. No window over
+    the whole table.
+    """
+    stored = materialise(rows.withColumn("_mid", F.monotonically_increasing_id()), "number")
+    task = F.shiftright("_mid", 33)
+    counts = stored.groupBy(task.alias("_task")).agg(F.count("*").alias("n"))
+    offsets, total = [], start + 1
+    for row in counts.orderBy("_task").collect():
+        offsets.append((row["_task"], total))
+        total += row["n"]
+    if not offsets:
+        return stored.withColumn(column, F.col("_mid")).drop("_mid")
+    starts = rows.sparkSession.createDataFrame(offsets, "_task bigint, _start bigint")
+    placed = stored.withColumn("_task", task).join(F.broadcast(starts), "_task")  # one row per task
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn(column, F.col("_start") + local).drop("_task", "_start", "_mid")
