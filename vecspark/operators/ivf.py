@@ -1,7 +1,7 @@
 """Inverted-file vector indexes: flat, scalar-quantised (SQ8) and product-quantised (PQ).
 
 Vectors are grouped by their nearest k-means centre and stored in one folder per
-list, so a search that probes a few lists reads only their files. Scans of SQ8 and
+list, so a search that probes a few lists opens only their files. Scans of SQ8 and
 PQ indexes read the short codes; only the best candidates are scored again on the
 float vectors.
 """
@@ -10,18 +10,22 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vecspark.functions.distance import as_float32, dense_distance, resolve_metric, score_matrix
+from vecspark.functions.distance import arrow_matrix, as_float32, dense_distance, resolve_metric, score_matrix
 from vecspark.operators.knn import knn_join
 from vecspark.operators.read import filtered
+from vecspark.sources.tables import _Files
 
 KINDS = ("flat", "sq8", "pq")
 # Defaults of an index.
@@ -33,16 +37,25 @@ REFRESH_ROWS = 10000
 REBUILD_FRACTION = 0.2
 # Most candidates a filtered search takes from the index before it turns exact.
 MAX_CANDIDATES = 100_000
+# Most bytes of centres that may travel to every executor.
+MAX_CENTRE_BYTES = 512 * 1024 * 1024
+# Rows x centres compared at once inside a task.
+_TILE = 4_000_000
 
 
 @dataclass(frozen=True)
 class IvfIndex:
-    """An index on disk. ``min_values``/``steps`` serve SQ8, ``m`` PQ."""
+    """An index on disk. ``min_values``/``steps`` serve SQ8, ``m`` PQ.
+
+    ``lists`` names the lists that have rows; with it a search opens the folders it
+    probes without listing the others.
+    """
 
     path: str
     kind: str
     metric: str
     primary_key: str
+    key_type: str
     vector: str
     dim: int
     nlist: int
@@ -51,6 +64,7 @@ class IvfIndex:
     min_values: tuple[float, ...] | None = None
     steps: tuple[float, ...] | None = None
     samples_per_list: int = SAMPLES_PER_LIST
+    lists: tuple[int, ...] = ()
 
     def save_meta(self, spark: SparkSession) -> None:
         row = [(json.dumps(asdict(self)),)]
@@ -58,39 +72,159 @@ class IvfIndex:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> IvfIndex:
-        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        for name in ("min_values", "steps"):
+        meta = json.loads(spark.read.schema("value string").text(f"{path}/meta").first()[0])
+        for name in ("min_values", "steps", "lists"):
             meta[name] = tuple(meta[name]) if meta[name] is not None else None
         return cls(**{**meta, "path": path})
 
-    def rows(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/lists")
-
-    def centres(self) -> np.ndarray:
-        return _load_centres(f"{self.path}/centres")
+    @property
+    def stored_columns(self) -> str:
+        codes = {"flat": "", "sq8": ", codes array<tinyint>", "pq": ", codes array<tinyint>, bias double"}
+        return f"`{self.primary_key}` {self.key_type}, `{self.vector}` array<float>{codes[self.kind]}, list_id int"
+
+    def rows(self, spark: SparkSession, lists: Sequence[int] | None = None) -> DataFrame:
+        """All rows, or those of some lists."""
+        root = f"{self.path}/lists"
+        reader = spark.read.schema(self.stored_columns).option("basePath", root)
+        if lists is None:
+            return reader.parquet(root)
+        wanted = sorted({int(i) for i in lists} & set(self.lists))
+        if not wanted:
+            return reader.parquet(root).where(F.lit(False))
+        return reader.parquet(*[f"{root}/list_id={i}" for i in wanted])
 
-    def codebooks(self) -> list[np.ndarray]:
-        return [_load_centres(f"{self.path}/codebook{i}") for i in range(self.m)]
+    @property
+    def quantiser(self) -> Quantiser:
+        return _load_quantiser(self.path, self.kind, self.m, self.min_values, self.steps)
 
     @property
     def default_nprobe(self) -> int:
         return math.ceil(self.nlist / 8)
 
 
-@lru_cache(maxsize=256)
-def _load_centres(path: str) -> np.ndarray:
-    """The centres of a stored model; a model folder is never rewritten."""
-    return np.array(KMeansModel.load(path).clusterCenters())
+@dataclass(frozen=True)
+class Quantiser:
+    """What turns vectors into lists and codes; small enough to be broadcast."""
 
+    centres: np.ndarray
+    codebooks: tuple[np.ndarray, ...] = ()
+    low: np.ndarray | None = None
+    steps: np.ndarray | None = None
 
-def _unit(vector: Column) -> Column:
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    return F.transform(vector, lambda x: x.cast("double") / F.when(norm > 0, norm).otherwise(1.0))
 
+@lru_cache(maxsize=32)
+def _load_quantiser(path, kind, m, low, steps) -> Quantiser:
+    """Read a quantiser once per index; its folders are never rewritten."""
+
+    def centres(name: str) -> np.ndarray:
+        return np.array(KMeansModel.load(f"{path}/{name}").clusterCenters())
 
-def _features(vector: Column, metric: str) -> Column:
-    """What centres are fitted to: unit vectors for cosine, the vectors otherwise."""
-    return array_to_vector(_unit(vector) if metric == "cosine" else vector)
+    books = tuple(centres(f"codebook{i}") for i in range(m)) if kind == "pq" else ()
+    if kind == "sq8":
+        return Quantiser(centres("centres"), books, np.array(low), np.array(steps))
+    return Quantiser(centres("centres"), books)
+
+
+# --- inside tasks ---------------------------------------------------------------------------
+
+
+def nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Position of the centre nearest to each row."""
+    norms = np.einsum("ij,ij->i", centres, centres)
+    found = np.empty(len(rows), dtype=np.int32)
+    step = max(1, _TILE // len(centres))
+    for start in range(0, len(rows), step):
+        block = rows[start : start + step]
+        found[start : start + step] = np.argmin(norms[None, :] - 2.0 * (block @ centres.T), axis=1)
+    return found
+
+
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    norms = np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.where(norms > 0, norms, 1.0)
+
+
+def _list_column(matrix: np.ndarray, value_type: pa.DataType) -> pa.Array:
+    offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1), value_type))
+
+
+def encoder(shared, kind: str, metric: str, dim: int):
+    """A ``mapInArrow`` function from (key, vector) to the stored columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value
+        for batch in batches:
+            _, rows = arrow_matrix(batch.column(1), dim)
+            if not len(rows):
+                continue
+            if metric == "cosine":
+                rows = unit_rows(rows)
+            lists = nearest(rows, q.centres)
+            columns, names = [batch.column(0), batch.column(1)], ["key", "vector"]
+            if kind == "sq8":
+                _, plain = arrow_matrix(batch.column(1), dim)
+                codes = np.clip(np.rint((plain - q.low) / q.steps), 0, 255) - 128
+                columns.append(_list_column(codes.astype(np.int8), pa.int8()))
+                names.append("codes")
+            elif kind == "pq":
+                codes, bias = _product_codes(rows, q.centres[lists], q.codebooks, metric)
+                columns += [_list_column(codes, pa.int8()), pa.array(bias, pa.float64())]
+                names += ["codes", "bias"]
+            columns.append(pa.array(lists, pa.int32()))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "list_id"])
+
+    return run
+
+
+def _product_codes(rows, centres, codebooks, metric) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of what is left after the centre, and the part of |v - q|^2 that no query changes."""
+    rest = rows - centres
+    width = rest.shape[1] // len(codebooks)
+    codes = np.empty((len(rows), len(codebooks)), dtype=np.int8)
+    coded = np.empty_like(rest)
+    for i, book in enumerate(codebooks):
+        part = slice(i * width, (i + 1) * width)
+        chosen = nearest(rest[:, part], book)
+        codes[:, i] = chosen - 128
+        coded[:, part] = book[chosen]
+    bias = np.zeros(len(rows))
+    if metric == "l2":
+        bias = np.einsum("ij,ij->i", coded, coded) + 2.0 * np.einsum("ij,ij->i", centres, coded)
+    return codes, bias
+
+
+def _rest_of_sample(shared, metric: str, dim: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres = shared.value
+        for batch in batches:
+            _, rows = arrow_matrix(batch.column(0), dim)
+            if metric == "cosine":
+                rows = unit_rows(rows)
+            rest = rows - centres[nearest(rows, centres)]
+            yield pa.RecordBatch.from_arrays([_list_column(rest, pa.float64())], ["rest"])
+
+    return run
+
+
+def _value_ranges(dim: int):
+    """Smallest and largest value per dimension, one row per task and dimension."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.full(dim, np.inf), np.full(dim, -np.inf)
+        for batch in batches:
+            _, rows = arrow_matrix(batch.column(0), dim)
+            if len(rows):
+                low, high = np.minimum(low, rows.min(axis=0)), np.maximum(high, rows.max(axis=0))
+        if np.isfinite(low).all():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(dim), pa.int32()), pa.array(low), pa.array(high)], ["pos", "low", "high"]
+            )
+
+    return run
+
+
+# --- building -------------------------------------------------------------------------------
 
 
 def _hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
@@ -101,45 +235,43 @@ def _hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.lit(SEED), key), F.lit(2**31)) < bound)
 
 
-def _fit(rows: DataFrame, k: int, column: str = "features") -> KMeansModel:
-    return KMeans(k=k, seed=SEED, maxIter=10, featuresCol=column, initMode="random").fit(rows)
+def _fit(rows: DataFrame, k: int) -> KMeansModel:
+    return KMeans(k=k, seed=SEED, maxIter=10, featuresCol="features", initMode="random").fit(rows)
 
 
-def _assign(df: DataFrame, model: KMeansModel, vector: str, metric: str, out: str) -> DataFrame:
-    model.setFeaturesCol("_features").setPredictionCol(out)
-    return model.transform(df.withColumn("_features", _features(F.col(vector), metric))).drop("_features")
+def _unit(vector: Column) -> Column:
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    return F.transform(vector, lambda x: x.cast("double") / F.when(norm > 0, norm).otherwise(1.0))
 
 
-def _sub(vector: str, i: int, width: int) -> Column:
-    return F.slice(F.col(vector), i * width + 1, width)
+def _fit_codebooks(sample: DataFrame, vector: str, metric: str, centres: np.ndarray, m: int) -> list[KMeansModel]:
+    """One k-means per sub-vector, fitted side by side on what the centres leave."""
+    dim = centres.shape[1]
+    width = dim // m
+    shared = sample.sparkSession.sparkContext.broadcast(centres)  # bounded by MAX_CENTRE_BYTES
+    rest = sample.select(vector).mapInArrow(_rest_of_sample(shared, metric, dim), "rest array<double>").cache()
+    try:
+        rest.count()
+        parts = [
+            rest.select(array_to_vector(F.slice("rest", i * width + 1, width)).alias("features")) for i in range(m)
+        ]
+        with ThreadPoolExecutor(max_workers=min(m, 8)) as pool:
+            return list(pool.map(inheritable_thread_target(sample.sparkSession)(lambda p: _fit(p, PQ_CENTRES)), parts))
+    finally:
+        rest.unpersist()
 
 
-def _encode(df: DataFrame, index: IvfIndex, codebooks: list[KMeansModel] | None = None) -> DataFrame:
-    """Add the ``codes`` column of a quantised index (bytes offset by 128)."""
-    if index.kind == "sq8":
-        levels = F.transform(
-            F.arrays_zip(F.col(index.vector).alias("x"), F.lit(list(index.min_values)).alias("lo"),
-                         F.lit(list(index.steps)).alias("st")),
-            lambda e: F.greatest(
-                F.lit(0.0),
-                F.least(F.lit(255.0), F.round((e["x"].cast("double") - e["lo"]) / e["st"])),
-            ).cast("int"),
-        )
-        return df.withColumn("codes", F.transform(levels, lambda v: (v - 128).cast("tinyint")))
-    if index.kind == "pq":
-        width = index.dim // index.m
-        models = codebooks or [KMeansModel.load(f"{index.path}/codebook{i}") for i in range(index.m)]
-        for i, model in enumerate(models):
-            model.setFeaturesCol("_part").setPredictionCol(f"_c{i}")
-            df = model.transform(df.withColumn("_part", array_to_vector(_sub(index.vector, i, width))))
-        codes = F.array(*[(F.col(f"_c{i}") - 128).cast("tinyint") for i in range(index.m)])
-        return df.withColumn("codes", codes).drop("_part", *[f"_c{i}" for i in range(index.m)])
-    return df
+def _encode(rows: DataFrame, index: IvfIndex, quantiser: Quantiser) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(quantiser)  # bounded by MAX_CENTRE_BYTES
+    source = rows.select(index.primary_key, F.col(index.vector).cast("array<float>"))
+    return source.mapInArrow(encoder(shared, index.kind, index.metric, index.dim), index.stored_columns)
 
 
-def _write_lists(df: DataFrame, path: str, mode: str = "error") -> None:
-    # Adaptive execution splits a list that holds a large share of the rows.
-    df.hint("rebalance", "list_id").write.mode(mode).partitionBy("list_id").parquet(path)
+def _write_lists(df: DataFrame, index: IvfIndex, mode: str = "error") -> IvfIndex:
+    """Write encoded rows; adaptive execution splits a list with a large share of them."""
+    df.hint("rebalance", "list_id").write.mode(mode).partitionBy("list_id").parquet(f"{index.path}/lists")
+    folders = _Files(df.sparkSession, index.path).names(f"{index.path}/lists")
+    return replace(index, lists=tuple(sorted(int(n[8:]) for n in folders if n.startswith("list_id="))))
 
 
 def build(
@@ -166,87 +298,85 @@ def build(
         raise ValueError("a PQ index needs m")
     spark = df.sparkSession
     rows = df.select(primary_key, vector).where(F.col(vector).isNotNull())
-    shape = rows.agg(
-        F.count("*").alias("n"), F.max(F.size(vector)).alias("dim"), F.min(F.size(vector)).alias("low")
-    ).first()
-    if not shape["n"]:
+    n, dim, low = rows.agg(F.count("*"), F.max(F.size(vector)), F.min(F.size(vector))).first()
+    if not n:
         raise ValueError("nothing to index")
-    if shape["dim"] != shape["low"]:
+    if dim != low:
         raise ValueError("vectors have different dimensions")
-    if kind == "pq" and shape["dim"] % m:
+    if kind == "pq" and dim % m:
         raise ValueError("m must divide the dimension")
-    nlist = min(nlist or math.ceil(math.sqrt(shape["n"])), shape["n"])
+    nlist = min(nlist or math.ceil(math.sqrt(n)), n)
+    if 8 * nlist * dim > MAX_CENTRE_BYTES:
+        raise ValueError(f"nlist x dimension is too large; at most {MAX_CENTRE_BYTES // (8 * dim)} lists")
     wanted = max(nlist * samples_per_list, PQ_CENTRES * samples_per_list if kind == "pq" else 0)
-    sample = _hash_sample(rows, primary_key, 1.2 * wanted / shape["n"]).cache()
+    sample = _hash_sample(rows, primary_key, 1.2 * wanted / n).cache()
     try:
-        model = _fit(sample.select(_features(F.col(vector), metric).alias("features")), nlist)
-        codebooks = None
-        if kind == "pq":
-            width = shape["dim"] // m
-            codebooks = [
-                _fit(sample.select(array_to_vector(_sub(vector, i, width)).alias("features")),
-                     min(PQ_CENTRES, shape["n"]))
-                for i in range(m)
-            ]
+        feature = _unit(F.col(vector)) if metric == "cosine" else F.col(vector)
+        model = _fit(sample.select(array_to_vector(feature).alias("features")), nlist)
+        centres = np.array(model.clusterCenters())
+        books = _fit_codebooks(sample, vector, metric, centres, m) if kind == "pq" else []
     finally:
         sample.unpersist()
-    model.write().save(f"{path}/centres")
-    for i, book in enumerate(codebooks or []):
-        book.write().save(f"{path}/codebook{i}")
     index = IvfIndex(
-        path, kind, metric, primary_key, vector, shape["dim"], len(model.clusterCenters()), shape["n"], m,
-        samples_per_list=samples_per_list,
+        path, kind, metric, primary_key, df.schema[primary_key].dataType.simpleString(), vector, dim, len(centres),
+        n, m, samples_per_list=samples_per_list,
     )
     if kind == "sq8":
-        low_high = rows.agg(
-            *[F.min(F.col(vector)[i].cast("double")).alias(f"lo{i}") for i in range(index.dim)],
-            *[F.max(F.col(vector)[i].cast("double")).alias(f"hi{i}") for i in range(index.dim)],
-        ).first()
-        low = [low_high[f"lo{i}"] for i in range(index.dim)]
-        high = [low_high[f"hi{i}"] for i in range(index.dim)]
-        steps = [(h - lo) / 255.0 or 1.0 for lo, h in zip(low, high)]
-        index = replace(index, min_values=tuple(low), steps=tuple(steps))
-    placed = _assign(rows, model, vector, metric, "list_id")
-    _write_lists(_encode(placed, index, codebooks), f"{path}/lists")
+        ranges = rows.select(vector).mapInArrow(_value_ranges(dim), "pos int, low double, high double")
+        ends = ranges.groupBy("pos").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("pos").collect()
+        steps = tuple((e["high"] - e["low"]) / 255.0 or 1.0 for e in ends)
+        index = replace(index, min_values=tuple(e["low"] for e in ends), steps=steps)
+    model.write().save(f"{path}/centres")
+    for i, book in enumerate(books):
+        book.write().save(f"{path}/codebook{i}")
+    index = _write_lists(_encode(rows, index, index.quantiser), index)
     index.save_meta(spark)
     return index
 
 
+# --- searching --------------------------------------------------------------------------------
+
+
 def probe_lists(index: IvfIndex, queries: np.ndarray, nprobe: int) -> np.ndarray:
     """The ``nprobe`` nearest lists of every query (queries x nprobe)."""
-    scores = score_matrix(index.centres(), queries, index.metric)
+    scores = score_matrix(index.quantiser.centres, queries, index.metric)
     scores = np.where(np.isnan(scores), np.inf, scores)
     return np.argsort(scores, axis=0, kind="stable")[:nprobe].T
 
 
+def _constant(values: np.ndarray) -> Column:
+    """An array constant, passed as one text rather than one literal per number."""
+    return F.from_json(F.lit(json.dumps([float(x) for x in values])), "array<double>")
+
+
 def _coarse_distance(index: IvfIndex, query: Sequence[float]) -> Column:
     """Distance of the query to the coded vectors of a quantised index."""
     if index.kind == "sq8":
-        decoded = F.transform(
-            F.arrays_zip(F.col("codes").alias("c"), F.lit(list(index.min_values)).alias("lo"),
-                         F.lit(list(index.steps)).alias("st")),
-            lambda e: e["lo"] + (e["c"].cast("double") + 128.0) * e["st"],
+        decoded = F.zip_with(
+            F.col("codes"),
+            F.arrays_zip(_constant(index.min_values).alias("lo"), _constant(index.steps).alias("st")),
+            lambda c, e: e["lo"] + (c.cast("double") + 128.0) * e["st"],
         )
         return dense_distance(decoded, list(query), index.metric)
-    width, parts = index.dim // index.m, np.asarray(query).reshape(index.m, -1)
+    q, vector = index.quantiser, np.asarray(query, dtype=float)
+    if index.metric == "cosine":
+        vector = unit_rows(vector[None, :])[0]
     dots = F.lit(0.0)
-    norms = F.lit(0.0)
-    assert parts.shape[1] == width
-    for i, book in enumerate(index.codebooks()):
-        slot = F.element_at("codes", i + 1).cast("int") + 129
-        if index.metric == "l2":
-            table = ((book - parts[i]) ** 2).sum(axis=1)
-        else:
-            table = book @ parts[i]
-        dots = dots + F.element_at(F.lit([float(x) for x in table]), slot)
-        if index.metric == "cosine":
-            norms = norms + F.element_at(F.lit([float(x) for x in (book**2).sum(axis=1)]), slot)
+    for i, (book, part) in enumerate(zip(q.codebooks, vector.reshape(index.m, -1))):
+        slot = F.element_at("codes", i + 1).cast("int") + 128
+        dots = dots + F.get(_constant(book @ part), slot)
     if index.metric == "l2":
-        return F.sqrt(dots)
+        to_centre = F.get(_constant(((q.centres - vector) ** 2).sum(axis=1)), F.col("list_id"))
+        return F.sqrt(F.greatest(to_centre + F.col("bias") - 2.0 * dots, F.lit(0.0)))
+    product = F.get(_constant(q.centres @ vector), F.col("list_id")) + dots
     if index.metric == "cosine":
-        scale = float(np.linalg.norm(query)) * F.sqrt(norms)
-        return F.lit(1.0) - dots / F.when(scale > 0, scale)
-    return dots if index.metric == "ip" else F.lit(0.0) - dots
+        return F.lit(1.0) - product
+    return product if index.metric == "ip" else F.lit(0.0) - product
+
+
+def _first_k(scored: DataFrame, key: str, k: int) -> DataFrame:
+    """The k nearest; filters stay above the limit so that distances are computed once."""
+    return scored.orderBy(F.asc_nulls_last("distance"), key).limit(k).where(F.col("distance").isNotNull())
 
 
 def search(
@@ -266,20 +396,16 @@ def search(
     if len(query) != index.dim:
         raise ValueError("vectors have different dimensions")
     nprobe = min(nprobe or index.default_nprobe, index.nlist)
-    lists = probe_lists(index, np.asarray([query]), nprobe)[0]
-    rows = index.rows(spark)
-    if nprobe < index.nlist:
-        rows = rows.where(F.col("list_id").isin([int(x) for x in lists]))
+    probed = probe_lists(index, np.asarray([query]), nprobe)[0] if nprobe < index.nlist else None
+    rows = index.rows(spark, probed)
     key, exact = index.primary_key, dense_distance(index.vector, query, index.metric).alias("distance")
     if index.kind != "flat":
-        coarse = rows.select(key, "list_id", _coarse_distance(index, query).alias("coarse"))
-        kept = coarse.orderBy("coarse", key).limit(k * rerank).select(key, "list_id")
+        coarse = rows.select(key, "list_id", _coarse_distance(index, query).alias("distance"))
+        kept = _first_k(coarse, key, k * rerank).select(key, "list_id")
         # At most k * rerank rows by the limit above.
         rows = rows.join(F.broadcast(kept), [key, "list_id"], "left_semi")
-    scored = rows.select(key, exact).where(F.col("distance").isNotNull())
-    if threshold is not None:
-        scored = scored.where(F.col("distance") <= float(threshold))
-    return scored.orderBy("distance", key).limit(k)
+    best = _first_k(rows.select(key, exact), key, k)
+    return best if threshold is None else best.where(F.col("distance") <= float(threshold))
 
 
 def filtered_search(
@@ -298,12 +424,13 @@ def filtered_search(
     while take <= min(MAX_CANDIDATES, index.n_rows):
         candidates = search(spark, index, query, take, nprobe)
         found = candidates.join(passing.select(key), key, "left_semi").orderBy("distance", key).limit(k)
-        if len(found.select(key).take(k)) >= k:
-            return found
+        best = found.collect()  # at most k rows
+        if len(best) >= k:
+            return spark.createDataFrame(best, found.schema)
         nprobe, take = min(index.nlist, nprobe * 2), take * 4
     rows = index.rows(spark).join(passing.select(key), key, "left_semi")
     exact = dense_distance(index.vector, as_float32(query), index.metric).alias("distance")
-    return rows.select(key, exact).where("distance is not null").orderBy("distance", key).limit(k)
+    return _first_k(rows.select(key, exact), key, k)
 
 
 def knn(
@@ -314,9 +441,8 @@ def knn(
     nprobe = min(nprobe or index.default_nprobe, index.nlist)
 
     def lists_of(matrix: np.ndarray) -> dict[int, np.ndarray]:
-        probes = probe_lists(index, matrix, nprobe)
         wanted: dict[int, list[int]] = {}
-        for q, row in enumerate(probes):
+        for q, row in enumerate(probe_lists(index, matrix, nprobe)):
             for value in row:
                 wanted.setdefault(int(value), []).append(q)
         return {value: np.array(qs) for value, qs in wanted.items()}
@@ -327,6 +453,9 @@ def knn(
     )
 
 
+# --- keeping up with the table ---------------------------------------------------------------
+
+
 def refresh(base: DataFrame, index: IvfIndex, threshold: int = REFRESH_ROWS) -> IvfIndex:
     """Add the rows the index lacks, once there are more than ``threshold`` of them."""
     spark, key = base.sparkSession, index.primary_key
@@ -335,10 +464,8 @@ def refresh(base: DataFrame, index: IvfIndex, threshold: int = REFRESH_ROWS) ->
     n_new = delta.count()
     if n_new <= threshold:
         return index
-    model = KMeansModel.load(f"{index.path}/centres")
-    placed = _assign(delta, model, index.vector, index.metric, "list_id")
-    _write_lists(_encode(placed, index), f"{index.path}/lists", "append")
-    grown = replace(index, n_rows=index.n_rows + n_new)
+    grown = _write_lists(_encode(delta, index, index.quantiser), index, "append")
+    grown = replace(grown, n_rows=index.n_rows + n_new)
     grown.save_meta(spark)
     return grown
 

@@ -22,6 +22,13 @@ from vecspark.operators.read import filtered, output_columns
 from vecspark.sources.ingest import sparse_to_text
 
 DEFAULT_TOPK = 10
+# Scans estimated above this size score vectors in Arrow batches.
+ARROW_FROM_BYTES = 4 * 1024**3
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of a plan's result."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def query_distance(
@@ -53,26 +60,31 @@ def ann_search(
     partitions: Sequence[str] | None = None,
     distance_name: str = "distance",
     float32: bool = True,
-    arrow: bool = False,
+    arrow: bool | None = None,
 ) -> DataFrame:
     """The k rows first in ascending order of the metric, among those that pass ``where``.
 
     Ascending holds for every metric, so ``ip`` returns the least similar rows first
     and ``neg_ip`` the most similar. Rows without a distance (null vector) do not
     count. ``threshold`` keeps rows with distance <= threshold before the limit.
-    Equal distances are ordered by ``primary_key``.
+    Equal distances are ordered by ``primary_key``. Without ``arrow``, the size of the
+    scan decides between scoring inside the JVM and in Arrow batches.
     """
     resolve_metric(metric)
     scope = filtered(in_partitions(df, partitions), where)
+    if arrow is None:
+        arrow = scan_bytes(scope.select(vector_column)) >= ARROW_FROM_BYTES
     dist = query_distance(vector_column, query, metric, float32, arrow)
     chosen = output_columns(df, names, columns, extra)
     keys = [primary_key] if isinstance(primary_key, str) else list(primary_key or [])
     carried = [F.col(key).alias(f"_key{i}") for i, key in enumerate(keys)]
     scored = scope.select(dist.alias("_dist"), *carried, *chosen)
-    condition = F.col("_dist").isNotNull()
+    order = [F.asc_nulls_last("_dist"), *[f"_key{i}" for i in range(len(keys))]]
+    # Tested after the limit: rows without a distance or beyond the threshold come last
+    # in the order, and a filter below it would compute the distance a second time.
+    best = scored.orderBy(*order).limit(k).where(F.col("_dist").isNotNull())
     if threshold is not None:
-        condition = condition & (F.col("_dist") <= F.lit(float(threshold)))
-    best = scored.where(condition).orderBy("_dist", *[f"_key{i}" for i in range(len(keys))]).limit(k)
+        best = best.where(F.col("_dist") <= F.lit(float(threshold)))
     best = best.drop(*[f"_key{i}" for i in range(len(keys))])
     if not with_distance:
         return best.drop("_dist")

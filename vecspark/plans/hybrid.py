@@ -293,8 +293,8 @@ def knn_hits(df: DataFrame, spec: Mapping, key: str, metric: str, condition: Col
     candidates = max(k, int(spec.get("num_candidates", k)))
     scope = df if condition is None else df.where(condition)
     dist = query_distance(spec["field"], spec["query_vector"], closest)
-    near = scope.select(key, dist.alias("_dist")).where("_dist is not null").orderBy("_dist", key).limit(candidates)
-    scored = near.select(key, "_dist", knn_score(F.col("_dist"), closest).alias("knn_score"))
+    near = scope.select(key, dist.alias("_dist")).orderBy(F.asc_nulls_last("_dist"), key).limit(candidates)
+    scored = near.where("_dist is not null").select(key, "_dist", knn_score(F.col("_dist"), closest).alias("knn_score"))
     if "similarity" in spec:
         scored = scored.where(F.col("knn_score") >= float(spec["similarity"]))
     scored = scored.select(key, (F.col("knn_score") * F.lit(float(spec.get("boost", 1.0)))).alias("knn_score"), "_dist")
