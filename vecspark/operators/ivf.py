@@ -104,7 +104,11 @@ class IvfIndex:
 
 @dataclass(frozen=True)
 class Quantiser:
-    """What turns vectors into lists and codes; small enough to be broadcast."""
+    """What turns vectors into lists and codes; small enough to be broadcast.
+
+    It travels as a plain dict of arrays, which a Python worker can read without the
+    package.
+    """
 
     centres: np.ndarray
     codebooks: tuple[np.ndarray, ...] = ()
@@ -160,15 +164,15 @@ def encoder(shared, kind: str, metric: str, dim: int):
                 continue
             if metric == "cosine":
                 rows = unit_rows(rows)
-            lists = nearest(rows, q.centres)
+            lists = nearest(rows, q["centres"])
             columns, names = [batch.column(0), batch.column(1)], ["key", "vector"]
             if kind == "sq8":
                 _, plain = arrow_matrix(batch.column(1), dim)
-                codes = np.clip(np.rint((plain - q.low) / q.steps), 0, 255) - 128
+                codes = np.clip(np.rint((plain - q["low"]) / q["steps"]), 0, 255) - 128
                 columns.append(_list_column(codes.astype(np.int8), pa.int8()))
                 names.append("codes")
             elif kind == "pq":
-                codes, bias = _product_codes(rows, q.centres[lists], q.codebooks, metric)
+                codes, bias = _product_codes(rows, q["centres"][lists], q["codebooks"], metric)
                 columns += [_list_column(codes, pa.int8()), pa.array(bias, pa.float64())]
                 names += ["codes", "bias"]
             columns.append(pa.array(lists, pa.int32()))
@@ -262,7 +266,7 @@ def _fit_codebooks(sample: DataFrame, vector: str, metric: str, centres: np.ndar
 
 
 def _encode(rows: DataFrame, index: IvfIndex, quantiser: Quantiser) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(quantiser)  # bounded by MAX_CENTRE_BYTES
+    shared = rows.sparkSession.sparkContext.broadcast(vars(quantiser))  # bounded by MAX_CENTRE_BYTES
     source = rows.select(index.primary_key, F.col(index.vector).cast("array<float>"))
     return source.mapInArrow(encoder(shared, index.kind, index.metric, index.dim), index.stored_columns)
 
@@ -352,12 +356,7 @@ def _constant(values: np.ndarray) -> Column:
 def _coarse_distance(index: IvfIndex, query: Sequence[float]) -> Column:
     """Distance of the query to the coded vectors of a quantised index."""
     if index.kind == "sq8":
-        decoded = F.zip_with(
-            F.col("codes"),
-            F.arrays_zip(_constant(index.min_values).alias("lo"), _constant(index.steps).alias("st")),
-            lambda c, e: e["lo"] + (c.cast("double") + 128.0) * e["st"],
-        )
-        return dense_distance(decoded, list(query), index.metric)
+        return _scalar_distance(index, np.asarray(query, dtype=float))
     q, vector = index.quantiser, np.asarray(query, dtype=float)
     if index.metric == "cosine":
         vector = unit_rows(vector[None, :])[0]
@@ -374,6 +373,31 @@ def _coarse_distance(index: IvfIndex, query: Sequence[float]) -> Column:
     return product if index.metric == "ip" else F.lit(0.0) - product
 
 
+def _scalar_distance(index: IvfIndex, query: np.ndarray) -> Column:
+    """Distance to vectors coded as ``low + (code + 128) * step``, folded into one pass."""
+    low, steps = np.array(index.min_values), np.array(index.steps)
+
+    def total(weights: dict[str, np.ndarray], term) -> Column:
+        constant = F.arrays_zip(*[_constant(w).alias(name) for name, w in weights.items()])
+        return F.aggregate(F.zip_with("codes", constant, term), F.lit(0.0), lambda s, x: s + x)
+
+    if index.metric == "l2":
+        def squared(c: Column, w: Column) -> Column:
+            rest = w["rest"] - c.cast("double") * w["step"]
+            return rest * rest
+
+        return F.sqrt(total({"rest": query - low - 128.0 * steps, "step": steps}, squared))
+    dot = total({"w": query * steps}, lambda c, w: c.cast("double") * w["w"]) + float(query @ (low + 128.0 * steps))
+    if index.metric == "cosine":
+        def norm(c: Column, w: Column) -> Column:
+            value = w["base"] + c.cast("double") * w["step"]
+            return value * value
+
+        length = F.sqrt(total({"base": low + 128.0 * steps, "step": steps}, norm)) * float(np.linalg.norm(query))
+        return F.lit(1.0) - dot / F.when(length > 0, length)
+    return dot if index.metric == "ip" else F.lit(0.0) - dot
+
+
 def _first_k(scored: DataFrame, key: str, k: int) -> DataFrame:
     """The k nearest; filters stay above the limit so that distances are computed once."""
     return scored.orderBy(F.asc_nulls_last("distance"), key).limit(k).where(F.col("distance").isNotNull())

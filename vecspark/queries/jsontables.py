@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vecspark.functions import jsonrules, rules
 from vecspark.operators import jsontable as jt
 from vecspark.queries.registry import query, table
-from vecspark.session import scratch_path
+from vecspark.session import materialise, scratch_path
 
 COLUMNS = [
     jt.JsonColumn.of("c1", "INT"),
@@ -28,10 +28,12 @@ def store_rows(spark, sf_dir):
         "c1": F.col("o_custkey"), "c2": F.col("o_orderpriority"),
         "c3": F.col("o_totalprice").cast("decimal(10,2)"), "c4": F.col("o_orderdate"),
     }
-    return table(spark, sf_dir, "orders").select(
+    rows = table(spark, sf_dir, "orders").select(
         F.col("o_orderstatus").alias("user_id"), F.lit("0").alias("admin_id"),
         F.col("o_orderkey").alias("jdata_id"), jt.document(values).alias("jdata"),
     )
+    # Stored, as a JSON table is; otherwise Spark would cancel writing against parsing.
+    return materialise(rows, "documents")
 
 
 def _typed(data, columns, with_id=True):
