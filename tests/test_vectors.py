@@ -207,6 +207,21 @@ def test_knn_join(spark, metric):
             assert by_query == want
 
 
+def test_knn_join_with_repeated_query_ids_and_large_values(spark):
+    rng = random.Random(9)
+    base = [(i, [1e4 + rng.choice([0, 1e-2, 2e-2]) for _ in range(4)]) for i in range(200)]
+    queries = [(5, base[3][1])] * 30 + [(6, base[9][1])]
+    b = spark.createDataFrame(base, "id long, vector array<float>")
+    q = spark.createDataFrame(queries, "query_id long, vector array<float>").repartition(5)
+    for limit in (knn.MAX_QUERY_BYTES, 256):
+        got = knn.knn_join(q, b, 4, "l2", max_query_bytes=limit)
+        assert got.count() == 31 * 4
+        for qid, v in ((5, base[3][1]), (6, base[9][1])):
+            want = brute([(qid, v)], base, 4, "l2")[qid]
+            rows = got.where(F.col("query_id") == qid).select("rank", "id").distinct().orderBy("rank").collect()
+            assert [r["id"] for r in rows] == want
+
+
 def test_text_round_trips(spark):
     df = spark.createDataFrame([("[1,2.5,-3e2]", "{2:2.5, 1:1.5}", "[[1,2],[3]]")], "v string, s string, a string")
     row = df.select(

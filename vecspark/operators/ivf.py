@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vecspark.functions.distance import arrow_matrix, as_float32, dense_distance, resolve_metric, score_matrix
 from vecspark.operators.knn import knn_join
 from vecspark.operators.read import filtered
+from vecspark.session import materialise
 from vecspark.sources.tables import _Files
 
 KINDS = ("flat", "sq8", "pq")
@@ -484,10 +485,12 @@ def refresh(base: DataFrame, index: IvfIndex, threshold: int = REFRESH_ROWS) ->
     """Add the rows the index lacks, once there are more than ``threshold`` of them."""
     spark, key = base.sparkSession, index.primary_key
     rows = base.select(key, index.vector).where(F.col(index.vector).isNotNull())
-    delta = rows.join(index.rows(spark).select(key), key, "left_anti")
-    n_new = delta.count()
+    # Only keys are shuffled to find what is new; the new keys then select the vectors.
+    missing = materialise(rows.select(key).join(index.rows(spark).select(key), key, "left_anti"), "missing")
+    n_new = missing.count()
     if n_new <= threshold:
         return index
+    delta = rows.join(missing, key, "left_semi")
     grown = _write_lists(_encode(delta, index, index.quantiser), index, "append")
     grown = replace(grown, n_rows=index.n_rows + n_new)
     grown.save_meta(spark)

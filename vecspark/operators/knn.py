@@ -16,13 +16,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from vecspark.functions.distance import arrow_matrix, resolve_metric, score_matrix, score_pairs
+from vecspark.session import number_rows
 
 # Bytes of query vectors one block may hold.
 MAX_QUERY_BYTES = 64 * 1024 * 1024
 # Rows x queries scored at once inside a task.
 _TILE = 4_000_000
-# Scores closer than this are compared again without the expanded square.
-_SLACK = 1e-6
+# Relative error a matrix product may carry; closer scores are compared again exactly.
+_ERROR = 1e-12
+
+
+def rough_scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Scores (rows x queries) in the order of the metric, and a bound of their error per query."""
+    row_norms, query_norms = np.linalg.norm(rows, axis=1), np.linalg.norm(queries, axis=1)
+    largest = row_norms.max(initial=0.0)
+    if metric == "l2":
+        scores = (row_norms**2)[:, None] + (query_norms**2)[None, :] - 2.0 * (rows @ queries.T)
+        return scores, _ERROR * (largest**2 + query_norms**2)
+    scores = score_matrix(rows, queries, metric)
+    error = np.full(len(queries), _ERROR) if metric == "cosine" else _ERROR * largest * query_norms
+    return np.where(np.isnan(scores), np.inf, scores), error
 
 
 def best_per_query(
@@ -33,11 +46,9 @@ def best_per_query(
     step = max(1, _TILE // max(1, len(rows)))
     for start in range(0, len(queries), step):
         block = queries[start : start + step]
-        scores = score_matrix(rows, block, metric)
-        scores = np.where(np.isnan(scores), np.inf, scores)
+        scores, error = rough_scores(rows, block, metric)
         kth = np.partition(scores, min(k, len(rows)) - 1, axis=0)[min(k, len(rows)) - 1]
-        slack = _SLACK * np.maximum(1.0, np.abs(np.where(np.isinf(kth), 0.0, kth)))
-        r, q = np.nonzero((scores <= kth + slack) & ~np.isinf(scores))
+        r, q = np.nonzero((scores <= kth + 2.0 * error) & ~np.isinf(scores))
         exact = score_pairs(rows[r], block[q], metric)
         order = np.lexsort((ids[r], exact, q))
         r, q, exact = r[order], q[order], exact[order]
@@ -61,11 +72,11 @@ def _id_array(column: pa.Array) -> np.ndarray:
     return np.asarray(column.to_pandas())
 
 
-def local_topk(query_matrix, metric: str, k: int, id_type: pa.DataType, probes=None):
+def local_topk(query_matrix, metric: str, k: int, id_type: pa.DataType, probes=None, start: int = 0):
     """A ``mapInArrow`` function over (id, vector[, list]) batches.
 
     ``query_matrix`` and ``probes`` are broadcast variables; with probes, a row of
-    list L meets only the queries that probe L.
+    list L meets only the queries that probe L. ``start`` is the number of the first query.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +106,7 @@ def local_topk(query_matrix, metric: str, k: int, id_type: pa.DataType, probes=N
         if parts:
             q, ids, d = _merge(parts, k)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(q, pa.int32()), pa.array(ids, id_type), pa.array(d, pa.float64())],
+                [pa.array(q.astype(np.int64) + start), pa.array(ids, id_type), pa.array(d, pa.float64())],
                 ["_q", "_id", "distance"],
             )
 
@@ -103,32 +114,24 @@ def local_topk(query_matrix, metric: str, k: int, id_type: pa.DataType, probes=N
 
 
 def query_blocks(queries: DataFrame, id_column: str, vector_column: str, max_bytes: int):
-    """The queries in blocks of proven size: (ids, float64 matrix) per block.
+    """The queries in blocks of at most ``max_bytes``: (first number, ids, float64 matrix).
 
-    The table is cut by a hash of the key into as many blocks as its row count and
-    dimension call for; a block that still exceeds twice the bound is cut again.
+    More than one block needs numbered rows, so that blocks are equal whatever the ids
+    are; the numbers also tell queries with one id apart.
     """
-    shape = queries.agg(
-        F.count(vector_column).alias("n"), F.max(F.size(vector_column)).alias("dim")
-    ).first()
-    if not shape["n"]:
-        return
-    row_bytes = 8 * shape["dim"]
-    cuts = max(1, -(-shape["n"] * row_bytes // max_bytes))
-    pending = [(cuts, block) for block in range(cuts)]
     rows = queries.where(F.col(vector_column).isNotNull()).select(id_column, vector_column)
-    limit = 2 * max_bytes // row_bytes + 1
-    while pending:
-        blocks, block = pending.pop(0)
+    n, dim = rows.agg(F.count("*"), F.max(F.size(vector_column))).first()
+    if not n:
+        return
+    per_block = max(1, max_bytes // (8 * dim))
+    if n > per_block:
+        rows = number_rows(rows, -1, "_n")
+    for start in range(0, n, per_block):
         part = rows
-        if blocks > 1:
-            part = rows.where(F.pmod(F.xxhash64(id_column), F.lit(blocks)) == block)
-        table = part.limit(limit + 1).toArrow()
-        if table.num_rows > limit and blocks < shape["n"]:
-            pending += [(blocks * 2, block), (blocks * 2, block + blocks)]
-            continue
-        if table.num_rows:
-            yield table.column(0).combine_chunks(), arrow_matrix(table.column(1), shape["dim"])[1]
+        if n > per_block:
+            part = rows.where((F.col("_n") >= start) & (F.col("_n") < start + per_block))
+        table = part.select(id_column, vector_column).toArrow()
+        yield start, table.column(0).combine_chunks(), arrow_matrix(table.column(1), dim)[1]
 
 
 def knn_join(
@@ -156,29 +159,28 @@ def knn_join(
     arrow_type = _arrow_type(id_field.dataType)
     out_schema = T.StructType(
         [
-            T.StructField("_q", T.IntegerType()),
+            T.StructField("_q", T.LongType()),
             T.StructField("_id", id_type["x"].dataType),
             T.StructField("distance", T.DoubleType()),
         ]
     )
     found = None
     source = base.select(base_id, base_vector, *([list_column] if list_column else []))
-    for ids, matrix in query_blocks(queries, query_id, query_vector, max_query_bytes):
+    for start, ids, matrix in query_blocks(queries, query_id, query_vector, max_query_bytes):
         shared = spark.sparkContext.broadcast(matrix)
         scope, probes = source, None
         if probe_fn is not None:
             lists = probe_fn(matrix)
             probes = spark.sparkContext.broadcast(lists)
             scope = source.where(F.col(list_column).isin(sorted(lists)))
-        local = scope.mapInArrow(local_topk(shared, metric, k, arrow_type, probes), out_schema)
-        keys = spark.createDataFrame(
-            pa.table({"_q": pa.array(np.arange(len(ids)), pa.int32()), query_id: ids})
-        )
-        block = local.join(F.broadcast(keys), "_q").drop("_q")  # one block: size checked above
+        local = scope.mapInArrow(local_topk(shared, metric, k, arrow_type, probes, start), out_schema)
+        numbers = pa.array(np.arange(start, start + len(ids)), pa.int64())
+        keys = spark.createDataFrame(pa.table({"_q": numbers, query_id: ids}))
+        block = local.join(F.broadcast(keys), "_q")  # one block of bounded size
         found = block if found is None else found.unionByName(block)
     if found is None:
         raise ValueError("no query vectors")
-    order = Window.partitionBy(query_id).orderBy("distance", "_id")
+    order = Window.partitionBy("_q").orderBy("distance", "_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(query_id, F.col("_id").alias(base_id), "distance", "rank")
 

@@ -22,7 +22,8 @@ def duplicate_keys(base: DataFrame, new: DataFrame, primary_key) -> DataFrame:
     key = _key_list(primary_key)
     counted = new.groupBy(*key).agg(F.count("*").alias("n"))
     repeated = counted.where("n > 1").select(*key)
-    present = counted.select(*key).join(base.select(*key), key, "left_semi")
+    # The new keys are the side that may be broadcast; the base is only scanned.
+    present = base.select(*key).join(counted.select(*key), key, "left_semi")
     return repeated.unionByName(present).distinct()
 
 

@@ -35,11 +35,9 @@ def write_postings(postings: DataFrame, path: str, buckets: int = TERM_BUCKETS)
 
 def read_terms(spark, path: str, terms: Sequence, term_type: str, buckets: int = TERM_BUCKETS) -> DataFrame:
     """Postings of some terms: only their buckets are listed, only their pages read."""
-    slots = spark.range(1).select(
-        *[term_bucket(F.lit(t).cast(term_type), buckets).alias(f"b{i}") for i, t in enumerate(terms)]
-    ).first()
+    slots = [term_bucket(F.lit(t).cast(term_type), buckets) for t in terms]  # folded to constants
     stored = spark.read.parquet(path)
-    return stored.where(F.col("bucket").isin(sorted(set(slots))) & F.col("term").isin(list(terms))).drop("bucket")
+    return stored.where(F.col("bucket").isin(*slots) & F.col("term").isin(list(terms))).drop("bucket")
 
 
 def posting_scores(postings: DataFrame, query: Mapping[int, float], primary_key: str) -> DataFrame:
