@@ -61,7 +61,14 @@ def _operand(v: Vector) -> tuple[Column, Column]:
     if isinstance(v, Column):
         return v, F.size(v)
     values = [float(x) for x in v]
-    return F.lit(values), F.lit(len(values))
+    return array_constant(values), F.lit(len(values))
+
+
+def array_constant(values: Sequence[float]) -> Column:
+    """A constant ``array<double>``, passed as one text rather than one literal per number."""
+    if not values or not np.isfinite(values).all():
+        return F.lit([float(x) for x in values])
+    return F.expr("array(" + ",".join(f"{float(x)!r}D" for x in values) + ")")
 
 
 def _same_length(a_len: Column, b_len: Column, value: Column) -> Column:

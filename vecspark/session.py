@@ -12,6 +12,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every column costs a round trip each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
