@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vecspark.llm import bpe, decontaminate, secrets, simhash, toxicity
+from vecspark.llm import bpe, decontaminate, quality, secrets, simhash, topk, toxicity
 from vecspark.llm.common import fold
 from vecspark.queries.registry import table
 
@@ -33,6 +33,16 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    scored = docs.select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), model.column("text", "n_chars").alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     voc = vocabulary()
@@ -54,6 +64,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op7_exact_topk",
+    """
+    WITH e AS (
+      SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM e q JOIN e c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.topk(table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0)
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash.group(table(spark, sf_dir, "documents"))
