@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+_POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -62,6 +63,23 @@ def labelled_sample(
     return rows.join(F.broadcast(picked), F.col("_dk") == F.col("_k")).select("_dk", "_y", *columns)
 
 
+def spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true flags."""
+    edge = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def polynomial_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A polynomial hash of each span of bytes."""
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    offset = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    terms = (data[np.repeat(starts, lengths) + offset].astype(np.uint64) + np.uint64(1)) * _POWERS[offset & 63]
+    sums = np.add.reduceat(terms, np.cumsum(lengths) - lengths)
+    return sums * np.uint64(0x9E3779B97F4A7C15)
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from vecspark.llm.common import blocks, labelled_sample, sigmoid, utf8
+from vecspark.llm.common import blocks, labelled_sample, polynomial_hashes, sigmoid, spans, utf8
 from vecspark.session import materialise
 
 PER_CLASS = 4000
@@ -38,7 +38,6 @@ _KIND = np.zeros(256, np.uint8)  # 0 other letters, 1 upper, 2 digit, 3 symbol,
 _KIND[65:91], _KIND[48:58] = 1, 2
 _KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 3
 _KIND[[9, 10, 11, 12, 13, 32]] = 4
-_POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64))
 
 
 @dataclass
@@ -50,22 +49,6 @@ class Bags:
     steps: np.ndarray
 
 
-def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A polynomial hash of each span of bytes."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    offset = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    terms = (data[np.repeat(starts, lengths) + offset].astype(np.uint64) + np.uint64(1)) * _POWERS[offset & 63]
-    sums = np.add.reduceat(terms, np.cumsum(lengths) - lengths)
-    return sums * np.uint64(0x9E3779B97F4A7C15)
-
-
 def _repeated(owner: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """For each owner, how many of its hashes have occurred in it before."""
     order = np.lexsort((hashes, owner))
@@ -83,14 +66,14 @@ def featurise(texts: list[bytes], stated: np.ndarray, bits: int) -> Bags:
         data = np.frombuffer(b"\n".join(own) + b"\n", np.uint8)
         ends_at = np.cumsum(sizes + 1)
         kind = _KIND[data]
-        starts, ends = _spans(kind != 4)
+        starts, ends = spans(kind != 4)
         owner = np.searchsorted(ends_at, starts, side="right")
         words = np.bincount(owner, minlength=n)
-        hashes = _hashes(data, starts, ends)
-        line_starts, line_ends = _spans(data != 10)
+        hashes = polynomial_hashes(data, starts, ends)
+        line_starts, line_ends = spans(data != 10)
         line_owner = np.searchsorted(ends_at, line_starts, side="right")
         lines = np.bincount(line_owner, minlength=n)
-        line_hashes = _hashes(data, line_starts, line_ends)
+        line_hashes = polynomial_hashes(data, line_starts, line_ends)
         byte_owner = np.repeat(np.arange(n), sizes + 1)
         of = lambda k: np.bincount(byte_owner[kind == k], minlength=n)
         size = np.maximum(1, sizes)

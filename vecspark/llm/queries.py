@@ -5,11 +5,12 @@ Each applies one operator to a whole table and derives the contract's columns fr
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vecspark.llm import bpe, decontaminate, quality, secrets, simhash, topk, toxicity
+from vecspark.llm import bpe, ctw, decontaminate, quality, secrets, simhash, topk, toxicity
 from vecspark.llm.common import fold
 from vecspark.queries.registry import table
 
@@ -64,13 +65,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_context_tree_weighting")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+        (-F.col("bits") * math.log10(2)).alias("score"),
+    )
+
+
 @query(
     "op7_exact_topk",
     """
     WITH e AS (
-      SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
       WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (
       SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
              CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
