@@ -116,6 +116,7 @@ def scan(
     per_doc = per_doc.select(
         "_id", "_h", "_n", "_rows", F.when(F.size("_codes") > 0, covered).otherwise(F.lit(0)).alias("_hit"), "_sets"
     )
+    per_doc = materialise(per_doc, "bench-hits")  # read twice below
     named = per_doc.where(F.size("_sets") > 0).select("_id", "_h", F.explode("_sets").alias("set"))
     named = named.join(sets, "set").select("_id", "_h", F.explode("items").alias("item"))
     named = named.groupBy("_id", "_h").agg(F.sort_array(F.collect_set("item")).alias("items"))
