@@ -147,11 +147,11 @@ def fit(bags: Bags, labels: np.ndarray, bits: int, rank: int, passes: int, l2: f
     m, s, w0, step = np.zeros_like(p), np.zeros_like(p), 0.0, 0
     value = 1 / np.sqrt(np.maximum(1, bags.counts))
     cut = np.concatenate(([0], np.cumsum(bags.counts)))
-    for _ in range(passes):
+    for _ in range(passes if len(labels) else 0):
         for rows in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // 256)):
             step += 1
             counts = bags.counts[rows]
-            slots = np.concatenate([bags.slots[cut[r]: cut[r + 1]] for r in rows]) if len(rows) else bags.slots[:0]
+            slots = np.concatenate([bags.slots[cut[r]: cut[r + 1]] for r in rows])
             ids = np.concatenate((slots, (bags.steps[rows] + (1 << bits)).ravel()))
             owner = np.concatenate((np.repeat(np.arange(len(rows)), counts), np.repeat(np.arange(len(rows)), bags.steps.shape[1])))
             x = np.concatenate((np.repeat(value[rows], counts), np.ones(len(rows) * bags.steps.shape[1])))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vecspark.llm import bpe, ctw, decontaminate, quality, secrets, simhash, topk, toxicity
+from vecspark.llm import bpe, ctw, decontaminate, licenses, quality, quotes, secrets, simhash, topk, toxicity
 from vecspark.llm.common import fold
 from vecspark.queries.registry import table
 
@@ -34,6 +34,18 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan(docs, licenses.train(docs))
+    confirmed = F.filter("paragraphs", lambda p: p["confirmed"])
+    return found.select(
+        "doc_id", F.array_join(F.array_sort(F.array_distinct(F.transform(confirmed, lambda p: p["family"]))), ",").alias("families"),
+        F.size("paragraphs").cast("long").alias("n_predicted"), F.size(confirmed).cast("long").alias("n_confirmed"),
+        F.array_max(F.transform("paragraphs", lambda p: p["probability"])).alias("probability"), "paragraphs",
+    )
+
+
 @query("op2_quality")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -65,6 +77,46 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op5_quotation_linking",
+    r"""
+    WITH RECURSIVE m AS (
+      SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+    l AS (
+      SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM m
+      WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+    n AS (
+      SELECT conv_id, turn, length(x) - length(replace(x, '>', '')) AS level, trim(regexp_replace(translate(
+               line[length(x) + 1 :], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS p
+      FROM (SELECT *, regexp_extract(line, '^(?:\x20?>)+\x20?') AS x FROM l)),
+    o AS (SELECT conv_id, p, min(turn) AS target FROM n WHERE level = 0 AND p <> '' GROUP BY ALL),
+    f AS (
+      SELECT n.conv_id, n.turn, n.level, CASE WHEN target < n.turn THEN target END AS target, count(*) AS times
+      FROM n LEFT JOIN o USING (conv_id, p) WHERE level > 0 AND p <> '' GROUP BY ALL),
+    r AS (
+      SELECT conv_id, turn, CAST(sum(times) AS BIGINT) AS n_quoted,
+             CAST(coalesce(sum(times) FILTER (target IS NOT NULL), 0) AS BIGINT) AS n_linked,
+             (list(target ORDER BY level, times DESC, target DESC) FILTER (target IS NOT NULL))[1] AS parent
+      FROM f GROUP BY ALL),
+    t(conv_id, turn, root, depth) AS (
+      SELECT conv_id, turn, parent, CAST(1 AS BIGINT) FROM r WHERE parent IS NOT NULL
+      UNION ALL
+      SELECT t.conv_id, t.turn, r.parent, depth + 1 FROM t JOIN r ON r.conv_id = t.conv_id AND r.turn = t.root
+      WHERE r.parent IS NOT NULL),
+    d AS (SELECT conv_id, turn, min(root) AS root, max(depth) AS depth FROM t GROUP BY ALL)
+    SELECT m.conv_id, m.turn, role, coalesce(root, m.turn) AS thread, parent, coalesce(depth, 0) AS depth,
+           coalesce(n_quoted, 0) AS n_quoted, coalesce(n_linked, 0) AS n_linked,
+           CASE WHEN len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^(?:\x20?>)+'))) = 0 THEN text
+             ELSE regexp_replace(array_to_string(list_filter(string_split(text, chr(10)),
+               lambda x: NOT regexp_matches(x, '^(?:\x20?>)+') AND NOT regexp_matches(x, '^On .{1,200} wrote:\s*$')), chr(10)),
+               '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') END AS body
+    FROM m LEFT JOIN r USING (conv_id, turn) LEFT JOIN d USING (conv_id, turn)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", "role")
+
+
 @query("op6_context_tree_weighting")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ctw.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
