@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vecspark.llm import bpe, decontaminate, secrets, simhash, toxicity
-from vecspark.llm.queries import toxicity_model, vocabulary
-from vecspark.queries.registry import table
+from vecspark.llm.common import small_batches
+from vecspark.llm.queries import table, toxicity_model, vocabulary
 from vecspark.session import scratch_path
 
 
@@ -21,6 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, that with the smallest doc_id."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -39,6 +40,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the ids as an array, checked to decode to the text's bytes."""
     voc = vocabulary()
+    small_batches(spark)
     encoded = bpe.decode(bpe.encode(docs, voc), voc)
     return encoded.select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",

@@ -5,12 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of 8 MB at most to Python workers: texts are long, and a
+    worker holds several copies of its batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return spark
+
+
 def fold(key: Column | str, modulus: int) -> Column:
     """crc32 of the key as text, modulo ``modulus``; -1 for a null key."""
     return F.coalesce(F.crc32(F.col(key).cast("string") if isinstance(key, str) else key) % modulus, F.lit(-1))

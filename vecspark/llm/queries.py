@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vecspark.llm import bpe, ctw, decontaminate, licenses, quality, quotes, secrets, simhash, topk, toxicity
-from vecspark.llm.common import fold
-from vecspark.queries.registry import table
+from vecspark.llm.common import fold, small_batches
+from vecspark.queries import registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return registry.table(small_batches(spark), sf_dir, name)
+
+
 def vocabulary() -> bpe.Vocabulary:
     import public_tokenizers
 
