@@ -13,7 +13,7 @@ P(s) = w(s) KT(s) + (1 - w(s)) P(cs), where a child that was never seen predicts
 parent does. The tree stays as trained, so the code length of a byte depends on it and the
 ``depth`` bytes before only - on one gram of depth + 1 bytes.
 
-As jobs: (1) blocks of documents are reduced to their distinct grams; counts over all
+As jobs: (1) blocks of documents, as they are scanned, are packed and reduced to their distinct grams; counts over all
 training texts are a shuffle of those. (2) The nodes below the two last bytes of a context
 form a group of grams; one pass over the groups gives each such root's weighted
 probability, the two depths above it (256 x 255 nodes at most) are combined from these, and a
@@ -27,22 +27,25 @@ are, by a 63-bit hash with the sign bit set, which no gram has.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vecspark.llm.common import blocks, polynomial_hashes, spans, utf8
-from vecspark.session import materialise
+from vecspark.session import materialise, scratch_path
 
 DEPTH = 5
 MARK = 0xFF
 #: Key of the end of a text as a word; an empty span of bytes is no word.
 END = 0
-#: Bytes of text in a block of documents, and that are turned into grams at a time.
-BLOCK, PART = 24 << 20, 1 << 21
+#: Bytes of text after which a block of documents is full, and that are turned into grams at a time.
+BLOCK, PART = 32 << 20, 1 << 21
 #: log Gamma(n + 1/2) and log n! come from a table up to here, beyond it from Stirling's series.
 _TABLE = 4096
 _HALVES = np.concatenate(([0.5 * np.log(np.pi)], 0.5 * np.log(np.pi) + np.cumsum(np.log(np.arange(_TABLE) + 0.5))))
@@ -210,67 +213,90 @@ def score(
     if not 2 <= depth <= 6:
         raise ValueError("depth is 2 to 6")
     rows = docs.select(
-        F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"), F.coalesce(use, F.lit(False)).alias("_use")
-    )
-    total = rows.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block))
-    # Equal rows land in one block, which is sized by bytes only on average.
-    dealt = rows.withColumn("_b", F.pmod(F.xxhash64("_id", F.crc32(F.col("_t"))), F.lit(n_blocks)).cast("int"))
-    id_type = rows.schema["_id"].dataType.simpleString()
-
-    def distinct_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {}
+        F.col(key).cast("string").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_t"),
+        F.coalesce(use, F.lit(False)).alias("_use"),
+    )  # as text, because pandas would turn whole numbers beside nulls into floats
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Consecutive rows as blocks: a row with the packed texts, and a row for each distinct key."""
+        task, number = TaskContext.get().partitionId(), 0
+        ids, use_of, texts, keys, size = [], [], [], [], 0
+
+        def emit():
+            data = b"".join(texts)
+            yield pd.DataFrame({
+                "b": [(task << 24) + number], "ids": [list(ids)], "use": [np.array(use_of, bool)],
+                "sizes": [np.array([len(t) for t in texts], np.int64)], "texts": [pa.compress(data, "zstd", asbytes=True)],
+                "gram": pd.array([None], "Int64"), "n": pd.array([None], "Int64"),
+            })
+            gram, n = _merge(keys)
+            for at in range(0, len(gram), 1 << 17):
+                part = slice(at, at + (1 << 17))
+                yield pd.DataFrame({
+                    "b": (task << 24) + number, "ids": None, "use": None, "sizes": None, "texts": None,
+                    "gram": gram[part], "n": n[part],
+                })
+
         for batch in batches:
-            for b, own in batch.groupby("_b"):
-                texts, learned = [t.lower() for t in utf8(own["_t"])], own["_use"].to_numpy(bool)
-                for part in blocks([len(t) for t in texts], PART):
-                    mine = learned[part].astype(np.int64)
-                    pairs = [(k, mine[o]) for o, k in (grams(texts[part], depth), words(texts[part]))]
-                    held.setdefault(b, []).append(_merge(pairs))
-                    if len(held[b]) >= 8:
-                        held[b] = [_merge(held[b])]
-        for b, parts in held.items():
-            gram, n = _merge(parts)
-            for at in range(0, len(gram), 1 << 18):
-                yield pd.DataFrame({"b": b, "gram": gram[at: at + (1 << 18)], "n": n[at: at + (1 << 18)]})
-
-    placed = dealt.repartition(_tasks(docs, n_blocks), "_b")
-    wanted = placed.select("_b", "_t", "_use").mapInPandas(distinct_grams, "b int, gram long, n long")
-    wanted = materialise(wanted, "ctw-grams")
+            own_ids = [None if pd.isna(i) else i for i in batch["_id"]]
+            own, learned = [t.lower() for t in utf8(batch["_t"])], batch["_use"].to_numpy(bool)
+            for part in blocks([len(t) for t in own], PART):
+                mine = learned[part].astype(np.int64)
+                keys.append(_merge([(k, mine[o]) for o, k in (grams(own[part], depth), words(own[part]))]))
+                if len(keys) >= 8:
+                    keys = [_merge(keys)]
+                ids += own_ids[part]
+                use_of += learned[part].tolist()
+                texts += own[part]
+                size += sum(map(len, own[part]))
+                if size >= block:
+                    yield from emit()
+                    ids, use_of, texts, keys, size, number = [], [], [], [], 0, number + 1
+        if ids:
+            yield from emit()
+
+    shape = "b long, ids array<string>, use array<boolean>, sizes array<long>, texts binary, gram long, n long"
+    path = scratch_path(docs.sparkSession, "ctw-blocks")
+    rows.mapInPandas(packed, shape).write.option("compression", "zstd").parquet(path)
+    both = docs.sparkSession.read.schema(shape).parquet(path)
+    packs = both.where("texts IS NOT NULL").select("b", "ids", "use", "sizes", "texts")
+    wanted = both.where("gram IS NOT NULL").select("b", "gram", "n")
     counts = materialise(wanted.groupBy("gram").agg(F.sum("n").alias("n")), "ctw-counts")
-    known = code_lengths(counts.where("gram >= 0"), depth).select("gram", F.col("bits").alias("price"), F.lit(True).alias("seen"))
+    known = code_lengths(counts.where("gram >= 0"), depth).select("gram", F.col("bits").alias("price"))
     told = counts.where("gram < 0")
     tokens, kinds = told.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     # Without training texts N and V are 0.
-    base = told.select("gram", F.log10((F.col("n") + 1.0) / (tokens + kinds + 1.0)).alias("price"), (F.col("n") > 0).alias("seen"))
+    base = told.select("gram", F.log10((F.col("n") + 1.0) / (tokens + kinds + 1.0)).alias("price"))
+    least_known = math.log10(1.5 / (tokens + kinds + 1.0))  # between a count of 0 and of 1
     priced = wanted.select("b", "gram").join(materialise(known.unionByName(base), "ctw-prices"), "gram")
 
-    def summed(texts: pd.DataFrame, prices: pd.DataFrame) -> pd.DataFrame:
-        prices = prices.sort_values("gram")
-        gram, price, seen = prices["gram"].to_numpy(), prices["price"].to_numpy(float), prices["seen"].to_numpy(float)
-        raw = [t.lower() for t in utf8(texts["_t"])]
-        out = np.zeros((4, len(raw)))
-        for part in blocks([len(t) for t in raw], PART):
+    def summed(packs: pd.DataFrame, prices: pd.DataFrame) -> pd.DataFrame:
+        order = np.argsort(prices["gram"].to_numpy())
+        gram, price = prices["gram"].to_numpy()[order], prices["price"].to_numpy()[order]
+        pack = packs.iloc[0]
+        sizes = np.asarray(pack["sizes"], np.int64)
+        data = pa.decompress(pack["texts"], int(sizes.sum()), "zstd", asbytes=True)
+        cut = np.concatenate(([0], np.cumsum(sizes)))
+        out = np.zeros((4, len(sizes)))
+        for part in blocks(sizes.tolist(), PART):
             n = part.stop - part.start
-            owner, own = grams(raw[part], depth)
+            raw = [data[a:b] for a, b in zip(cut[part], cut[part.start + 1: part.stop + 1])]
+            owner, own = grams(raw, depth)
             out[0, part] = np.bincount(owner, weights=price[np.searchsorted(gram, own)], minlength=n)
-            owner, own = words(raw[part])
-            at = np.searchsorted(gram, own)
-            out[1, part] = np.bincount(owner, weights=price[at], minlength=n)
+            owner, own = words(raw)
+            paid = price[np.searchsorted(gram, own)]
+            out[1, part] = np.bincount(owner, weights=paid, minlength=n)
             out[2, part] = np.bincount(owner, minlength=n)
-            out[3, part] = np.bincount(owner, weights=seen[at], minlength=n)
+            out[3, part] = np.bincount(owner, weights=paid > least_known, minlength=n)
         return pd.DataFrame({
-            "_id": texts["_id"], "learned": texts["_use"], "bits": -out[0], "base_score": out[1],
-            "n_tokens": out[2].astype(np.int64), "n_known": out[3].astype(np.int64), "train_tokens": tokens,
+            "_id": pd.Series(list(pack["ids"]), dtype=object), "learned": np.asarray(pack["use"], bool), "bits": -out[0],
+            "base_score": out[1], "n_tokens": out[2].astype(np.int64), "n_known": out[3].astype(np.int64), "train_tokens": tokens,
         })
 
-    merged = dealt.select("_b", "_id", "_t", "_use").groupBy("_b").cogroup(priced.groupBy("b"))
-    shape = f"_id {id_type}, learned boolean, bits double, base_score double, n_tokens long, n_known long, train_tokens long"
-    return merged.applyInPandas(summed, shape).withColumnRenamed("_id", key)
-
-
-def _tasks(df: DataFrame, n_blocks: int) -> int:
-    return min(n_blocks, max(1, 64 * df.sparkSession.sparkContext.defaultParallelism))
+    merged = packs.groupBy("b").cogroup(priced.select(F.col("b").alias("pb"), "gram", "price").groupBy("pb"))
+    result = "_id string, learned boolean, bits double, base_score double, n_tokens long, n_known long, train_tokens long"
+    scored = merged.applyInPandas(summed, result)
+    return scored.withColumn("_id", F.col("_id").cast(docs.schema[key].dataType)).withColumnRenamed("_id", key)
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
