@@ -45,7 +45,7 @@ MARK = 0xFF
 #: Key of the end of a text as a word; an empty span of bytes is no word.
 END = 0
 #: Bytes of text after which a block of documents is full, and that are turned into grams at a time.
-BLOCK, PART = 32 << 20, 1 << 21
+BLOCK, PART = 32 << 20, 1 << 19
 #: log Gamma(n + 1/2) and log n! come from a table up to here, beyond it from Stirling's series.
 _TABLE = 4096
 _HALVES = np.concatenate(([0.5 * np.log(np.pi)], 0.5 * np.log(np.pi) + np.cumsum(np.log(np.arange(_TABLE) + 0.5))))
