@@ -26,7 +26,7 @@ from vecspark.session import materialise
 SIZES = (3, 4, 5)
 PER_CLASS = 4000
 #: Bytes of text that are hashed at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def gram_slots(texts: list[bytes], bits: int, live: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -34,9 +34,9 @@ def gram_slots(texts: list[bytes], bits: int, live: np.ndarray | None = None) ->
 
     Every text stands between spaces, so that the ends of words at its ends look like others.
     """
-    rows, slots = [], []
+    found = []
     for part in blocks([len(t) for t in texts], BLOCK):
-        for first, piece, at in _pieces(texts[part], part.start):
+        for piece, at in _pieces(texts[part], part.start):
             lengths = np.array([len(p) for p in piece])
             data = np.frombuffer(b"".join(piece), np.uint8)
             ends = np.repeat(np.cumsum(lengths), lengths)
@@ -53,22 +53,21 @@ def gram_slots(texts: list[bytes], bits: int, live: np.ndarray | None = None) ->
                 keep = place + n <= ends
                 if live is not None:
                     keep &= live[slot]
-                rows.append(owner[keep])
-                slots.append(slot[keep])
-    if not rows:
+                found.append(np.unique((owner[keep].astype(np.int64) << bits) | slot[keep]))
+    if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    both = np.unique((np.concatenate(rows).astype(np.int64) << bits) | np.concatenate(slots))
+    both = np.unique(np.concatenate(found))
     return both >> bits, both & ((1 << bits) - 1)
 
 
 def _pieces(texts: list[bytes], start: int):
     """Texts between spaces; one longer than a block comes in overlapping pieces."""
     if len(texts) > 1 or len(texts[0]) <= BLOCK:
-        yield start, [b" " + t.lower() + b" " for t in texts], [start + i for i in range(len(texts))]
+        yield [b" " + t.lower() + b" " for t in texts], [start + i for i in range(len(texts))]
         return
     text = b" " + texts[0].lower() + b" "
     for at in range(0, len(text), BLOCK):
-        yield start, [text[at: at + BLOCK + max(SIZES) - 1]], [start]
+        yield [text[at: at + BLOCK + max(SIZES) - 1]], [start]
 
 
 def fit_logistic(rows, slots, values, labels, n_rows, size, l2=1e-3, steps=200, rate=0.1):
@@ -131,8 +130,9 @@ def train(
         for batch in batches:
             for y in (0, 1):
                 own = batch["_t"][batch["_y"] == y]
-                for part in np.array_split(np.arange(len(own)), max(1, len(own) // 500)):
-                    _, slots = gram_slots(utf8(own.iloc[part]), bits)
+                texts = utf8(own)
+                for part in blocks([len(t) for t in texts], BLOCK):
+                    _, slots = gram_slots(texts[part], bits)
                     seen[y] += np.bincount(slots, minlength=1 << bits)
         some = np.flatnonzero(seen[0] + seen[1])
         yield pd.DataFrame({"slot": some, "n0": seen[0][some], "n1": seen[1][some]})
