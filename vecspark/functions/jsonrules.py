@@ -70,6 +70,10 @@ def checked_value(value: Column, dtype: JsonType) -> Column:
         return rules.varchar_value(value, dtype.size[0])
     if dtype.name == "DECIMAL":
         return rules.decimal_value(value, *dtype.size)
+    if dtype.name == "TINYINT":
+        truth = value.cast("string").isin("0", "1", "true", "false")
+        wrong = F.raise_error(F.concat(F.lit("not a truth value: "), value.cast("string"))).cast("boolean")
+        return F.when(value.isNull() | truth, value.cast("boolean")).otherwise(wrong)
     return value.cast(dtype.spark)
 
 

@@ -36,6 +36,7 @@ _FUNCTIONS = {
     ),
     "st_point": ("x DOUBLE, y DOUBLE", _POINT, "named_struct('x', x, 'y', y)"),
     "st_astext": (f"p {_POINT}", "STRING", "concat('POINT(', p.x, ' ', p.y, ')')"),
+    "json_extract": ("document STRING, path STRING", "STRING", "get_json_object(document, path)"),
     "match_words": (
         "content STRING, query STRING", "BOOLEAN",
         r"arrays_overlap(regexp_extract_all(lower(content), '([\\p{L}\\p{N}]+)', 1), "

@@ -179,7 +179,11 @@ def knn_join(
         block = local.join(F.broadcast(keys), "_q")  # one block of bounded size
         found = block if found is None else found.unionByName(block)
     if found is None:
-        raise ValueError("no query vectors")
+        empty = T.StructType([
+            queries.schema[query_id], T.StructField(base_id, id_field.dataType), T.StructField("distance", T.DoubleType()),
+            T.StructField("rank", T.IntegerType()),
+        ])
+        return spark.createDataFrame([], empty)
     order = Window.partitionBy("_q").orderBy("distance", "_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(query_id, F.col("_id").alias(base_id), "distance", "rank")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vecspark.operators.partition import in_partitions
 
-# Longer id lists become a semi-join instead of an IN list.
+# Longer id lists become a semi-join instead of an IN list; both cast the ids to the key's type.
 MAX_IN_LIST = 1000
 
 Predicate = Column | str
@@ -59,13 +59,19 @@ def with_ids(df: DataFrame, ids, primary_key: str | Sequence[str], keep: bool =
     if len(key) != 1:
         raise ValueError("ids need a table with a single key column; use a predicate")
     key = key[0]
+    kind = df.schema[key].dataType
     if not isinstance(ids, DataFrame):
         values = list(ids) if isinstance(ids, (list, tuple, set)) else [ids]
         if len(values) <= MAX_IN_LIST:
-            test = F.col(key).isin(values)
+            test = F.col(f"`{key}`").isin([F.lit(v).cast(kind) for v in values])
             return df.where(test if keep else ~F.coalesce(test, F.lit(False)))
-        ids = df.sparkSession.createDataFrame([(v,) for v in values], f"{key} {df.schema[key].dataType.simpleString()}")
-    return df.join(ids.select(key), key, "left_semi" if keep else "left_anti")
+        ids = None
+        for python_type in {type(v) for v in values}:
+            rows = [(v,) for v in values if type(v) is python_type and v is not None]
+            if rows:
+                part = df.sparkSession.createDataFrame(rows, ["v"]).select(F.col("v").cast(kind).alias(key))
+                ids = part if ids is None else ids.unionByName(part)
+    return df.join(ids.select(F.col(f"`{key}`").cast(kind).alias(key)), key, "left_semi" if keep else "left_anti")
 
 
 def get_rows(

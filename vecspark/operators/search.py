@@ -22,13 +22,6 @@ from vecspark.operators.read import filtered, output_columns
 from vecspark.sources.ingest import sparse_to_text
 
 DEFAULT_TOPK = 10
-# Scans estimated above this size score vectors in Arrow batches.
-ARROW_FROM_BYTES = 4 * 1024**3
-
-
-def scan_bytes(df: DataFrame) -> int:
-    """Spark's estimate of the size of a plan's result."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def query_distance(
@@ -60,20 +53,18 @@ def ann_search(
     partitions: Sequence[str] | None = None,
     distance_name: str = "distance",
     float32: bool = True,
-    arrow: bool | None = None,
+    arrow: bool = False,
 ) -> DataFrame:
     """The k rows first in ascending order of the metric, among those that pass ``where``.
 
     Ascending holds for every metric, so ``ip`` returns the least similar rows first
     and ``neg_ip`` the most similar. Rows without a distance (null vector) do not
     count. ``threshold`` keeps rows with distance <= threshold before the limit.
-    Equal distances are ordered by ``primary_key``. Without ``arrow``, the size of the
-    scan decides between scoring inside the JVM and in Arrow batches.
+    Equal distances are ordered by ``primary_key``. ``arrow`` scores in Arrow batches
+    instead of inside the JVM; nothing else decides between the two.
     """
     resolve_metric(metric)
     scope = filtered(in_partitions(df, partitions), where)
-    if arrow is None:
-        arrow = scan_bytes(scope.select(vector_column)) >= ARROW_FROM_BYTES
     dist = query_distance(vector_column, query, metric, float32, arrow)
     chosen = output_columns(df, names, columns, extra)
     keys = [primary_key] if isinstance(primary_key, str) else list(primary_key or [])

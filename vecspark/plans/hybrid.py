@@ -22,8 +22,6 @@ from vecspark.session import materialise
 # Page size and vector candidates where a request names none.
 DEFAULT_SIZE = 10
 DEFAULT_KNN = 10
-# Vector hits up to this many are broadcast to the text hits.
-MAX_BROADCAST_HITS = 100_000
 
 
 @dataclass
@@ -362,8 +360,7 @@ def _fuse(text_hits: DataFrame, vector_hits: DataFrame, key: str, page_end: int,
     text hits. A vector hit that is also a text hit but not among those cannot reach
     it either, and its vector score alone ranks it no higher.
     """
-    near = F.broadcast(vector_hits) if k <= MAX_BROADCAST_HITS else vector_hits
-    both = text_hits.join(near, key, "left").select(
+    both = text_hits.join(vector_hits, key, "left").select(
         key, (F.col("_score") + F.coalesce("knn_score", F.lit(0.0))).alias("_score")
     )
     best = both.orderBy(F.desc("_score"), key).limit(page_end).withColumn("_full", F.lit(1))
