@@ -160,7 +160,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(ordinary: list[str], seed: int = 11, per_template: int = 60, steps: int = 300, l2: float = 1e-4) -> LicenceModel:
+def fit(ordinary: list[str], seed: int = 11, per_template: int = 30, steps: int = 150, l2: float = 1e-4) -> LicenceModel:
     """Train on rows made from the templates and on ``ordinary`` paragraphs."""
     rng = np.random.default_rng(seed)
     classes = [UNKNOWN, *TEMPLATES]
