@@ -282,9 +282,9 @@ def score(
             n = part.stop - part.start
             raw = [data[a:b] for a, b in zip(cut[part], cut[part.start + 1: part.stop + 1])]
             owner, own = grams(raw, depth)
-            out[0, part] = np.bincount(owner, weights=price[np.searchsorted(gram, own)], minlength=n)
+            out[0, part] = np.bincount(owner, weights=_looked_up(gram, price, own), minlength=n)
             owner, own = words(raw)
-            paid = price[np.searchsorted(gram, own)]
+            paid = _looked_up(gram, price, own)
             out[1, part] = np.bincount(owner, weights=paid, minlength=n)
             out[2, part] = np.bincount(owner, minlength=n)
             out[3, part] = np.bincount(owner, weights=paid > least_known, minlength=n)
@@ -299,9 +299,18 @@ def score(
     return scored.withColumn("_id", F.col("_id").cast(docs.schema[key].dataType)).withColumnRenamed("_id", key)
 
 
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted key. ``keys`` is sorted and holds all of them; asking in order
+    keeps the search within the cache."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted))
+    out[order] = values[np.searchsorted(keys, wanted[order])]
+    return out
+
+
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     gram = np.concatenate([p[0] for p in parts])
-    order = np.argsort(gram, kind="stable")
+    order = np.argsort(gram)
     gram = gram[order]
     first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
     return gram[first], np.add.reduceat(np.concatenate([p[1] for p in parts])[order], first)
