@@ -1,3 +1,5 @@
+import itertools
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -114,7 +116,25 @@ def test_phrase_slop(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "c x b y a"), (3, "a b x x x c"), (4, "a b")], "id int, t string")
     def run(slop):
         return ids(df.where(tx.phrase_match(tx.tokens("t"), tx.Clause(("a", "b", "c"), 1.0, slop))))
-    assert run(0) == [1] and run(2) == [1, 2] and run(3) == [1, 2, 3]
+    # Reversed words are as many moves away as their shifts differ: 5, 2 and -1.
+    assert run(0) == [1] and run(2) == [1] and run(3) == [1, 3] and run(5) == [1, 3] and run(6) == [1, 2, 3]
+
+
+def test_phrase_order_and_repeats(spark):
+    texts = ["bora island", "bora bora island", "island bora bora", "bora x island bora", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+
+    def brute(text, terms, slop):
+        words, found = text.split(), False
+        for at in itertools.permutations(range(len(words)), len(terms)):
+            shifts = [p - i for i, p in enumerate(at)]
+            found |= [words[p] for p in at] == list(terms) and max(shifts) - min(shifts) <= slop
+        return found
+
+    for terms in (("bora", "bora", "island"), ("bora", "island"), ("island", "bora"), ("x",)):
+        for slop in range(5):
+            got = ids(df.where(tx.phrase_match(tx.tokens("t"), tx.Clause(terms, 1.0, slop))))
+            assert got == [i for i, t in enumerate(texts) if brute(t, terms, slop)], (terms, slop)
 
 
 def test_minimum_matches():

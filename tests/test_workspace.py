@@ -129,3 +129,20 @@ def test_sparse(ws):
         ws.create_vector_index("s", "j", "s", "daat", "l2")
     with pytest.raises(TypeError):
         ws.insert("s", {"id": 9, "s": [1.0]})
+
+
+def test_update_keeps_the_rules_and_sql_the_views(ws, spark):
+    spec = sc.TableSpec([sc.field("id", "int"), sc.field("name", "string", True, max_length=3)], ("id",))
+    ws.create_table("people", spec)
+    ws.insert("people", [{"id": 1, "name": "ann"}, {"id": 2, "name": "bo"}])
+    with pytest.raises(ValueError, match="max_length|type"):
+        ws.update("people", {"name": "repeat(name, 4)"}, "id = 1")
+    with pytest.raises(ValueError):
+        ws.update("people", {"id": "7"})
+    with pytest.raises(ValueError):
+        ws.update("people", {"id": "2"}, "id = 1")
+    ws.update("people", {"name": "upper(name)"}, "id = 2")
+    spark.range(3).createOrReplaceTempView("people")
+    assert ws.sql("SELECT name FROM people WHERE id = 2").first()["name"] == "BO"
+    assert spark.table("people").count() == 3
+    spark.catalog.dropTempView("people")

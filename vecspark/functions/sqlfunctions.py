@@ -8,11 +8,42 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from vecspark.functions import geo
+
 _DOT = "aggregate(zip_with({a}, {b}, (x, y) -> x * y), 0D, (s, x) -> s + x)"
 _SAME = "CASE WHEN size(a) <> size(b) THEN CAST(raise_error('vectors have different dimensions') AS DOUBLE) ELSE {value} END"
 
 _VECTOR_ARGS = "a ARRAY<DOUBLE>, b ARRAY<DOUBLE>"
 _POINT = "STRUCT<x: DOUBLE, y: DOUBLE>"
+_WKT = "r'" + geo.WKT_POINT + "'"
+
+
+def _let(values: dict[str, str], body: str) -> str:
+    """SQL of ``body`` over named values (``v.name``) that are computed once."""
+    row = ", ".join(f"'{name}', {value}" for name, value in values.items())
+    return f"get(transform(array(named_struct({row})), v -> {body}), 0)"
+
+
+#: Metres between two points (latitude, longitude), by the formula of ``functions.geo.distance``.
+_DISTANCE = _let(
+    {"m": "radians((a.x + b.x) / 2D)", "g": "radians((a.x - b.x) / 2D)", "l": "radians((a.y - b.y) / 2D)"},
+    _let(
+        {
+            "s": "pow(sin(v.g), 2) * pow(cos(v.l), 2) + pow(cos(v.m), 2) * pow(sin(v.l), 2)",
+            "c": "pow(cos(v.g), 2) * pow(cos(v.l), 2) + pow(sin(v.m), 2) * pow(sin(v.l), 2)",
+            "north": "pow(sin(v.m), 2) * pow(cos(v.g), 2)", "south": "pow(cos(v.m), 2) * pow(sin(v.g), 2)",
+        },
+        _let(
+            {
+                "s": "v.s", "c": "v.c", "north": "v.north", "south": "v.south",
+                "w": "atan2(sqrt(v.s), sqrt(v.c))", "r": "3D * sqrt(v.s * v.c)",
+            },
+            f"CASE WHEN v.s = 0D THEN 0D WHEN v.c = 0D THEN {2 * geo.EQUATORIAL_RADIUS!r}D * v.w "
+            f"WHEN v.s IS NOT NULL THEN {2 * geo.EQUATORIAL_RADIUS!r}D * v.w * (1D + {geo.FLATTENING!r}D * "
+            "((v.r / v.w - 1D) / (2D * v.c) * v.north - (v.r / v.w + 1D) / (2D * v.s) * v.south)) END",
+        ),
+    ),
+)
 
 _FUNCTIONS = {
     "l2_distance": (
@@ -36,6 +67,13 @@ _FUNCTIONS = {
     ),
     "st_point": ("x DOUBLE, y DOUBLE", _POINT, "named_struct('x', x, 'y', y)"),
     "st_astext": (f"p {_POINT}", "STRING", "concat('POINT(', p.x, ' ', p.y, ')')"),
+    "st_geomfromtext": (
+        "wkt STRING", _POINT,
+        f"CASE WHEN wkt RLIKE {_WKT} THEN named_struct('x', try_cast(regexp_extract(wkt, {_WKT}, 1) AS DOUBLE), "
+        f"'y', try_cast(regexp_extract(wkt, {_WKT}, 2) AS DOUBLE)) END",
+    ),
+    "st_distance": (f"a {_POINT}, b {_POINT}", "DOUBLE", _DISTANCE),
+    "st_dwithin": (f"a {_POINT}, b {_POINT}, metres DOUBLE", "BOOLEAN", f"{_DISTANCE} <= metres"),
     "json_extract": ("document STRING, path STRING", "STRING", "get_json_object(document, path)"),
     "match_words": (
         "content STRING, query STRING", "BOOLEAN",

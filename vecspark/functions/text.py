@@ -243,17 +243,41 @@ def _wraps_all(text: str) -> bool:
 
 
 def phrase_match(token_array: Column, clause: Clause) -> Column:
-    """True where all terms fall in a window of ``len(terms) + slop`` tokens."""
-    wanted = list(dict.fromkeys(clause.terms))
-    width = len(clause.terms) + (clause.slop or 0)
-    indexed = F.transform(token_array, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
-    starts = F.filter(indexed, lambda e: e["t"].isin(wanted))
-    return F.exists(
-        starts,
-        lambda e: F.size(
-            F.array_except(
-                F.lit(wanted), F.slice(token_array, e["i"] + F.lit(1), F.lit(width))
-            )
+    """True where the terms occur in order, with moves of ``slop`` tokens in all.
+
+    Each term takes a token of its own. A token's shift is its place less the term's place
+    in the phrase; the phrase occurs where all shifts lie within ``slop`` of the smallest.
+    """
+    terms, slop = list(clause.terms), clause.slop or 0
+    places = {term: [i for i, t in enumerate(terms) if t == term] for term in terms}
+
+    def holds(all_tokens: Column, shift: Column) -> Column:
+        """All terms have tokens when the smallest shift is ``shift``."""
+        result = F.lit(True)
+        for term, at in places.items():
+            # Equally long windows get distinct tokens where no run of windows has too few.
+            for i, first in enumerate(at):
+                for j, last in enumerate(at[i:]):
+                    start = F.greatest(shift + F.lit(first + 1), F.lit(1))
+                    length = F.greatest(shift + F.lit(last + slop + 2) - start, F.lit(0))
+                    window = F.slice(all_tokens, start, length)
+                    if j:
+                        result = result & (term_frequency(window, term) > j)
+                    else:
+                        result = result & F.array_contains(window, term)
+        return result
+
+    def occurs(all_tokens: Column) -> Column:
+        indexed = F.transform(all_tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i")))
+        if not slop:
+            starts = F.filter(indexed, lambda e: e["t"] == terms[0])
+            return F.exists(starts, lambda e: holds(all_tokens, e["i"]))
+        starts = F.filter(indexed, lambda e: e["t"].isin(list(places)))
+        offsets = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(i).alias("o")) for i, t in enumerate(terms)])
+        return F.exists(
+            starts,
+            lambda e: F.exists(offsets, lambda x: (x["t"] == e["t"]) & holds(all_tokens, e["i"] - x["o"])),
         )
-        == 0,
-    )
+
+    # Inside a transform, so that the tokens are made once for each row.
+    return F.get(F.transform(F.array(token_array), occurs), F.lit(0))

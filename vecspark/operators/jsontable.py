@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from vecspark.functions.jsonrules import TIMESTAMP_FORMAT, JsonType, checked_value, converted_value
 from vecspark.operators.read import conjunction
-from vecspark.session import number_rows
+from vecspark.session import number_rows, views
 from vecspark.sources.schema import TableSpec, field
 from vecspark.sources.tables import VersionedTable
 
@@ -456,11 +456,6 @@ class JsonTables:
         The tables exist as temporary views only while the statement is analysed;
         with ``with_id`` they lead with ``jdata_id``.
         """
-        names = self.tables()
-        for name in names:
-            self.read(name, user_id, with_id).createOrReplaceTempView(f"`{name}`")
-        try:
+        named = [n for n in self.tables() if n.lower() in query.lower()]
+        with views(self.spark, {name: self.read(name, user_id, with_id) for name in named}):
             return self.spark.sql(query)
-        finally:
-            for name in names:
-                self.spark.catalog.dropTempView(name)

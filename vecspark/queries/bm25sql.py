@@ -38,10 +38,14 @@ def bm25(prefix: str, i: int) -> str:
 
 
 def phrase(tokens: str, terms: Sequence[str], slop: int) -> str:
-    """True where the terms share a window of ``len(terms) + slop`` tokens."""
-    width = len(terms) + slop
-    listed = "[" + ", ".join(f"'{t}'" for t in terms) + "]"
-    return (
-        f"len(list_filter(range(1, len({tokens}) + 1), lambda i: list_contains({listed}, {tokens}[i])"
-        f" AND list_has_all({tokens}[i:i + {width - 1}], {listed}))) > 0"
-    )
+    """True where places of the terms (all different) can be chosen whose shifts differ by ``slop`` at most."""
+    def choose(i: int) -> str:
+        if i == len(terms):
+            return "TRUE"
+        places = f"list_filter(range(1, len({tokens}) + 1), lambda q{i}: {tokens}[q{i}] = '{terms[i]}')"
+        near = [f"abs((p{i} - {i}) - (p{j} - {j})) <= {slop} AND p{i} <> p{j}" for j in range(i)]
+        if near:
+            places = f"list_filter({places}, lambda p{i}: {' AND '.join(near)})"
+        return f"len(list_filter({places}, lambda p{i}: {choose(i + 1)})) > 0"
+
+    return f"({choose(0)})"

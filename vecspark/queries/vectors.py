@@ -242,3 +242,9 @@ def sparse_ip_pairs(spark, sf_dir):
     b = sparse_from_dense(F.reverse("embedding"), 0.1)
     maps = table(spark, sf_dir, "embeddings").select("vec_id", a.alias("a"), b.alias("b"))
     return maps.select("vec_id", F.round(sparse_inner_product("a", "b"), 4).alias("ip"))
+
+
+@query("raw_sql_json_fn", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def raw_sql_json_fn(spark, sf_dir):
+    sqlfunctions.register(spark)
+    return spark.sql("SELECT event_id, json_extract(props, '$.k') AS k FROM {e}", e=table(spark, sf_dir, "events"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -74,3 +76,20 @@ def number_rows(rows: DataFrame, start: int, column: str) -> DataFrame:
     placed = stored.withColumn("_task", task).join(F.broadcast(starts), "_task")  # one row per task
     local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.withColumn(column, F.col("_start") + local).drop("_task", "_start", "_mid")
+
+
+@contextlib.contextmanager
+def views(spark: SparkSession, frames: Mapping[str, DataFrame]) -> Iterator[None]:
+    """Temporary views by name while a statement is analysed; views of the session that have
+    one of these names are put back."""
+    temporary = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+    own = {name: spark.table(f"`{name}`") for name in frames if name.lower() in temporary}
+    try:
+        for name, df in frames.items():
+            df.createOrReplaceTempView(f"`{name}`")
+        yield
+    finally:
+        for name in frames:
+            spark.catalog.dropTempView(name)
+        for name, df in own.items():
+            df.createOrReplaceTempView(f"`{name}`")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from vecspark.functions import sqlfunctions
 from vecspark.operators import fts, ivf, mutate, read, search, sparse
 from vecspark.plans.hybrid import hybrid_search
-from vecspark.session import number_rows
+from vecspark.session import number_rows, views
 from vecspark.sources.schema import TableSpec, quick_collection, require_valid
 from vecspark.sources.tables import VersionedTable, _Files, row_count
 
@@ -96,14 +96,9 @@ class Workspace:
     def sql(self, text: str) -> DataFrame:
         """Any SQL over the tables by name, with the library's functions."""
         sqlfunctions.register(self.spark)
-        names = self.table_names()
-        for name in names:
-            self._table(name).read().createOrReplaceTempView(name)
-        try:
+        named = [n for n in self.table_names() if n.lower() in text.lower()]
+        with views(self.spark, {name: self._table(name).read() for name in named}):
             return self.spark.sql(text)
-        finally:
-            for name in names:
-                self.spark.catalog.dropTempView(name)
 
     # --- rows -----------------------------------------------------------------------------
 
@@ -171,9 +166,17 @@ class Workspace:
         self._store(table, partition, mutate.upsert(base, new, spec.primary_key))
 
     def update(self, name: str, values: Mapping, where=None, partition: str | None = None) -> None:
-        table = self._table(name)
+        """Set columns; the changed rows must keep the schema's rules, and keys stay unique."""
+        table, spec = self._table(name), self._table(name).spec
         base = table.read([partition] if partition else None)
-        self._store(table, partition, mutate.update(base, values, where))
+        changed = mutate.update(read.filtered(base, where), values)
+        require_valid(changed.select(*{**dict.fromkeys(spec.primary_key), **dict.fromkeys(values)}), spec)
+        rows = mutate.update(base, values, where)
+        if set(values) & set(spec.primary_key):
+            taken = rows.groupBy(*spec.primary_key).agg(F.count("*").alias("n")).where("n > 1").first()
+            if taken is not None:
+                raise ValueError(f"duplicate key {tuple(taken)[:-1]}")
+        self._store(table, partition, rows)
 
     def delete(self, name: str, ids=None, where=None, partition: str | None = None) -> None:
         table = self._table(name)
