@@ -85,6 +85,8 @@ TEMPLATES = {
 UNKNOWN = "unknown"
 #: Documents whose paragraphs stand for the unknown class.
 SAMPLE = 1000
+#: Paragraphs of them that are learned from, and the characters of each.
+PARAGRAPHS, LONGEST = 4000, 2000
 LEAST_LIKENESS = 0.7
 _WORD = re.compile(r"[a-z0-9]+(?:[.'][a-z0-9]+)*")
 
@@ -219,13 +221,17 @@ def fit(ordinary: list[str], seed: int = 11, per_template: int = 30, steps: int
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> LicenceModel:
-    """Fit with paragraphs of at most ``sample`` documents, the first by a hash of the key."""
+    """Fit with at most ``PARAGRAPHS`` paragraphs of at most ``sample`` documents, the first of
+    both by a hash. A paragraph of over ``LONGEST`` characters is represented by that many,
+    from a place that the hash names."""
     ids = docs.select(F.col(key).alias("_k")).where("_k IS NOT NULL").distinct().orderBy(F.xxhash64("_k"), "_k").limit(sample)
-    picked = docs.join(F.broadcast(ids), F.col(key) == F.col("_k")).select(
-        "_k", F.substring(F.coalesce(F.col(text), F.lit("")), 1, 2000).alias("t")
-    )
-    rows = sorted((r["_k"], r["t"]) for r in picked.dropDuplicates(["_k"]).collect())  # ``sample`` rows
-    return fit([p for _, t in rows for p in t.split("\n")[:4]])
+    picked = docs.join(F.broadcast(ids), F.col(key) == F.col("_k"))  # ``sample`` rows
+    lines = picked.select("_k", F.posexplode(F.split(F.col(text), "\n")).alias("_n", "_p")).where("trim(_p) <> ''")
+    order = F.xxhash64("_k", "_n", "_p")
+    start = F.pmod(order, F.greatest(F.length("_p") - LONGEST, F.lit(0)) + 1) + 1
+    chosen = lines.select(order.alias("_o"), F.substring("_p", start.cast("int"), F.lit(LONGEST)).alias("_p"))
+    rows = chosen.orderBy("_o", "_p").limit(PARAGRAPHS).collect()
+    return fit([r["_p"] for r in rows])
 
 
 def scan(docs: DataFrame, model: LicenceModel, key: str = "doc_id", text: str = "text") -> DataFrame:
