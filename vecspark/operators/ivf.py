@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vecspark.functions.distance import arrow_matrix, as_float32, dense_distance, resolve_metric, score_matrix
 from vecspark.operators.knn import knn_join
@@ -344,7 +344,11 @@ def build(
 
 def probe_lists(index: IvfIndex, queries: np.ndarray, nprobe: int) -> np.ndarray:
     """The ``nprobe`` nearest lists of every query (queries x nprobe)."""
-    scores = score_matrix(index.quantiser.centres, queries, index.metric)
+    return _nearest_lists(index.quantiser.centres, queries, index.metric, nprobe)
+
+
+def _nearest_lists(centres: np.ndarray, queries: np.ndarray, metric: str, nprobe: int) -> np.ndarray:
+    scores = score_matrix(centres, queries, metric)
     scores = np.where(np.isnan(scores), np.inf, scores)
     return np.argsort(scores, axis=0, kind="stable")[:nprobe].T
 
@@ -458,23 +462,45 @@ def filtered_search(
     return _first_k(rows.select(key, exact), key, k)
 
 
+def _probing(shared, metric: str, nprobe: int):
+    """A ``mapInArrow`` function that adds the nearest lists to (key, vector)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres = shared.value
+        step = max(1, _TILE // len(centres))
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                _, queries = arrow_matrix(part.column(1), centres.shape[1])
+                lists = _nearest_lists(centres, queries, metric, nprobe).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), _list_column(lists, pa.int32())], ["_key", "_vector", "_lists"]
+                )
+
+    return run
+
+
 def knn(
     queries: DataFrame, spark: SparkSession, index: IvfIndex, k: int, nprobe: int | None = None,
     query_id: str = "query_id", query_vector: str = "vector",
 ) -> DataFrame:
-    """Approximate :func:`vecspark.operators.knn.knn_join`: a query meets its probed lists only."""
+    """Approximate :func:`vecspark.operators.knn.knn_join`: a query meets its probed lists only.
+
+    Lists are assigned in tasks, against the centres.
+    """
     nprobe = min(nprobe or index.default_nprobe, index.nlist)
 
-    def lists_of(matrix: np.ndarray) -> dict[int, np.ndarray]:
-        wanted: dict[int, list[int]] = {}
-        for q, row in enumerate(probe_lists(index, matrix, nprobe)):
-            for value in row:
-                wanted.setdefault(int(value), []).append(q)
-        return {value: np.array(qs) for value, qs in wanted.items()}
+    def probe(numbered: DataFrame, dim: int) -> DataFrame:
+        if dim != index.dim:
+            raise ValueError("vectors have different dimensions")
+        shared = spark.sparkContext.broadcast(index.quantiser.centres)  # bounded by MAX_CENTRE_BYTES
+        lists = T.StructField("_lists", T.ArrayType(T.IntegerType()))
+        schema = T.StructType([*numbered.schema.fields, lists])
+        return numbered.mapInArrow(_probing(shared, index.metric, nprobe), schema)
 
     return knn_join(
         queries, index.rows(spark), k, index.metric, query_id, query_vector, index.primary_key, index.vector,
-        list_column="list_id", probe_fn=lists_of,
+        list_column="list_id", probe=probe,
     )
 
 

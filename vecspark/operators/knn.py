@@ -1,25 +1,35 @@
 """Nearest neighbours for a whole table of queries.
 
-Every task scores its batches of the base table against a block of queries with a
-matrix product and keeps k rows per query, so no (query, row) pair leaves a task
-and nothing depends on how rows spread over keys. What is shuffled is k rows per
-query and task. A block of queries travels to the tasks only after its size has
-been checked; more queries than fit are answered block by block.
+Queries and base rows are packed into chunks: one row of Spark with a list of keys and the
+bytes of a matrix. Chunks of queries and of base rows meet in an equality join on (list,
+slice, block). Without an index there is one list; with an inverted file a query takes part
+in the lists that it probes. A list with many base rows is cut into slices and one with many
+queries into blocks, by their counts, so no task holds a large list. A task scores a pair of
+chunks by a matrix product and keeps the k best rows per query; what it holds is bounded, and
+what it emits is ranked in two steps. No vector passes the driver, unless Spark itself
+broadcasts a side that is below its own threshold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from vecspark.functions.distance import arrow_matrix, resolve_metric, score_matrix, score_pairs
-from vecspark.session import number_rows
-
-# Bytes of query vectors one block may hold.
-MAX_QUERY_BYTES = 64 * 1024 * 1024
+from vecspark.session import materialise
+
+# Bytes of vectors in one chunk of queries, and in one of base rows.
+MAX_QUERY_BYTES = CHUNK_BYTES = 1024 * 1024
+# Rows of a list in one slice, and queries of a list in one block.
+SLICE_ROWS = 1 << 17
+# Result rows that a task holds before it emits them.
+_HELD = 1_000_000
+# Parts of a query's candidates that are ranked apart first.
+_PARTS = 32
 # Rows x queries scored at once inside a task.
 _TILE = 4_000_000
 # Relative error a matrix product may carry; closer scores are compared again exactly.
@@ -72,66 +82,88 @@ def _id_array(column: pa.Array) -> np.ndarray:
     return np.asarray(column.to_pandas())
 
 
-def local_topk(query_matrix, metric: str, k: int, id_type: pa.DataType, probes=None, start: int = 0):
-    """A ``mapInArrow`` function over (id, vector[, list]) batches.
+def packer(dim: int, max_bytes: int, id_type: pa.DataType):
+    """A ``mapInArrow`` function from (list, id, vector) to chunks (list, ids, vectors).
 
-    ``query_matrix`` and ``probes`` are broadcast variables; with probes, a row of
-    list L meets only the queries that probe L. ``start`` is the number of the first query.
+    Null vectors are left out. A chunk holds rows of one list and one batch.
     """
+    per_chunk = max(1, max_bytes // (8 * dim))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            present, rows = arrow_matrix(batch.column(2), dim)
+            lists = np.asarray(batch.column(0))[present]
+            order = np.argsort(lists, kind="stable")
+            edges = np.flatnonzero(np.diff(lists[order])) + 1
+            for same in np.split(order, edges):
+                for at in range(0, len(same), per_chunk):
+                    part = same[at : at + per_chunk]
+                    ids = batch.column(1).take(pa.array(present[part]))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([int(lists[part[0]])], pa.int32()),
+                            pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), ids.cast(id_type)),
+                            pa.array([rows[part].tobytes()], pa.binary()),
+                        ],
+                        ["_list", "ids", "vectors"],
+                    )
+
+    return run
+
+
+def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType):
+    """A ``mapInArrow`` function from pairs of chunks (numbers, queries, ids, rows) to the k best
+    rows per query, merged over the pairs of a task as far as ``_HELD`` rows allow."""
+
+    def table(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        q, ids, d = (np.concatenate(column) for column in zip(*parts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(q, pa.int64()), pa.array(ids, id_type), pa.array(d, pa.float64())], ["_q", "_id", "distance"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = query_matrix.value
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
-            present, rows = arrow_matrix(batch.column(1), queries.shape[1])
-            if not len(present):
-                continue
-            ids = _id_array(batch.column(0))[present]
-            if probes is None:
-                groups = [(slice(None), None)]
-            else:
-                lists = np.asarray(batch.column(2))[present]
-                groups = [(lists == value, probes.value.get(int(value))) for value in np.unique(lists)]
-            for mask, wanted in groups:
-                if probes is not None and wanted is None:
-                    continue
-                block = queries if wanted is None else queries[wanted]
-                q, i, d = best_per_query(ids[mask], rows[mask], block, metric, k)
-                parts.append((q if wanted is None else wanted[q], i, d))
+            for i in range(batch.num_rows):
+                numbers = np.asarray(batch.column(0)[i].values)
+                ids = _id_array(batch.column(2)[i].values)
+                queries, rows = (
+                    np.frombuffer(batch.column(c)[i].as_buffer(), np.float64).reshape(-1, dim) for c in (1, 3)
+                )
+                q, found, d = best_per_query(ids, rows, queries, metric, k)
+                parts.append((numbers[q], found, d))
                 held += len(q)
-            if held > 4 * k * len(queries) + 100_000:
-                parts = [_merge(parts, k)]
-                held = len(parts[0][0])
+                if held > _HELD:
+                    parts = [_merge(parts, k)]
+                    held = len(parts[0][0])
+                    if held > _HELD // 2:
+                        yield table(parts)
+                        parts, held = [], 0
         if parts:
-            q, ids, d = _merge(parts, k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q.astype(np.int64) + start), pa.array(ids, id_type), pa.array(d, pa.float64())],
-                ["_q", "_id", "distance"],
-            )
+            yield table([_merge(parts, k)])
 
     return run
 
 
-def query_blocks(queries: DataFrame, id_column: str, vector_column: str, max_bytes: int):
-    """The queries in blocks of at most ``max_bytes``: (first number, ids, float64 matrix).
+def _chunks(rows: DataFrame, vector: str, dim: int, max_bytes: int, id_type: T.DataType) -> DataFrame:
+    """``rows`` (_list, _key, vector) in chunks, with a hash of the first key to deal them by."""
+    schema = T.StructType([
+        T.StructField("_list", T.IntegerType()), T.StructField("ids", T.ArrayType(id_type)),
+        T.StructField("vectors", T.BinaryType()),
+    ])
+    packed = rows.select("_list", "_key", vector).mapInArrow(packer(dim, max_bytes, _arrow_type(id_type)), schema)
+    return packed.withColumn("_hash", F.xxhash64(F.get("ids", F.lit(0))))
 
-    More than one block needs numbered rows, so that blocks are equal whatever the ids
-    are; the numbers also tell queries with one id apart.
-    """
-    rows = queries.where(F.col(vector_column).isNotNull()).select(id_column, vector_column)
-    n, dim = rows.agg(F.count("*"), F.max(F.size(vector_column))).first()
-    if not n:
-        return
-    per_block = max(1, max_bytes // (8 * dim))
-    if n > per_block:
-        rows = number_rows(rows, -1, "_n")
-    for start in range(0, n, per_block):
-        part = rows
-        if n > per_block:
-            part = rows.where((F.col("_n") >= start) & (F.col("_n") < start + per_block))
-        table = part.select(id_column, vector_column).toArrow()
-        yield start, table.column(0).combine_chunks(), arrow_matrix(table.column(1), dim)[1]
+
+def _counts(visits: DataFrame, base: DataFrame) -> DataFrame:
+    """One row per list that has queries and rows: _list, _slices, _blocks."""
+    n_rows = base.groupBy("_list").agg(F.count("*").alias("_rows"))
+    n_queries = visits.groupBy("_list").agg(F.count("*").alias("_queries"))
+    both = n_rows.join(n_queries, "_list")
+    return both.select(
+        "_list", F.ceil(F.col("_rows") / SLICE_ROWS).alias("_slices"), F.ceil(F.col("_queries") / SLICE_ROWS).alias("_blocks")
+    )
 
 
 def knn_join(
@@ -145,48 +177,68 @@ def knn_join(
     base_vector: str = "vector",
     max_query_bytes: int = MAX_QUERY_BYTES,
     list_column: str | None = None,
-    probe_fn=None,
+    probe: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
     """The k nearest base rows of every query: ``(query_id, base_id, distance, rank)``.
 
-    ``probe_fn(matrix) -> {list: query positions}`` with ``list_column`` restricts a
-    query to some lists of an inverted-file index.
+    ``probe(numbered, dim)`` adds the column ``_lists`` (the lists a query visits) to
+    (_key, _vector); with ``list_column`` it restricts a query to those lists of an
+    inverted-file index. Rows and queries with a null vector take no part; queries with one
+    id are answered each. No query gives no rows.
     """
     metric = resolve_metric(metric)
     spark = base.sparkSession
-    id_field = base.schema[base_id]
-    id_type = T.StructType([T.StructField("x", id_field.dataType)])
-    arrow_type = _arrow_type(id_field.dataType)
-    out_schema = T.StructType(
-        [
-            T.StructField("_q", T.LongType()),
-            T.StructField("_id", id_type["x"].dataType),
-            T.StructField("distance", T.DoubleType()),
-        ]
-    )
-    found = None
-    source = base.select(base_id, base_vector, *([list_column] if list_column else []))
-    for start, ids, matrix in query_blocks(queries, query_id, query_vector, max_query_bytes):
-        shared = spark.sparkContext.broadcast(matrix)
-        scope, probes = source, None
-        if probe_fn is not None:
-            lists = probe_fn(matrix)
-            probes = spark.sparkContext.broadcast(lists)
-            scope = source.where(F.col(list_column).isin(sorted(lists)))
-        local = scope.mapInArrow(local_topk(shared, metric, k, arrow_type, probes, start), out_schema)
-        numbers = pa.array(np.arange(start, start + len(ids)), pa.int64())
-        keys = spark.createDataFrame(pa.table({"_q": numbers, query_id: ids}))
-        block = local.join(F.broadcast(keys), "_q")  # one block of bounded size
-        found = block if found is None else found.unionByName(block)
-    if found is None:
+    id_type = base.schema[base_id].dataType
+    rows = queries.where(F.col(query_vector).isNotNull())
+    numbered = materialise(
+        rows.select(F.monotonically_increasing_id().alias("_key"), F.col(query_id).alias("_qid"), F.col(query_vector).alias("_vector")),
+        "knn-queries",
+    )  # numbers are fixed once written
+    n_queries, dim = numbered.agg(F.count("*"), F.max(F.size("_vector"))).first()
+    if not n_queries:
         empty = T.StructType([
-            queries.schema[query_id], T.StructField(base_id, id_field.dataType), T.StructField("distance", T.DoubleType()),
+            queries.schema[query_id], T.StructField(base_id, id_type), T.StructField("distance", T.DoubleType()),
             T.StructField("rank", T.IntegerType()),
         ])
         return spark.createDataFrame([], empty)
-    order = Window.partitionBy("_q").orderBy("distance", "_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select(query_id, F.col("_id").alias(base_id), "distance", "rank")
+    source = base.select(
+        (F.col(list_column) if list_column else F.lit(0)).cast("int").alias("_list"), F.col(base_id).alias("_key"),
+        F.col(base_vector).alias("_vector"),
+    )
+    if probe is None:
+        visits = numbered.select(F.lit(0).alias("_list"), "_key", "_vector")
+        slices = F.lit(max(1, math.ceil(base.count() / SLICE_ROWS)))
+        blocks = F.lit(max(1, math.ceil(n_queries / SLICE_ROWS)))
+        sized = lambda chunks: chunks.withColumns({"_slices": slices, "_blocks": blocks})
+    else:
+        visits = probe(numbered.select("_key", "_vector"), dim).select(F.explode("_lists").alias("_list"), "_key", "_vector")
+        visits = materialise(visits.hint("rebalance", "_list").sortWithinPartitions("_list"), "knn-visits")
+        sizes = materialise(_counts(visits, source), "knn-sizes")  # one row per list
+        source = source.join(sizes.select("_list"), "_list", "left_semi")
+        sized = lambda chunks: chunks.join(sizes, "_list")
+
+    asked = sized(_chunks(visits, "_vector", dim, max_query_bytes, T.LongType()))
+    asked = asked.select(
+        "_list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)).alias("_slice"),
+        F.pmod("_hash", "_blocks").alias("_block"), F.col("ids").alias("_numbers"), F.col("vectors").alias("_asked"),
+    )
+    stored = sized(_chunks(source, "_vector", dim, CHUNK_BYTES, id_type))
+    stored = stored.select(
+        "_list", F.pmod("_hash", "_slices").alias("_slice"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"), "ids", "vectors",
+    )
+    pairs = stored.join(asked, ["_list", "_slice", "_block"]).select("_numbers", "_asked", "ids", "vectors")
+    out_schema = T.StructType([
+        T.StructField("_q", T.LongType()), T.StructField("_id", id_type), T.StructField("distance", T.DoubleType()),
+    ])
+    found = pairs.mapInArrow(pair_topk(dim, metric, k, _arrow_type(id_type)), out_schema)
+    found = found.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(_PARTS)))
+    ranked = found
+    for keys in (["_q", "_part"], ["_q"]):
+        order = Window.partitionBy(*keys).orderBy("distance", "_id")
+        ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    names = numbered.select(F.col("_key").alias("_q"), F.col("_qid").alias(query_id))
+    return ranked.join(names, "_q").select(query_id, F.col("_id").alias(base_id), "distance", "rank")
 
 
 def _arrow_type(dtype: T.DataType) -> pa.DataType:

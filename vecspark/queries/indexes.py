@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vecspark.operators import ivf
-from vecspark.queries.registry import query, table
+from vecspark.queries.registry import ORACLES, query, table
 from vecspark.queries.vectors import QUERY, _topk_sql
 from vecspark.session import scratch_path
 
@@ -47,6 +47,14 @@ def ivf_knn_join(spark, sf_dir):
     return _rounded(ivf.knn(queries, spark, _index(spark, sf_dir, "flat"), 5))
 
 
+@query("ivf_knn_full_probe", ORACLES["vec_knn_join"])
+def ivf_knn_full_probe(spark, sf_dir):
+    base = table(spark, sf_dir, "embeddings")
+    queries = base.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    index = _index(spark, sf_dir, "flat", nlist=16)
+    return _rounded(ivf.knn(queries, spark, index, 5, nprobe=index.nlist))
+
+
 @query("vec_post_filter")
 def vec_post_filter(spark, sf_dir):
     base = table(spark, sf_dir, "embeddings")
