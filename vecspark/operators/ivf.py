@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
@@ -36,8 +37,6 @@ PQ_CENTRES = 256
 RERANK = 4
 REFRESH_ROWS = 10000
 REBUILD_FRACTION = 0.2
-# Most candidates a filtered search takes from the index before it turns exact.
-MAX_CANDIDATES = 100_000
 # Most bytes of centres that may travel to every executor.
 MAX_CENTRE_BYTES = 512 * 1024 * 1024
 # Rows x centres compared at once inside a task.
@@ -49,7 +48,8 @@ class IvfIndex:
     """An index on disk. ``min_values``/``steps`` serve SQ8, ``m`` PQ.
 
     ``lists`` names the lists that have rows; with it a search opens the folders it
-    probes without listing the others.
+    probes without listing the others. ``row_hash`` is the hash of a stored vector; ``gone``
+    is the folder of the (key, hash) pairs that left the table or have another vector now.
     """
 
     path: str
@@ -66,6 +66,7 @@ class IvfIndex:
     steps: tuple[float, ...] | None = None
     samples_per_list: int = SAMPLES_PER_LIST
     lists: tuple[int, ...] = ()
+    gone: str | None = None
 
     def save_meta(self, spark: SparkSession) -> None:
         row = [(json.dumps(asdict(self)),)]
@@ -81,10 +82,18 @@ class IvfIndex:
     @property
     def stored_columns(self) -> str:
         codes = {"flat": "", "sq8": ", codes array<tinyint>", "pq": ", codes array<tinyint>, bias double"}
-        return f"`{self.primary_key}` {self.key_type}, `{self.vector}` array<float>{codes[self.kind]}, list_id int"
+        return f"`{self.primary_key}` {self.key_type}, `{self.vector}` array<float>, row_hash bigint{codes[self.kind]}, list_id int"
 
     def rows(self, spark: SparkSession, lists: Sequence[int] | None = None) -> DataFrame:
-        """All rows, or those of some lists."""
+        """All rows of the table as of the last refresh, or those of some lists."""
+        stored = self.stored_rows(spark, lists)
+        if self.gone is None:
+            return stored
+        gone = spark.read.schema(f"`{self.primary_key}` {self.key_type}, row_hash bigint").parquet(self.gone)
+        return stored.join(gone, [self.primary_key, "row_hash"], "left_anti")
+
+    def stored_rows(self, spark: SparkSession, lists: Sequence[int] | None = None) -> DataFrame:
+        """All rows that were ever added, or those of some lists."""
         root = f"{self.path}/lists"
         reader = spark.read.schema(self.stored_columns).option("basePath", root)
         if lists is None:
@@ -166,7 +175,7 @@ def encoder(shared, kind: str, metric: str, dim: int):
             if metric == "cosine":
                 rows = unit_rows(rows)
             lists = nearest(rows, q["centres"])
-            columns, names = [batch.column(0), batch.column(1)], ["key", "vector"]
+            columns, names = batch.columns[:3], ["key", "vector", "row_hash"]
             if kind == "sq8":
                 _, plain = arrow_matrix(batch.column(1), dim)
                 codes = np.clip(np.rint((plain - q["low"]) / q["steps"]), 0, 255) - 128
@@ -266,9 +275,13 @@ def _fit_codebooks(sample: DataFrame, vector: str, metric: str, centres: np.ndar
         rest.unpersist()
 
 
+def _row_hash(index: IvfIndex) -> Column:
+    return F.xxhash64(F.col(index.vector).cast("array<float>"))
+
+
 def _encode(rows: DataFrame, index: IvfIndex, quantiser: Quantiser) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(vars(quantiser))  # bounded by MAX_CENTRE_BYTES
-    source = rows.select(index.primary_key, F.col(index.vector).cast("array<float>"))
+    source = rows.select(index.primary_key, F.col(index.vector).cast("array<float>"), _row_hash(index).alias("row_hash"))
     return source.mapInArrow(encoder(shared, index.kind, index.metric, index.dim), index.stored_columns)
 
 
@@ -426,40 +439,44 @@ def search(
         raise ValueError("vectors have different dimensions")
     nprobe = min(nprobe or index.default_nprobe, index.nlist)
     probed = probe_lists(index, np.asarray([query]), nprobe)[0] if nprobe < index.nlist else None
-    rows = index.rows(spark, probed)
+    best = _nearest_rows(index.rows(spark, probed), index, query, k, rerank)
+    return best if threshold is None else best.where(F.col("distance") <= float(threshold))
+
+
+def _nearest_rows(rows: DataFrame, index: IvfIndex, query: Sequence[float], k: int, rerank: int) -> DataFrame:
     key, exact = index.primary_key, dense_distance(index.vector, query, index.metric).alias("distance")
     if index.kind != "flat":
         coarse = rows.select(key, "list_id", _coarse_distance(index, query).alias("distance"))
         kept = _first_k(coarse, key, k * rerank).select(key, "list_id")
-        # At most k * rerank rows by the limit above.
-        rows = rows.join(F.broadcast(kept), [key, "list_id"], "left_semi")
-    best = _first_k(rows.select(key, exact), key, k)
-    return best if threshold is None else best.where(F.col("distance") <= float(threshold))
+        rows = rows.join(kept, [key, "list_id"], "left_semi")  # k * rerank rows by the limit above
+    return _first_k(rows.select(key, exact), key, k)
 
 
 def filtered_search(
     base: DataFrame, index: IvfIndex, query: Sequence[float], where, k: int = 10, nprobe: int | None = None,
-    overfetch: int = 4,
+    overfetch: int = 4, rerank: int = RERANK,
 ) -> DataFrame:
-    """Search first, filter after: candidates from the index, then the predicate.
+    """The nearest rows that pass the predicate, among the lists nearest to the query.
 
-    Too few survivors widen the search to more candidates and more lists. A search
-    that would take too many candidates turns into an exact one over the rows that
-    pass, so k rows come back whenever k rows qualify.
+    One job over the keys counts the passing rows of each list. The search then reads the
+    ``nprobe`` nearest lists, and more until they hold ``k * overfetch`` passing rows, so k
+    rows come back whenever k rows qualify.
     """
-    spark, key = base.sparkSession, index.primary_key
-    passing = filtered(base, where)
-    nprobe, take = min(nprobe or index.default_nprobe, index.nlist), k * overfetch
-    while take <= min(MAX_CANDIDATES, index.n_rows):
-        candidates = search(spark, index, query, take, nprobe)
-        found = candidates.join(passing.select(key), key, "left_semi").orderBy("distance", key).limit(k)
-        best = found.collect()  # at most k rows
-        if len(best) >= k:
-            return spark.createDataFrame(best, found.schema)
-        nprobe, take = min(index.nlist, nprobe * 2), take * 4
-    rows = index.rows(spark).join(passing.select(key), key, "left_semi")
-    exact = dense_distance(index.vector, as_float32(query), index.metric).alias("distance")
-    return _first_k(rows.select(key, exact), key, k)
+    spark, key, query = base.sparkSession, index.primary_key, as_float32(query)
+    if len(query) != index.dim:
+        raise ValueError("vectors have different dimensions")
+    nprobe = min(nprobe or index.default_nprobe, index.nlist)
+    passing = filtered(base, where).select(key)
+    counts = index.rows(spark).select(key, "list_id").join(passing, key, "left_semi").groupBy("list_id").count()
+    held = dict(counts.collect())  # one row per list
+    lists, total = [], 0
+    for place, value in enumerate(probe_lists(index, np.asarray([query]), index.nlist)[0].tolist()):
+        if place >= nprobe and total >= k * overfetch:
+            break
+        if value in held:
+            lists.append(value)
+            total += held[value]
+    return _nearest_rows(index.rows(spark, lists).join(passing, key, "left_semi"), index, query, k, rerank)
 
 
 def _probing(shared, metric: str, nprobe: int):
@@ -507,27 +524,46 @@ def knn(
 # --- keeping up with the table ---------------------------------------------------------------
 
 
+def _current_rows(base: DataFrame, index: IvfIndex) -> DataFrame:
+    """Keys and hashes of the rows that the index should hold."""
+    return base.where(F.col(index.vector).isNotNull()).select(index.primary_key, _row_hash(index).alias("row_hash"))
+
+
 def refresh(base: DataFrame, index: IvfIndex, threshold: int = REFRESH_ROWS) -> IvfIndex:
-    """Add the rows the index lacks, once there are more than ``threshold`` of them."""
+    """Bring the index up to date with ``base``.
+
+    Rows that are gone or have another vector leave at once: their keys and hashes are written
+    to a new folder, which searches leave out. Rows that the index lacks are added once there
+    are more than ``threshold`` of them. Only keys and hashes are shuffled.
+    """
     spark, key = base.sparkSession, index.primary_key
-    rows = base.select(key, index.vector).where(F.col(index.vector).isNotNull())
-    # Only keys are shuffled to find what is new; the new keys then select the vectors.
-    missing = materialise(rows.select(key).join(index.rows(spark).select(key), key, "left_anti"), "missing")
-    n_new = missing.count()
-    if n_new <= threshold:
+    both = [key, "row_hash"]
+    current = _current_rows(base, index)
+    stored = index.stored_rows(spark).select(*both)
+    missing = materialise(current.join(stored, both, "left_anti"), "missing")
+    gone = materialise(stored.join(current, both, "left_anti"), "gone")
+    n_new, n_gone = missing.count(), gone.count()
+    grown = index
+    if n_gone or index.gone:
+        path = f"{index.path}/gone-{uuid.uuid4().hex}"
+        gone.write.parquet(path)
+        grown = replace(grown, gone=path if n_gone else None)
+    if n_new > threshold:
+        rows = base.where(F.col(index.vector).isNotNull()).select(key, index.vector)
+        delta = rows.join(missing.select(key), key, "left_semi")
+        grown = _write_lists(_encode(delta, grown, grown.quantiser), grown, "append")
+    if grown is index:
         return index
-    delta = rows.join(missing, key, "left_semi")
-    grown = _write_lists(_encode(delta, index, index.quantiser), index, "append")
-    grown = replace(grown, n_rows=index.n_rows + n_new)
+    grown = replace(grown, n_rows=grown.rows(spark).count())
     grown.save_meta(spark)
     return grown
 
 
 def changed_fraction(base: DataFrame, index: IvfIndex) -> float:
-    """Rows added, gone or with another vector since the build, relative to the index."""
+    """Rows added, gone or with another vector since the last refresh, relative to the index."""
     key, spark = index.primary_key, base.sparkSession
-    current = base.where(F.col(index.vector).isNotNull()).select(key, F.xxhash64(index.vector).alias("_new"))
-    stored = index.rows(spark).select(key, F.xxhash64(index.vector).alias("_old"))
+    current = _current_rows(base, index).withColumnRenamed("row_hash", "_new")
+    stored = index.rows(spark).select(key, F.col("row_hash").alias("_old"))
     changed = current.join(stored, key, "full_outer").where(~F.col("_new").eqNullSafe(F.col("_old")))
     return changed.count() / max(1, index.n_rows)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vecspark.operators import ivf
 from vecspark.queries.registry import ORACLES, query, table
-from vecspark.queries.vectors import QUERY, _topk_sql
+from vecspark.queries.vectors import Q, QUERY, V, _topk_sql
 from vecspark.session import scratch_path
 
 
@@ -69,3 +69,51 @@ def ivf_refresh(spark, sf_dir):
     index = ivf.build(early, "embedding", "vec_id", scratch_path(spark, "ivf-refresh"))
     index = ivf.refresh(base, index, threshold=0)
     return _rounded(ivf.search(spark, index, QUERY, 10, nprobe=index.nlist))
+
+
+@query("ivf_sq8_full_probe", _topk_sql("l2"))
+def ivf_sq8_full_probe(spark, sf_dir):
+    """Every list, and every row scored again on its vector."""
+    index = _index(spark, sf_dir, "sq8", nlist=16)
+    return _rounded(ivf.search(spark, index, QUERY, 10, nprobe=index.nlist, rerank=index.n_rows))
+
+
+@query("ivf_pq_full_probe", _topk_sql("l2"))
+def ivf_pq_full_probe(spark, sf_dir):
+    index = _index(spark, sf_dir, "pq", nlist=16, m=8)
+    return _rounded(ivf.search(spark, index, QUERY, 10, nprobe=index.nlist, rerank=index.n_rows))
+
+
+@query("ivf_after_delete_update", f"""
+    WITH e AS (
+      SELECT vec_id, CASE WHEN label = 2 THEN list_transform({V}, lambda x: -x) ELSE {V} END AS v
+      FROM embeddings WHERE label <> 1)
+    SELECT vec_id, round(list_distance(v, {Q}), 5) AS distance FROM e ORDER BY list_distance(v, {Q}), vec_id LIMIT 10
+""")
+def ivf_after_delete_update(spark, sf_dir):
+    """Rows of one label go, those of another get other vectors; a refresh follows both."""
+    base = table(spark, sf_dir, "embeddings")
+    index = ivf.build(base, "embedding", "vec_id", scratch_path(spark, "ivf-changed"), nlist=16)
+    negated = F.transform("embedding", lambda x: -x)
+    changed = base.where("label <> 1").withColumn("embedding", F.when(F.col("label") == 2, negated).otherwise(F.col("embedding")))
+    index = ivf.refresh(changed, index, threshold=0)
+    return _rounded(ivf.search(spark, index, QUERY, 10, nprobe=index.nlist))
+
+
+@query("ivf_rebuild", _topk_sql("l2"))
+def ivf_rebuild(spark, sf_dir):
+    """An index of some labels, built anew once the rest has come."""
+    base = table(spark, sf_dir, "embeddings")
+    early = ivf.build(base.where("label < 5"), "embedding", "vec_id", scratch_path(spark, "ivf-early"), nlist=16)
+    index = ivf.rebuild(base, early, scratch_path(spark, "ivf-anew"))
+    return _rounded(ivf.search(spark, index, QUERY, 10, nprobe=index.nlist))
+
+
+@query("ivf_filter_full_probe", f"""
+    SELECT vec_id, round(list_distance({V}, {Q}), 5) AS distance FROM embeddings WHERE label >= 3 AND label < 8
+    ORDER BY list_distance({V}, {Q}), vec_id LIMIT 10
+""")
+def ivf_filter_full_probe(spark, sf_dir):
+    base = table(spark, sf_dir, "embeddings")
+    index = _index(spark, sf_dir, "flat", nlist=16)
+    return _rounded(ivf.filtered_search(base, index, QUERY, "label >= 3 AND label < 8", 10, nprobe=index.nlist))
