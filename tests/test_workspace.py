@@ -146,3 +146,27 @@ def test_update_keeps_the_rules_and_sql_the_views(ws, spark):
     assert ws.sql("SELECT name FROM people WHERE id = 2").first()["name"] == "BO"
     assert spark.table("people").count() == 3
     spark.catalog.dropTempView("people")
+
+
+def test_index_serves_after_inserts_updates_and_deletes(spark, tmp_path):
+    ws = Workspace(spark, str(tmp_path / "alive"))
+    spec = sc.TableSpec([sc.field("id", "bigint"), sc.vector_field("v", 2)], ("id",))
+    ws.create_table("t", spec, data=spark.createDataFrame([(i, [float(i), 1.0]) for i in range(40)], "id long, v array<float>"))
+    ws.create_vector_index("t", "i", "v", nlist=4)
+    found = lambda **o: ids(ws.ann_search("t", [0.0, 1.0], "v", topk=3, index="i", nprobe=4, names=["id"], **o))
+    plans = lambda: ws.ann_search("t", [0.0, 1.0], "v", topk=3, index="i")._jdf.queryExecution().toString()
+    assert found() == [0, 1, 2]
+    ws.insert("t", [{"id": 100, "v": [0.5, 1.0]}])
+    assert found() == [0, 100, 1] and found(where="id > 0") == [100, 1, 2]
+    assert "list_id" in plans()  # the index still serves
+    ws.refresh_index("t", "i")  # too few rows to fold in
+    assert found() == [0, 100, 1]
+    ws.delete("t", [0])
+    ws.update("t", {"v": "array(0.25F, 1.0F)"}, "id = 30")
+    assert found() == [30, 100, 1] and "list_id" not in plans()
+    ws.refresh_index("t", "i")
+    assert found() == [30, 100, 1] and "list_id" in plans()
+    ws.insert("t", [{"id": 0, "v": [0.0, 1.0]}])  # a row that the index has seen before
+    assert found() == [0, 30, 100]
+    ws.refresh_index("t", "i", 0)
+    assert found() == [0, 30, 100]

@@ -1,8 +1,8 @@
 """Named tables and their indexes under one root folder.
 
 The workspace ties the operators together: it finds tables and indexes by name,
-stores the result of a mutation as a new version, and picks exact search whenever an
-index does not cover the current rows.
+stores the result of a mutation as a new version, searches rows that an index lacks beside
+it, and picks exact search where rows of the index have changed.
 """
 
 from __future__ import annotations
@@ -272,6 +272,7 @@ class Workspace:
         if entry["family"] == "vector":
             numbers = {k: int(v) if k in ("nlist", "samples_per_list", "m") else v for k, v in options.items()}
             ivf.build(rows, columns[0], key[0], path, **numbers)
+            self._save_files(path, state, rows)
         elif entry["family"] == "sparse":
             sparse.write_postings(sparse.sparse_postings(rows, columns[0], key[0]), path)
         else:
@@ -288,13 +289,27 @@ class Workspace:
         if not entry["path"] or entry["family"] != "vector":
             self._build(table, name)
             return
-        index = ivf.IvfIndex.load(self.spark, entry["path"])
+        fresh = self._files_since(stored, entry)
+        if fresh is not None and (not fresh or stored.read(files=fresh).count() <= trigger_threshold):
+            return  # searches add these rows by themselves
         rows = stored.read()
-        grown = ivf.refresh(rows, index, trigger_threshold)
-        # Up to date only if nothing else changed: no row gone, no vector replaced.
-        if ivf.changed_fraction(rows, grown) == 0.0:
-            entry["state"] = state
-            self._save_indexes(table, indexes)
+        ivf.refresh(rows, ivf.IvfIndex.load(self.spark, entry["path"]), 0)
+        self._save_files(entry["path"], state, rows)
+        entry["state"] = state
+        self._save_indexes(table, indexes)
+
+    def _save_files(self, path: str, state: str, rows: DataFrame) -> None:
+        """Which files of the table an index holds in a state of the table."""
+        names = self.spark.createDataFrame([(f,) for f in rows.inputFiles()], "file string")
+        names.coalesce(1).write.mode("overwrite").parquet(f"{path}/files-{state}")
+
+    def _files_since(self, stored: VersionedTable, entry: Mapping) -> list[str] | None:
+        """Files appended since an index was built or refreshed; None if rows of then may have changed."""
+        if entry["state"].split(".")[0] != stored.state.split(".")[0]:
+            return None
+        then = {r["file"] for r in self.spark.read.parquet(f"{entry['path']}/files-{entry['state']}").collect()}
+        now = set(stored.read().inputFiles())
+        return sorted(now - then) if then <= now else None
 
     def rebuild_index(self, table: str, name: str, trigger_threshold: float = ivf.REBUILD_FRACTION) -> None:
         """Build anew once the changed fraction exceeds the threshold."""
@@ -326,17 +341,22 @@ class Workspace:
     ) -> DataFrame:
         """Nearest rows. Exact, with ``where`` applied first, unless ``index`` names an index.
 
-        A named index that covers the current rows makes the search approximate and
-        applies ``where`` afterwards; one that does not is ignored.
+        A named index makes the search approximate and applies ``where`` afterwards; rows
+        inserted since its last refresh are searched exactly beside it. Updates and deletes
+        make the search exact until the index is refreshed.
         """
         stored = self._table(table)
         rows = self.read(table, partitions)
         key = stored.spec.primary_key
-        entry = self._current(table, "vector", column, index) if index else None
-        usable = entry is not None and not partitions and not isinstance(query, Mapping)
+        entry = self._indexes(table).get(index) if index else None
+        usable = bool(entry and entry["family"] == "vector" and entry["columns"] == column and entry["path"])
+        usable = usable and not partitions and not isinstance(query, Mapping)
+        fresh: list[str] | None = []
         if usable:
             found = ivf.IvfIndex.load(self.spark, entry["path"])
-            usable = found.metric == ivf.resolve_metric(metric)
+            if entry["state"] != stored.state:
+                fresh = self._files_since(stored, entry)
+            usable = fresh is not None and found.metric == ivf.resolve_metric(metric)
         if not usable:
             return search.ann_search(
                 rows, query, column, metric, topk, key, where, names, columns, extra, with_distance,
@@ -348,6 +368,12 @@ class Workspace:
             hits = ivf.filtered_search(rows, found, query, where, topk, nprobe)
             if threshold is not None:
                 hits = hits.where(F.col("distance") <= float(threshold))
+        if fresh:
+            delta = stored.read(with_partitions=stored.spec.layout is not None, files=fresh)
+            near = search.ann_search(
+                delta, query, column, metric, topk, key, where, [key[0]], with_distance=True, threshold=threshold
+            )
+            hits = hits.unionByName(near)
         hits = hits.select(F.col(key[0]).alias("_key"), F.col("distance").alias("_dist"))
         chosen = read.output_columns(rows, names, columns, extra)
         joined = rows.join(hits, F.col(key[0]) == F.col("_key")).select(*chosen, "_dist", "_key")
