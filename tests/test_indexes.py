@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from vecspark.operators import ivf, search
+from vecspark.operators import ivf, knn, search
 from vecspark.session import scratch_path
 
 NEAR = [0.748479, 0.276979, 0.555195]
@@ -75,6 +75,18 @@ def test_batch_search_with_full_probe(spark, clusters, indexes):
         assert [r["id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == i] == exact(clusters, q, 5)
 
 
+def test_batch_search_beyond_the_broadcast(spark, clusters, indexes, monkeypatch):
+    monkeypatch.setattr(knn, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(knn, "SLICE_ROWS", 3)  # several blocks of queries, many slices
+    few = clusters.where("id < 60")
+    queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, vector array<float>")
+    flat = ivf.build(few, "v", "id", scratch_path(spark, "few"), nlist=3)
+    for got in (knn.knn_join(queries, few, 5, base_vector="v", max_query_bytes=128), ivf.knn(queries, spark, flat, 5, nprobe=3)):
+        rows = got.collect()
+        for i, q in enumerate(QUERIES):
+            assert [r["id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == i] == exact(few, q, 5)
+
+
 def test_post_filter_refills(spark, clusters, indexes):
     rare = "tag = 3 AND id % 7 = 0"
     found = [r["id"] for r in ivf.filtered_search(clusters, indexes["flat"], QUERIES[1], rare, 30, nprobe=1).collect()]

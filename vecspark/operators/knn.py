@@ -6,8 +6,8 @@ slice, block). Without an index there is one list; with an inverted file a query
 in the lists that it probes. A list with many base rows is cut into slices and one with many
 queries into blocks, by their counts, so no task holds a large list. A task scores a pair of
 chunks by a matrix product and keeps the k best rows per query; what it holds is bounded, and
-what it emits is ranked in two steps. No vector passes the driver, unless Spark itself
-broadcasts a side that is below its own threshold.
+what it emits is ranked in two steps. Query vectors of at most ``BROADCAST_BYTES`` in all are
+broadcast; beyond that both sides are shuffled, and no vector passes the driver.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from vecspark.session import materialise
 MAX_QUERY_BYTES = CHUNK_BYTES = 1024 * 1024
 # Rows of a list in one slice, and queries of a list in one block.
 SLICE_ROWS = 1 << 17
+# Most bytes of query vectors that are broadcast; more of them meet the rows in a shuffled join.
+BROADCAST_BYTES = 8 * 1024 * 1024
 # Result rows that a task holds before it emits them.
 _HELD = 1_000_000
 # Parts of a query's candidates that are ranked apart first.
@@ -206,13 +208,19 @@ def knn_join(
         F.col(base_vector).alias("_vector"),
     )
     if probe is None:
-        visits = numbered.select(F.lit(0).alias("_list"), "_key", "_vector")
+        visits, n_visits = numbered.select(F.lit(0).alias("_list"), "_key", "_vector"), n_queries
+    else:
+        visits = probe(numbered.select("_key", "_vector"), dim).select(F.explode("_lists").alias("_list"), "_key", "_vector")
+        visits = materialise(visits.hint("rebalance", "_list").sortWithinPartitions("_list"), "knn-visits")
+        n_visits = visits.count()
+    small = 8 * dim * n_visits <= BROADCAST_BYTES
+    if small:  # every task has all queries, so lists need not be cut
+        sized = lambda chunks: chunks.withColumns({"_slices": F.lit(1), "_blocks": F.lit(1)})
+    elif probe is None:
         slices = F.lit(max(1, math.ceil(base.count() / SLICE_ROWS)))
         blocks = F.lit(max(1, math.ceil(n_queries / SLICE_ROWS)))
         sized = lambda chunks: chunks.withColumns({"_slices": slices, "_blocks": blocks})
     else:
-        visits = probe(numbered.select("_key", "_vector"), dim).select(F.explode("_lists").alias("_list"), "_key", "_vector")
-        visits = materialise(visits.hint("rebalance", "_list").sortWithinPartitions("_list"), "knn-visits")
         sizes = materialise(_counts(visits, source), "knn-sizes")  # one row per list
         source = source.join(sizes.select("_list"), "_list", "left_semi")
         sized = lambda chunks: chunks.join(sizes, "_list")
@@ -227,6 +235,7 @@ def knn_join(
         "_list", F.pmod("_hash", "_slices").alias("_slice"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"), "ids", "vectors",
     )
+    asked = F.broadcast(asked) if small else asked.hint("merge")
     pairs = stored.join(asked, ["_list", "_slice", "_block"]).select("_numbers", "_asked", "ids", "vectors")
     out_schema = T.StructType([
         T.StructField("_q", T.LongType()), T.StructField("_id", id_type), T.StructField("distance", T.DoubleType()),
