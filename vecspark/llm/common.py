@@ -55,19 +55,24 @@ def labelled_sample(
 ) -> DataFrame:
     """At most ``per_class`` labelled rows of each class 0 and 1, the first by a hash of the key.
 
+    ``_w`` is the number of labelled keys of the class that a row stands for: all of them over
+    the chosen ones. Fits that weigh rows by it learn the natural rate, whatever the bound is.
+
     ``use`` says which keys may be learned from. Only the chosen keys (2 * per_class rows
     at most) are broadcast; ``docs`` is scanned once and not shuffled. Repeated labels of a
     key count once (the largest), null keys and labels do not count.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("_y"))
     known = known.where(use).withColumn("_o", F.xxhash64(key))
+    sizes = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     picked = None
     for y in (0, 1):
-        part = known.where(F.col("_y") == y).orderBy("_o", key).limit(per_class)
+        weight = max(1.0, sizes.get(y, 0) / max(1, per_class))
+        part = known.where(F.col("_y") == y).orderBy("_o", key).limit(per_class).withColumn("_w", F.lit(weight))
         picked = part if picked is None else picked.unionByName(part)
-    picked = picked.select(F.col(key).alias("_k"), "_y")
+    picked = picked.select(F.col(key).alias("_k"), "_y", "_w")
     rows = docs.select(F.col(key).alias("_dk"), *columns)
-    return rows.join(F.broadcast(picked), F.col("_dk") == F.col("_k")).select("_dk", "_y", *columns)
+    return rows.join(F.broadcast(picked), F.col("_dk") == F.col("_k")).select("_dk", "_y", "_w", *columns)
 
 
 def spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ real one). The score is
 so all pairs of features interact through vectors of ``rank`` numbers at linear cost.
 
 Trained by Adam on a bounded, documented sample of labelled rows (``per_class`` of each
-class). The model is an array of (2 ** bits + steps) x (rank + 1) floats. Scoring is one scan.
+class), weighed by how many labelled rows of its class each stands for. The model is an array of (2 ** bits + steps) x (rank + 1) floats. Scoring is one scan.
 """
 
 from __future__ import annotations
@@ -139,8 +139,13 @@ class QualityModel:
         return F.pandas_udf(score, DoubleType())(F.col(text), given)
 
 
-def fit(bags: Bags, labels: np.ndarray, bits: int, rank: int, passes: int, l2: float, rate: float) -> QualityModel:
-    """Adam over batches of rows; gradients of the pairs come from the same linear-time sums."""
+def fit(
+    bags: Bags, labels: np.ndarray, weights: np.ndarray, bits: int, rank: int, passes: int, l2: float, rate: float,
+) -> QualityModel:
+    """Adam over batches of rows; gradients of the pairs come from the same linear-time sums.
+
+    ``weights`` says how many rows each row stands for."""
+    weights = weights / max(1e-12, weights.mean()) if len(weights) else weights
     rng = np.random.default_rng(7)
     size = (1 << bits) + bags.steps.shape[1] * STEPS
     p = np.concatenate((np.zeros((size, 1)), rng.normal(0, 0.02, (size, rank))), axis=1)  # w and v side by side
@@ -161,7 +166,7 @@ def fit(bags: Bags, labels: np.ndarray, bits: int, rank: int, passes: int, l2: f
             sums = np.stack([np.bincount(owner, weights=part[:, f], minlength=len(rows)) for f in range(rank + 1)], axis=1)
             squares = np.bincount(owner, weights=(part[:, 1:] ** 2).sum(axis=1), minlength=len(rows))
             z = w0 + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(axis=1) - squares)
-            d = (sigmoid(z) - labels[rows]) / len(rows)
+            d = (sigmoid(z) - labels[rows]) * weights[rows] / len(rows)
             each = np.empty_like(part)
             each[:, 0] = d[owner] * x
             each[:, 1:] = (d[owner] * x)[:, None] * (sums[owner, 1:] - part[:, 1:])
@@ -188,7 +193,7 @@ def train(
     rows = docs.select(key, text, told.alias("_told"))
     picked = labelled_sample(rows, labels, key, label, use, per_class, text, "_told")
     sample = materialise(
-        picked.select("_y", F.col(text).alias("_t"), "_told", F.xxhash64("_dk").alias("_o")).repartition(8), "quality-sample"
+        picked.select("_y", "_w", F.col(text).alias("_t"), "_told", F.xxhash64("_dk").alias("_o")).repartition(8), "quality-sample"
     )
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,16 +201,16 @@ def train(
             bags = featurise(utf8(batch["_t"]), batch["_told"].to_numpy(float, na_value=np.nan), bits)
             cut = np.concatenate(([0], np.cumsum(bags.counts)))
             yield pd.DataFrame({
-                "o": batch["_o"], "y": batch["_y"],
+                "o": batch["_o"], "y": batch["_y"], "w": batch["_w"],
                 "slots": [bags.slots[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])],
                 "steps": [row.astype("<i4").tobytes() for row in bags.steps],
             })
 
     # 2 * per_class rows at most, four bytes a word. In one order, so that training repeats.
-    table = sample.mapInPandas(featured, "o long, y int, slots binary, steps binary").toPandas().sort_values("o")
+    table = sample.mapInPandas(featured, "o long, y int, w double, slots binary, steps binary").toPandas().sort_values("o")
     slots = [np.frombuffer(x, "<i4") for x in table["slots"]]
     bags = Bags(
         np.concatenate([np.zeros(0, np.int64), *slots]).astype(np.int64), np.array([len(x) for x in slots], np.int64),
         np.array([np.frombuffer(x, "<i4") for x in table["steps"]], np.int64).reshape(-1, len(STATISTICS)),
     )
-    return fit(bags, table["y"].to_numpy(float), bits, rank, passes, l2, rate)
+    return fit(bags, table["y"].to_numpy(float), table["w"].to_numpy(float), bits, rank, passes, l2, rate)

@@ -7,7 +7,8 @@ nothing and are left out, which keeps the sum over a very long text from drownin
 few n-grams that matter. The model is one array of ``2 ** bits`` floats.
 
 The training rows are a bounded, documented sample of labelled rows (``per_class`` of each
-class, the first by a hash of the key). Scoring is one scan, without a shuffle.
+class, the first by a hash of the key), weighed by how many labelled rows of its class each
+stands for. Scoring is one scan, without a shuffle.
 """
 
 from __future__ import annotations
@@ -70,16 +71,17 @@ def _pieces(texts: list[bytes], start: int):
         yield [text[at: at + BLOCK + max(SIZES) - 1]], [start]
 
 
-def fit_logistic(rows, slots, values, labels, n_rows, size, l2=1e-3, steps=200, rate=0.1):
+def fit_logistic(rows, slots, values, labels, weights, n_rows, size, l2=1e-3, steps=200, rate=0.1):
     """Weights and bias of a logistic regression on sparse rows, by Adam on all rows.
 
-    All rows weigh alike.
+    ``weights`` says how many rows each row stands for.
     """
+    share = weights / max(1e-12, weights.sum())
     w, bias = np.zeros(size), 0.0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for step in range(1, steps + 1):
         z = np.bincount(rows, weights=w[slots] * values, minlength=n_rows) + bias
-        d = (sigmoid(z) - labels) / max(1, n_rows)
+        d = (sigmoid(z) - labels) * share
         g = np.bincount(slots, weights=d[rows] * values, minlength=size) + l2 * w
         gb = d.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -123,7 +125,7 @@ def train(
     (one half without any row). Null and empty texts take part as texts without n-grams.
     """
     picked = labelled_sample(docs, labels, key, label, use, per_class, text)
-    sample = materialise(picked.select("_y", F.col(text).alias("_t")).repartition(8), "toxic-sample")
+    sample = materialise(picked.select("_y", "_w", F.col(text).alias("_t")).repartition(8), "toxic-sample")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = {0: np.zeros(1 << bits, np.int64), 1: np.zeros(1 << bits, np.int64)}
@@ -157,14 +159,15 @@ def train(
             rows, slots = gram_slots(utf8(batch["_t"]), bits, live)
             cut = np.searchsorted(rows, np.arange(len(batch) + 1))
             packed = [slots[a:b].astype("<i4").tobytes() for a, b in zip(cut, cut[1:])]
-            yield pd.DataFrame({"y": batch["_y"], "slots": packed})
+            yield pd.DataFrame({"y": batch["_y"], "w": batch["_w"], "slots": packed})
 
-    rows = sample.mapInPandas(featured, "y int, slots binary").toPandas()  # 2 * per_class rows at most
+    rows = sample.mapInPandas(featured, "y int, w double, slots binary").toPandas()  # 2 * per_class rows at most
     slots = [np.frombuffer(x, "<i4") for x in rows["slots"]]
     owner = np.repeat(np.arange(len(slots)), [len(s) for s in slots])
     slots = np.concatenate(slots).astype(np.int64)
     used, place = np.unique(slots, return_inverse=True)
-    w, bias = fit_logistic(owner, place, ratio[slots], rows["y"].to_numpy(float), len(rows), len(used))
+    labels_of, weights = rows["y"].to_numpy(float), rows["w"].to_numpy(float)
+    w, bias = fit_logistic(owner, place, ratio[slots], labels_of, weights, len(rows), len(used))
     theta = np.zeros(1 << bits, np.float32)
     theta[used] = w * ratio[used]
     return ToxicityModel(bits, theta, float(bias))
