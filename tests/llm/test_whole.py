@@ -31,3 +31,12 @@ def test_bounded_sample_keeps_the_natural_rate(spark):
     model = quality.train(docs, labels, F.lit(True), per_class=150)
     mean = docs.select(F.avg(model.column("text", "n_chars"))).first()[0]
     assert abs(mean - rate) < 0.08
+
+
+def test_grams_of_very_short_pieces():
+    for texts in ([b""], [b"a"], [b"x" * (2 * toxicity.BLOCK)], [b"x" * (2 * toxicity.BLOCK + 1), b""], [b"x" * (toxicity.BLOCK + 1), b"", b"a"]):
+        rows, slots = toxicity.gram_slots(texts, 20)
+        got = {i: set(slots[rows == i].tolist()) for i in range(len(texts))}
+        for i, t in enumerate(texts):
+            alone = toxicity.gram_slots([t[:100] if len(t) > 100 else t, b"other words"], 20)
+            assert got[i] == set(alone[1][alone[0] == 0].tolist())

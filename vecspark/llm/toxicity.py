@@ -46,7 +46,7 @@ def gram_slots(texts: list[bytes], bits: int, live: np.ndarray | None = None) ->
             place = np.arange(len(data))
             for n in range(1, max(SIZES) + 1):
                 shifted = np.zeros(len(data), np.uint64)
-                shifted[: len(data) - n + 1] = data[n - 1:]
+                shifted[: max(0, len(data) - n + 1)] = data[n - 1:]
                 key = (key << np.uint64(8)) | shifted
                 if n not in SIZES:
                     continue
