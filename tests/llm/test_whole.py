@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from vecspark.llm import quality, toxicity
+from vecspark.llm.common import labelled_sample
 
 
 def labelled(spark, n, share, seed):
@@ -40,3 +41,15 @@ def test_grams_of_very_short_pieces():
         for i, t in enumerate(texts):
             alone = toxicity.gram_slots([t[:100] if len(t) > 100 else t, b"other words"], 20)
             assert got[i] == set(alone[1][alone[0] == 0].tolist())
+
+
+def test_sample_has_one_row_of_a_repeated_key(spark):
+    docs, labels, _ = labelled(spark, 60, 0.3, 4)
+    hot = spark.range(500).select(F.lit(0).cast("long").alias("doc_id"), F.concat(F.lit("copy "), F.col("id")).alias("text"), F.lit(9).cast("long").alias("n_chars"))
+    docs = docs.unionByName(hot).unionByName(hot).repartition(7)
+    first = labelled_sample(docs, labels, "doc_id", "toxic", F.lit(True), 1000, "text", "n_chars").collect()
+    again = labelled_sample(docs.repartition(3), labels, "doc_id", "toxic", F.lit(True), 1000, "text", "n_chars").collect()
+    assert sorted(r["_dk"] for r in first) == list(range(60))
+    assert sorted(first) == sorted(again)
+    few = labelled_sample(docs, labels, "doc_id", "toxic", F.lit(True), 5, "text").collect()
+    assert len(few) == 10 and {r["_y"] for r in few} == {0, 1}

@@ -59,8 +59,10 @@ def labelled_sample(
     the chosen ones. Fits that weigh rows by it learn the natural rate, whatever the bound is.
 
     ``use`` says which keys may be learned from. Only the chosen keys (2 * per_class rows
-    at most) are broadcast; ``docs`` is scanned once and not shuffled. Repeated labels of a
-    key count once (the largest), null keys and labels do not count.
+    at most) are broadcast; ``docs`` is scanned once, and of its rows only those of chosen keys
+    are shuffled. Rows that share a key leave the one whose hash is smallest (each task
+    reduces its own first), so the outcome has 2 * per_class rows at most. Repeated labels of
+    a key count once (the largest), null keys and labels do not count.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("_y"))
     known = known.where(use).withColumn("_o", F.xxhash64(key))
@@ -72,7 +74,10 @@ def labelled_sample(
         picked = part if picked is None else picked.unionByName(part)
     picked = picked.select(F.col(key).alias("_k"), "_y", "_w")
     rows = docs.select(F.col(key).alias("_dk"), *columns)
-    return rows.join(F.broadcast(picked), F.col("_dk") == F.col("_k")).select("_dk", "_y", "_w", *columns)
+    rows = rows.join(F.broadcast(picked), F.col("_dk") == F.col("_k"))
+    least = F.min(F.struct(F.xxhash64(*columns).alias("_h"), *columns)).alias("_r")
+    once = rows.groupBy("_dk", "_y", "_w").agg(least)
+    return once.select("_dk", "_y", "_w", *[F.col("_r")[c].alias(c) for c in columns])
 
 
 def spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
