@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from vecspark.llm import quality, toxicity
+from vecspark.llm import licenses, quality, toxicity
 from vecspark.llm.common import labelled_sample
 
 
@@ -53,3 +53,35 @@ def test_sample_has_one_row_of_a_repeated_key(spark):
     assert sorted(first) == sorted(again)
     few = labelled_sample(docs, labels, "doc_id", "toxic", F.lit(True), 5, "text").collect()
     assert len(few) == 10 and {r["_y"] for r in few} == {0, 1}
+
+
+def test_licence_notices_over_lines_and_in_long_lines():
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice(["ka", "lo", "mi", "ter", "un"]) for _ in range(3))
+    model = licenses.fit([" ".join(word() for _ in range(rng.randint(3, 200))) for _ in range(400)])
+    wrapped = {
+        "MIT": "// Permission is hereby granted, free of charge, to any person obtaining a copy\n// of this software and associated documentation files (the \"Software\"), to deal\n// in the Software without restriction, including without limitation the rights",
+        "BSD": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:",
+        "GPL-3.0": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+        "GPL-2.0": "you can redistribute it and/or\nmodify it under the terms of the GNU General Public License\nas published by the Free Software Foundation; either version 2\nof the License, or (at your option) any later version.",
+        "LGPL": "modify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+        "AGPL-3.0": "it under the terms of the GNU Affero General Public License as\npublished by the Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version.",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that",
+        "Apache-2.0": "you may not use this file except in compliance with\nthe License. You may obtain a copy of the License at\n\n   http://www.apache.org/licenses/LICENSE-2.0",
+    }
+    prose = lambda n: " ".join(word() for _ in range(n))
+    for family, text in wrapped.items():
+        for whole in (text, f"{prose(30)}\n\n{text}\n\n{prose(30)}", f"{prose(90)}\n{text}\n{prose(90)}"):
+            got = [p for p in model.paragraphs(whole) if p[5]]
+            assert [p[2] for p in got] == [family], (family, got)
+            assert whole[got[0][0]: got[0][1]].split()[0] in text
+    for family, text in (("MIT", "Released under the MIT License"), ("CC-BY-NC", "Licensed under CC BY-NC 4.0"), ("GPL-3.0", wrapped["GPL-3.0"].replace("\n# ", " "))):
+        for before in (0, 3333, 9990):
+            whole = f"{prose(before)} İé {text}. {prose(10000 - before)}"
+            got = [p for p in model.paragraphs(whole) if p[5]]
+            assert [p[2] for p in got] == [family], (family, before, got)
+            assert whole[got[0][0]: got[0][1]] in text
+    two = model.paragraphs("Released under the MIT License\nLicensed under the Apache License, Version 2.0")
+    assert [p[2] for p in two if p[5]] == ["MIT", "Apache-2.0"]
+    assert model.paragraphs("") == model.paragraphs(" \n\n//\n") == []
+    assert not [p for p in model.paragraphs(prose(5000)) if p[5]]

@@ -1,19 +1,26 @@
-"""Licence scans: a trained paragraph classifier, confirmed against templates.
+"""Licence scans: a trained classifier of paragraphs and windows, confirmed against templates.
 
-A paragraph (a line) is scored by a softmax regression on its word one- and two-grams over
+A paragraph is a run of lines up to one that is blank once comment marks are removed. Pieces of a
+text are scored: every line and every paragraph of at most ``WINDOWS[-1]`` words, and of longer ones
+windows of each size of ``WINDOWS`` that overlap by three quarters and cover all words, so that a
+notice is seen whole in a piece a few times its length at most, wherever it is wrapped.
+
+A piece is scored by a softmax regression on its word one- and two-grams over
 licence families and the class "unknown". Only n-grams of the templates carry weight, so the
-model is small and a paragraph's other words cost one lookup each. Training rows come from
+model is small and a piece's other words cost one lookup each. Training rows come from
 the templates (whole, cut, with words dropped and with ordinary words around) and, for the
 unknown class, from paragraphs of a bounded sample of documents that no template resembles,
 mixed with shuffled template words. A temperature and an offset of the unknown class are
 fitted on rows held back, so that the stated probability is one. A predicted family is
-confirmed if enough of a template's two-grams stand in the paragraph.
+confirmed if enough of a template's two-grams stand in the piece. Of predicted pieces that
+overlap the best one stays.
 
 Texts are scored in one scan, row by row, without a shuffle.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +29,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vecspark.llm.common import blocks
+
 # Short notices as the licences' stewards word them, by family.
 TEMPLATES = {
     "Apache-2.0": (
@@ -88,11 +97,44 @@ SAMPLE = 1000
 #: Paragraphs of them that are learned from, and the characters of each.
 PARAGRAPHS, LONGEST = 4000, 2000
 LEAST_LIKENESS = 0.7
+#: Words of a window, by size; one starts at each quarter of the size.
+WINDOWS = (8, 16, 32, 64)
+#: Words of pieces that are scored at a time.
+BLOCK = 1 << 18
 _WORD = re.compile(r"[a-z0-9]+(?:[.'][a-z0-9]+)*")
+#: What stands around a line of a comment.
+_MARKS = " \t\r\f\v/*#;!%<>-\"'"
+
+
+def lowered(text: str) -> str:
+    """In lower case, with as many code points (only this one letter would become two)."""
+    return text.replace("\u0130", "i").lower()
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(lowered(text))
+
+
+def pieces(lines: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends, in words, of all pieces of a text; ``lines`` has the words up to each line's
+    start and the text's end, ``blank`` says which lines part paragraphs."""
+    edge = np.flatnonzero(np.concatenate(([True], blank[1:] | blank[:-1], [True]))) if len(blank) else np.zeros(1, np.int64)
+    runs = lines[edge]
+    starts, ends = np.concatenate((lines[:-1], runs[:-1])), np.concatenate((lines[1:], runs[1:]))
+    of_paragraph = np.arange(len(starts)) >= len(lines) - 1
+    sizes = ends - starts
+    whole = (sizes > 0) & (sizes <= WINDOWS[-1])
+    found = [(starts[whole], ends[whole])]
+    for size in WINDOWS:
+        long = of_paragraph & (sizes > size)
+        times = -(-(sizes[long] - size) // (size // 4)) + 1
+        number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        last = np.repeat(ends[long], times)
+        at = np.minimum(np.repeat(starts[long], times) + number * (size // 4), last - size)
+        found.append((at, at + size))
+    starts, ends = (np.concatenate(x).astype(np.int64) for x in zip(*found))
+    both = np.unique((starts << 32) | ends)
+    return both >> 32, both & ((1 << 32) - 1)
 
 
 def likeness(own: list[str], template: list[str]) -> float:
@@ -111,6 +153,7 @@ class LicenceModel:
     bias: np.ndarray
     temperature: float
     unknown_offset: float
+    _made: tuple | None = None
 
     def features(self, own: list[str]) -> tuple[list[int], float]:
         """Slots of the known n-grams that occur, and the value of each."""
@@ -128,22 +171,100 @@ class LicenceModel:
         e = np.exp(z - z.max())
         return e / e.sum()
 
+    def _tables(self) -> tuple[np.ndarray, np.ndarray, list, list]:
+        """Sorted codes of the two-grams (slots of both words), the slot of each, and for each class
+        its templates' numbers and for each template its two-grams' slots."""
+        pairs = sorted((self.slots[g[0]] * len(self.slots) + self.slots[g[1]], at) for g, at in self.slots.items() if isinstance(g, tuple))
+        of_class, grams = [[]], []
+        for templates in TEMPLATES.values():
+            of_class.append(list(range(len(grams), len(grams) + len(templates))))
+            for t in templates:
+                own = words(t)
+                grams.append(np.unique([self.slots[p] for p in zip(own, own[1:])]))
+        return np.array([c for c, _ in pairs], np.int64), np.array([at for _, at in pairs], np.int64), of_class, grams
+
     def paragraphs(self, text: str) -> list[tuple]:
-        """(start, end, family, probability, likeness, confirmed) of each paragraph that is predicted
-        to be of a family; code points, end exclusive."""
-        out, at = [], 0
-        for line in text.split("\n"):
-            own = words(line)
-            # With no known word the prediction is that of an empty paragraph: unknown.
-            if not self.slots.keys().isdisjoint(own):
-                p = self.probabilities(own)
-                best = int(p.argmax())
-                if best:
-                    family = self.classes[best]
-                    like = max(likeness(own, words(t)) for t in TEMPLATES[family])
-                    out.append((at, at + len(line), family, float(p[best]), like, like >= LEAST_LIKENESS))
-            at += len(line) + 1
-        return out
+        """(start, end, family, probability, likeness, confirmed) of the pieces that are predicted to
+        be of a family; code points, end exclusive.
+
+        A confirmed one reaches from its first to its last word of the template. Of those that
+        overlap the first by this order stays: confirmed, likeness, shorter, probability."""
+        lines = lowered(text).split("\n")
+        get, slot, counts = self.slots.get, [], np.zeros(len(lines) + 1, np.int64)
+        for i, line in enumerate(lines):
+            found = _WORD.findall(line)
+            counts[i + 1] = len(found)
+            slot.append(np.fromiter((get(w, -1) for w in found), np.int32, len(found)))
+        slot = np.concatenate(slot)
+        if not (slot >= 0).any():
+            return []  # with no known word the prediction is that of an empty piece: unknown
+        firsts = np.cumsum(counts)
+        starts, ends = pieces(firsts, np.array([not line.strip(_MARKS) for line in lines]))
+        if self._made is None:
+            self._made = self._tables()
+        codes, at_code, of_class, grams = self._made
+        both = (slot[:-1] >= 0) & (slot[1:] >= 0)
+        place = np.flatnonzero(both)
+        code = slot[place].astype(np.int64) * len(self.slots) + slot[place + 1]
+        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        known = codes[at] == code
+        pair_place, pair_slot = place[known], at_code[at[known]]
+        single = np.flatnonzero(slot >= 0)
+        # Known n-grams by first word, the last word of each, and where the same one was before.
+        first = np.concatenate((single, pair_place))
+        gram = np.concatenate((slot[single], pair_slot)).astype(np.int64)
+        order = np.argsort(first, kind="stable")
+        first, gram = first[order], gram[order]
+        wide = (order >= len(single)).astype(np.int64)
+        by_gram = np.lexsort((first, gram))
+        before = np.full(len(gram), -1, np.int64)
+        same = gram[by_gram][1:] == gram[by_gram][:-1]
+        before[by_gram[1:][same]] = first[by_gram[:-1][same]]
+        lo, hi = np.searchsorted(first, starts), np.searchsorted(first, ends)
+        some = hi > lo
+        starts, ends, lo, hi = starts[some], ends[some], lo[some], hi[some]
+        hits = []
+        for part in blocks((hi - lo).tolist(), BLOCK):
+            a, b, n = lo[part], hi[part], hi[part] - lo[part]
+            head = np.cumsum(n) - n
+            flat = np.arange(n.sum()) + np.repeat(a - head, n)
+            # Each distinct n-gram that lies in the piece, once.
+            keep = (before[flat] < np.repeat(starts[part], n)) & (first[flat] + wide[flat] < np.repeat(ends[part], n))
+            sums = np.add.reduceat(self.weights[gram[flat]] * keep[:, None], head, axis=0)
+            z = (self.bias + sums / np.sqrt(ends[part] - starts[part])[:, None]) / self.temperature
+            z[:, 0] += self.unknown_offset
+            p = _softmax(z)
+            best = p.argmax(axis=1)
+            for i in np.flatnonzero(best).tolist():
+                c, x, y = int(best[i]), int(starts[part.start + i]), int(ends[part.start + i])
+                inside = slice(*np.searchsorted(pair_place, (x, y - 1)).tolist())
+                own, like, core = pair_slot[inside], 0.0, (x, y)
+                for t in of_class[c]:
+                    mine = np.isin(own, grams[t])
+                    share = len(np.unique(own[mine])) / len(grams[t])
+                    if share > like:
+                        spot = pair_place[inside][mine]
+                        like, core = share, (int(spot[0]), int(spot[-1]) + 2)
+                sure = like >= LEAST_LIKENESS
+                x, y = core if sure else (x, y)
+                hits.append((not sure, -like, y - x, -float(p[i, c]), x, y, c))
+        out, taken, spots, offsets = [], [], {}, np.cumsum([0, *[len(line) + 1 for line in lines]])
+
+        def characters(word: int) -> tuple[int, int]:
+            n = int(np.searchsorted(firsts, word, side="right")) - 1
+            if n not in spots:
+                spots[n] = np.array([m.span() for m in _WORD.finditer(lines[n])], np.int64)
+            a, b = spots[n][word - firsts[n]].tolist()
+            return int(offsets[n]) + a, int(offsets[n]) + b
+
+        for unsure, like, _, probability, x, y, c in sorted(hits):
+            # ``taken`` is in order and without overlaps, so that only the neighbours count.
+            i = bisect.bisect_left(taken, (x, y))
+            if (i < len(taken) and taken[i][0] < y) or (i and taken[i - 1][1] > x):
+                continue
+            taken.insert(i, (x, y))
+            out.append((characters(x)[0], characters(y - 1)[1], self.classes[c], -probability, -like, not unsure))
+        return sorted(out)
 
     def column(self, text: str) -> Column:
         names = ["start", "end", "family", "probability", "likeness", "confirmed"]
@@ -187,7 +308,10 @@ def fit(ordinary: list[str], seed: int = 11, per_template: int = 30, steps: int
                 labels.append(c)
     vocabulary = sorted({w for t in every for w in t})
     for p in plain[: 30 * per_template]:
-        rows.append(p)
+        # As scans see them: whole, or a window where they are longer.
+        size = int(rng.choice(WINDOWS))
+        at = int(rng.integers(0, max(0, len(p) - size) + 1))
+        rows.append(p if len(p) <= WINDOWS[-1] and rng.random() < 0.5 else p[at: at + size])
         labels.append(0)
     for _ in range(10 * per_template):
         rows.append(list(rng.permutation([*rng.choice(vocabulary, rng.integers(1, 8)), *rng.choice(fill, rng.integers(0, 20))])))
