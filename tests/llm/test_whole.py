@@ -85,3 +85,11 @@ def test_licence_notices_over_lines_and_in_long_lines():
     assert [p[2] for p in two if p[5]] == ["MIT", "Apache-2.0"]
     assert model.paragraphs("") == model.paragraphs(" \n\n//\n") == []
     assert not [p for p in model.paragraphs(prose(5000)) if p[5]]
+
+
+def test_licences_learn_from_all_paragraphs(monkeypatch):
+    rows = []
+    features = licenses.LicenceModel.features
+    monkeypatch.setattr(licenses.LicenceModel, "features", lambda self, own: rows.append(tuple(own)) or features(self, own))
+    licenses.fit([f"p{i} a ka lo" for i in range(3000)], steps=1)
+    assert {r[0] for r in rows if len(r) == 4 and r[1:] == ("a", "ka", "lo")} >= {f"p{i}" for i in range(3000)}

@@ -283,7 +283,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(ordinary: list[str], seed: int = 11, per_template: int = 30, steps: int = 150, l2: float = 1e-4) -> LicenceModel:
+def fit(ordinary: list[str], seed: int = 11, per_template: int = 60, steps: int = 300, l2: float = 1e-4) -> LicenceModel:
     """Train on rows made from the templates and on ``ordinary`` paragraphs."""
     rng = np.random.default_rng(seed)
     classes = [UNKNOWN, *TEMPLATES]
@@ -295,7 +295,7 @@ def fit(ordinary: list[str], seed: int = 11, per_template: int = 30, steps: int
                 slots.setdefault(gram, len(slots))
     every = [words(t) for templates in TEMPLATES.values() for t in templates]
     plain = [w for w in (words(p) for p in ordinary) if w and max(likeness(w, t) for t in every) < 0.4]
-    fill = [w for p in plain for w in p] or ["and"]
+    fill = np.array([w for p in plain for w in p] or ["and"], object)  # once, not at each draw
     rows, labels = [[]] * 20, [0] * 20
     for c, templates in enumerate(TEMPLATES.values(), 1):
         for t in templates:
@@ -307,7 +307,7 @@ def fit(ordinary: list[str], seed: int = 11, per_template: int = 30, steps: int
                 rows.append([*pad[0], *kept, *pad[1]])
                 labels.append(c)
     vocabulary = sorted({w for t in every for w in t})
-    for p in plain[: 30 * per_template]:
+    for p in plain:
         # As scans see them: whole, or a window where they are longer.
         size = int(rng.choice(WINDOWS))
         at = int(rng.integers(0, max(0, len(p) - size) + 1))
