@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from vecspark.llm import licenses, quality, toxicity
+from vecspark.llm import licenses, quality, topk, toxicity
 from vecspark.llm.common import labelled_sample
 
 
@@ -93,3 +93,20 @@ def test_licences_learn_from_all_paragraphs(monkeypatch):
     monkeypatch.setattr(licenses.LicenceModel, "features", lambda self, own: rows.append(tuple(own)) or features(self, own))
     licenses.fit([f"p{i} a ka lo" for i in range(3000)], steps=1)
     assert {r[0] for r in rows if len(r) == 4 and r[1:] == ("a", "ka", "lo")} >= {f"p{i}" for i in range(3000)}
+
+
+def test_equal_vectors_share_no_block(spark, monkeypatch):
+    # Blocks are met in workers, so the sizes come back as the products of a stand-in.
+    monkeypatch.setattr(topk, "block_topk", lambda q, r, qid, rid, k: [(int(qid[0]), len(rid), len(rid))])
+    rows = [(0, [1.0, 2.0])] + [(7, [3.0, 4.0])] * 400 + [(i, [float(i), 1.0]) for i in range(1001, 1200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sizes = [r["score"] for r in topk.topk(df, lambda key: key == 0, k=1000, row_block=50).collect()]
+    assert sum(sizes) == 600 and max(sizes) < 120
+
+
+def test_equal_vectors_count_each(spark):
+    rows = [(0, [1.0, 2.0])] + [(7, [3.0, 4.0])] * 40 + [(8, [3.0, 3.9])] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block in (5, 1000):
+        got = sorted(map(tuple, topk.topk(df, lambda key: key == 0, k=41, row_block=block).collect()))
+        assert [r[2] for r in got] == [7] * 40 + [8]

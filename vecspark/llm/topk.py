@@ -104,7 +104,8 @@ def topk(
     """
     rows = vectors.select(F.col(key).cast("long").alias("id"), scaled(F.col(vector), scale).alias("v"))
     rows = rows.where("id IS NOT NULL AND v IS NOT NULL").withColumn("d", F.size("v"))
-    rows = materialise(rows, "topk-rows")
+    # A number fixed by the written table deals the rows: equal rows go to different blocks.
+    rows = materialise(rows.withColumn("_n", F.monotonically_increasing_id()), "topk-rows")
     asked = rows.where(queries(F.col("id"))).groupBy("id", "d").agg(F.min("v").alias("v"))
     sizes = rows.groupBy("d").count().select("d", F.ceil(F.col("count") / row_block).cast("int").alias("_rb"))
     counts = asked.groupBy("d").count().select("d", F.ceil(F.col("count") / query_block).cast("int").alias("_qb"))
@@ -113,7 +114,7 @@ def topk(
     left = asked.join(grid, "d").withColumn("q", F.pmod(F.xxhash64("id"), "_qb")).withColumn(
         "r", F.explode(F.sequence(F.lit(0), F.col("_rb") - 1))
     )
-    right = rows.join(grid, "d").withColumn("r", F.pmod(F.xxhash64("id", "v"), "_rb")).withColumn(
+    right = rows.join(grid, "d").withColumn("r", F.pmod(F.xxhash64("_n"), "_rb")).withColumn(
         "q", F.explode(F.sequence(F.lit(0), F.col("_qb") - 1))
     )
 
