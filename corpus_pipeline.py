@@ -20,7 +20,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that with the smallest doc_id."""
+    """One document of each group, that with the smallest doc_id.
+
+    Groups follow op8's link rule: fingerprints of 4-word shingles within 4 of 64 bits, of which
+    every pair is found. That is not "five words and similarity 0.8 or more": see README for the share of
+    such pairs that the rule links.
+    """
     small_batches(spark)
     return simhash.keep_one(docs)
 
