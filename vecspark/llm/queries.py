@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vecspark.llm import bpe, ctw, decontaminate, licenses, quality, quotes, secrets, simhash, topk, toxicity
+from vecspark.llm import (
+    bpe, ctw, decontaminate, forest, licenses, negatives, prefixtrie, quality, quotes, secrets, simhash, topk, toxicity,
+)
 from vecspark.llm.common import fold, small_batches
 from vecspark.queries import registry
 
@@ -210,3 +212,79 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), model.column("text").alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op11_projection_forest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0)
+
+
+@query(
+    "op12_prefix_trie",
+    r"""
+    WITH m AS (
+      SELECT conv_id AS c, turn, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS t FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (
+      SELECT c, list(t ORDER BY turn NULLS FIRST, sha256(length(t.r) || ':' || t.r || t.t)) AS l FROM m GROUP BY c),
+    bits AS (
+      SELECT c, l, CAST(c AS VARCHAR) AS s FROM own),
+    h AS (
+      SELECT c, l, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                 list_transform(range(1, len(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))),
+               lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                 lambda x, y: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)))), CAST(4294967295 AS BIGINT)) % 4 AS BIGINT) AS h
+      FROM bits),
+    g AS (
+      SELECT h.c, list_concat(coalesce(b.l[1 : h.h], []), h.l[h.h + 1 :]) AS l
+      FROM h LEFT JOIN own b ON b.c = h.c - h.c % 20),
+    p AS (SELECT c, len(l) AS n, unnest(range(0, len(l) + 1)) AS d, l FROM g),
+    n AS (
+      SELECT d, l[1 : d] AS x, min(c) AS conv_id, count(*) AS n_convs,
+             list(c ORDER BY c) FILTER (n = d) AS e
+      FROM p GROUP BY ALL),
+    k AS (
+      SELECT n.*, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(list_filter(regexp_split_to_array(x[d].t, '[ 	-]+'), lambda w: w <> '')) END AS saving,
+             (SELECT count(*) FROM n c WHERE c.d = n.d + 1 AND c.x[1 : n.d] = n.x) AS n_children
+      FROM n),
+    s AS (
+      SELECT a.d, a.x, sum(CASE WHEN k.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(k.saving) AS saved
+      FROM (SELECT *, unnest(range(0, d + 1)) AS u FROM k) k JOIN n a ON a.d = k.u AND a.x = k.x[1 : k.u] GROUP BY a.d, a.x)
+    SELECT k.conv_id, CAST(k.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, k.n_convs, k.n_children,
+           CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+           sha256(coalesce(array_to_string(k.e, ','), '')) AS ends_sha256
+    FROM k JOIN s ON s.d = k.d AND s.x = k.x LEFT JOIN n q ON q.d = k.d - 1 AND q.x = k.x[1 : k.d - 1]
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.crc32(F.col("c").cast("string")) % 4
+    return prefixtrie.trie(
+        table(spark, sf_dir, "conversations"), base=F.col("c") - F.col("c") % 20, head=head, most=3
+    )
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH u AS (
+      SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS y,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.y = c.y AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+      FROM u a JOIN u c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+    p AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+      FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same) WHERE r <= 5),
+    n AS (
+      SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+        AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine(rows, lambda key: key % 50 == 0)
