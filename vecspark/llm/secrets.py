@@ -37,6 +37,10 @@ VALUE = r"""^[A-Za-z_]+["']?\x20*[:=]\x20*["']?"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 TOKEN = "[A-Za-z0-9+/_-]{20,}"
+#: Stands for a character of a base span while tokens are looked for.
+COVER = "\x01"
+#: States that are added to one array one by one, and characters of a text that are cut out of one block.
+STEP, CUT = 128, 1024
 KINDS = ("assign", "access", "hex", "random")
 
 DIGITS = "0123456789"
@@ -74,39 +78,112 @@ def normal_cdf(z: Column) -> Column:
     return F.when(z > 0, 1 - tail).otherwise(tail)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(items: Column, zero: Column, step) -> Column:
+    """All states of a fold over ``items``, in time that follows their number.
+
+    Adding to an array copies it, so states are gathered in blocks of ``STEP`` and the blocks
+    in an outer array.
+    """
+    none = F.slice(F.array(zero), 1, 0)
+
+    def over(every: Column) -> Column:
+        count = F.ceil(F.size(every) / STEP).cast("int")
+        numbers = F.filter(F.sequence(F.lit(0), count), lambda b: b < count)
+
+        def block(state: Column, b: Column) -> Column:
+            own = F.aggregate(
+                F.slice(every, b * STEP + 1, F.lit(STEP)), F.struct(state["at"].alias("at"), none.alias("out")),
+                lambda acc, x: _let(step(acc["at"], x), lambda n: F.struct(n.alias("at"), F.concat(acc["out"], F.array(n)).alias("out"))),
+            )
+            return _let(own, lambda r: F.struct(r["at"].alias("at"), F.concat(state["out"], F.array(r["out"])).alias("out")))
+
+        start = F.struct(zero.alias("at"), F.slice(F.array(none), 1, 0).alias("out"))
+        return F.flatten(F.aggregate(numbers, start, block, lambda acc: acc["out"]))
+
+    return _let(items, over)
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """array<struct<match, gap>>: each match and the length of what lies between it and the one before."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
+    pairs = F.arrays_zip(found.alias("match"), F.transform(pieces, F.length).alias("gap"))
+    return F.filter(pairs, lambda p: p["match"].isNotNull())
+
+
+def _placed(text: Column, pattern: str) -> Column:
+    """array<struct<match, start, end>> of all matches, in code points."""
+    zero = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))
+
+    def step(at: Column, pair: Column) -> Column:
+        start = at["end"] + pair["gap"]
+        return F.struct(start.alias("start"), (start + F.length(pair["match"])).alias("end"))
+
+    return _let(_matches(text, pattern), lambda pairs: F.zip_with(
+        pairs, running(pairs, zero, step), lambda p, at: F.struct(p["match"].alias("match"), at["start"].alias("start"), at["end"].alias("end"))
+    ))
+
+
 def _match_spans(text: Column, pattern: str, kind: int, keep) -> Column:
     """array<struct<start, end, kind>> of the matches whose text satisfies ``keep``."""
     none = F.array().cast("array<struct<start:int,end:int,kind:int>>")
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    state = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + pair["gap"]
-        end = start + F.length(pair["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"))
-        more = F.when(keep(pair["match"]), F.array(span)).otherwise(none)
-        return F.struct(end.alias("at"), F.concat(acc["spans"], more).alias("spans"))
-
-    pairs = F.zip_with(
-        found, F.slice(gaps, 1, F.greatest(F.size(found), F.lit(1))),
-        lambda m, g: F.struct(m.alias("match"), g.alias("gap")),
+    spans = F.transform(
+        F.filter(_placed(text, pattern), lambda m: keep(m["match"])),
+        lambda m: F.struct(m["start"], m["end"], F.lit(kind).alias("kind")),
     )
-    pairs = F.filter(pairs, lambda p: p["match"].isNotNull())
-    spans = F.aggregate(pairs, state, step, lambda acc: acc["spans"])
     return F.when(text.rlike(pattern), spans).otherwise(none)
 
 
+def _covered(text: Column, pattern: str, keep) -> Column:
+    """``text`` with ``COVER`` for each character of the matches that satisfy ``keep``."""
+
+    def join(t: Column) -> Column:
+        pieces = F.zip_with(
+            F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), F.split(t, pattern, -1),
+            lambda m, gap: F.concat(gap, F.when(m.isNull(), "").when(keep(m), F.repeat(F.lit(COVER), F.length(m))).otherwise(m)),
+        )
+        return F.array_join(pieces, "")
+
+    return F.when(text.rlike(pattern), _let(text, join)).otherwise(text)
+
+
 def _all(match: Column) -> Column:
     return F.lit(True)
 
 
+def _long_value(match: Column) -> Column:
+    return F.length(F.regexp_replace(match, VALUE, "")) >= 6
+
+
+#: Pattern of each base kind, and which matches count.
+BASE = ((ASSIGN, _long_value), (ACCESS, _all), (HEX, _all))
+
+
 def base_spans(text: Column) -> Column:
     """The spans of the three base kinds, by start and then kind."""
-    long_value = lambda m: F.length(F.regexp_replace(m, VALUE, "")) >= 6
-    return _in_order(F.concat(
-        _match_spans(text, ASSIGN, 0, long_value), _match_spans(text, ACCESS, 1, _all), _match_spans(text, HEX, 2, _all)
-    ))
+    return _in_order(F.concat(*[_match_spans(text, pattern, kind, keep) for kind, (pattern, keep) in enumerate(BASE)]))
+
+
+def free_tokens(text: Column, has_base: Column) -> Column:
+    """array<struct<token, start, end>> of the tokens that overlap no base span.
+
+    Base spans are covered first. A token that overlaps one touches the cover and is one match with
+    it: the part of a span that is not covered, because an earlier kind took the rest, is token characters only.
+    """
+    plain = F.translate(text, COVER, " ")
+    masked = plain
+    for pattern, keep in BASE:
+        masked = _covered(masked, pattern, keep)
+    open_to = TOKEN.replace("[", "[" + COVER, 1)
+    # Positions follow from the lengths of all matches, those with a cover included.
+    found = _placed(F.when(has_base, masked).otherwise(plain), open_to)
+    own = F.filter(found, lambda m: ~F.contains(m["match"], F.lit(COVER)))
+    return F.transform(own, lambda m: F.struct(m["start"], m["end"], m["match"].alias("token")))
 
 
 def _in_order(spans: Column) -> Column:
@@ -231,13 +308,9 @@ def scan(
     any_base = F.col("_t").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")
     nothing = F.array().cast("array<struct<start:int,end:int,kind:int>>")
     rows = rows.withColumn("base", F.when(any_base, base_spans(F.col("_t"))).otherwise(nothing))
-    rows = rows.withColumn("_c", _match_spans(F.col("_t"), TOKEN, 3, _all))
-    free = F.filter("_c", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    named = F.transform(
-        free,
-        lambda c: F.struct(c["start"], c["end"], F.substring("_t", c["start"] + 1, c["end"] - c["start"]).alias("token")),
-    )
-    rows = rows.select(F.monotonically_increasing_id().alias("_rid"), "_id", "base", named.alias("_c"), *["row"] * carry_rows)
+    none = F.array().cast("array<struct<start:int,end:int,token:string>>")
+    found = F.when(F.col("_t").rlike(TOKEN), free_tokens(F.col("_t"), any_base)).otherwise(none)
+    rows = rows.select(F.monotonically_increasing_id().alias("_rid"), "_id", "base", found.alias("_c"), *["row"] * carry_rows)
     rows = materialise(rows, "secrets")
 
     found = rows.where(F.size("_c") > 0).select("_rid", F.explode("_c").alias("c")).select("_rid", "c.*")
@@ -265,29 +338,47 @@ def span_text(spans: Column) -> Column:
     )
 
 
+def without(body: Column, spans: Column, mark: str) -> Column:
+    """``body`` with ``mark`` in place of each run of overlapping ``spans`` (by start)."""
+    zero = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))
+
+    def step(at: Column, s: Column) -> Column:
+        inside = s["start"] < at["end"]
+        return F.struct(
+            F.when(inside, at["start"]).otherwise(s["start"]).alias("start"),
+            F.when(inside, F.greatest(at["end"], s["end"])).otherwise(s["end"]).alias("end"),
+        )
+
+    last = lambda every: F.filter(
+        every, lambda r, i: F.coalesce(F.get(every, i + 1)["start"] != r["start"], F.lit(True))
+    )
+    runs = _let(running(spans, zero, step), last)
+    # A substring is found by counting from the start, so it is taken from a block of the text.
+    blocks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+    def piece(blocks: Column, a: Column, b: Column) -> Column:
+        first, final = F.floor(a / CUT).cast("int"), F.floor(b / CUT).cast("int")
+        head = F.substring(F.get(blocks, first), a % CUT + 1, F.least(b - a, F.lit(CUT)))
+        middle = F.array_join(F.slice(blocks, first + 2, F.greatest(final - first - 1, F.lit(0))), "")
+        tail = F.substring(F.coalesce(F.get(blocks, final), F.lit("")), F.lit(1), b % CUT)
+        return F.when(b <= a, "").when(first == final, head).otherwise(F.concat(head, middle, tail))
+
+    def pieces(r: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0)), F.transform(r, lambda x: x["end"]))
+        ends = F.concat(F.transform(r, lambda x: x["start"]), F.array(F.length(body)))
+        return F.arrays_zip(starts.alias("a"), ends.alias("b"))
+
+    cut = _let(blocks, lambda own: F.transform(_let(runs, pieces), lambda p: piece(own, p["a"], p["b"])))
+    return F.array_join(cut, mark)
+
+
 def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with ``mark`` in place of each secret (overlapping spans become one); all other
     columns, and texts without secrets (null ones too), as they were."""
     found = scan(docs, key, text, carry_rows=True, **options)
-    runs = F.aggregate(
-        "spans", F.array().cast("array<struct<start:int,end:int>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (s["start"] < F.element_at(acc, -1)["end"]),
-            F.concat(
-                F.slice(acc, F.lit(1), F.size(acc) - 1),
-                F.array(F.struct(
-                    F.element_at(acc, -1)["start"].alias("start"),
-                    F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"),
-                )),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
-    )
     body = F.col("row")[text]
-    starts = F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["end"]))
-    ends = F.concat(F.transform("_runs", lambda r: r["start"]), F.array(F.length(body)))
-    pieces = F.zip_with(starts, ends, lambda a, b: F.substring(body, a + 1, b - a))
-    clean = F.when(F.size("spans") > 0, F.array_join(pieces, mark)).otherwise(body)
-    out = found.withColumn("_runs", runs).withColumn("_clean", clean)
+    clean = F.when(F.size("spans") > 0, without(body, F.col("spans"), mark)).otherwise(body)
+    out = found.withColumn("_clean", clean)
     return out.select(*[
         F.col("_clean").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns
     ])
