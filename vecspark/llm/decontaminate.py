@@ -140,5 +140,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     bad = scan(docs, benchmark, key, text, **options).where("contaminated").select(
         F.col(key).alias("_bk"), F.col("row_key").alias("_bh")
     ).distinct()
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_bk")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_bh"))
-    return docs.join(bad, same, "left_anti")
+    # The row travels as one struct, so that no column of it can be taken for one of ours.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    row = F.col("_row")
+    same = row[key].eqNullSafe(F.col("_bk")) & (F.xxhash64(row[text]) == F.col("_bh"))
+    return rows.join(bad, same, "left_anti").select(*[row[c].alias(c) for c in docs.columns])

@@ -348,9 +348,10 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int
     """Fit with at most ``PARAGRAPHS`` paragraphs of at most ``sample`` documents, the first of
     both by a hash. A paragraph of over ``LONGEST`` characters is represented by that many,
     from a place that the hash names."""
-    ids = docs.select(F.col(key).alias("_k")).where("_k IS NOT NULL").distinct().orderBy(F.xxhash64("_k"), "_k").limit(sample)
-    picked = docs.join(F.broadcast(ids), F.col(key) == F.col("_k"))  # ``sample`` rows
-    lines = picked.select("_k", F.posexplode(F.split(F.col(text), "\n")).alias("_n", "_p")).where("trim(_p) <> ''")
+    rows = docs.select(F.col(f"`{key}`").alias("_k"), F.col(f"`{text}`").alias("_t"))
+    ids = rows.select("_k").where("_k IS NOT NULL").distinct().orderBy(F.xxhash64("_k"), "_k").limit(sample)
+    picked = rows.join(F.broadcast(ids), "_k")  # the rows of ``sample`` keys
+    lines = picked.select("_k", F.posexplode(F.split("_t", "\n")).alias("_n", "_p")).where("trim(_p) <> ''")
     order = F.xxhash64("_k", "_n", "_p")
     start = F.pmod(order, F.greatest(F.length("_p") - LONGEST, F.lit(0)) + 1) + 1
     chosen = lines.select(order.alias("_o"), F.substring("_p", start.cast("int"), F.lit(LONGEST)).alias("_p"))

@@ -73,8 +73,10 @@ def link(
 
     Null conversations and turns link to nothing and are threads of their own. Null texts
     are empty. Rows that share conversation and turn are one message with the passages of
-    all; each row is returned.
+    all; each row is returned. A carried column that has the name of a result gets ``_carried`` after it.
     """
+    results = {conversation, turn, "thread", "parent", "depth", "n_quoted", "n_linked", "body"}
+    named = {c: f"{c}_carried" if c in results else c for c in carry}
     rows = messages.select(
         F.col(f"`{conversation}`").alias("conv"), F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), *[F.col(f"`{c}`").alias(f"_{c}") for c in carry],
@@ -101,7 +103,7 @@ def link(
         F.col("conv").alias("c3"), F.col("turn").alias("t3"), "n_quoted", "n_linked", "parent", "root", "depth"
     )
     out = rows.join(info, (F.col("conv") == F.col("c3")) & (F.col("turn") == F.col("t3")), "left").select(
-        F.col("conv").alias(conversation), F.col("turn").alias(turn), *[F.col(f"_{c}").alias(c) for c in carry],
+        F.col("conv").alias(conversation), F.col("turn").alias(turn), *[F.col(f"`_{c}`").alias(named[c]) for c in carry],
         F.coalesce("root", "turn").alias("thread"), "parent", F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
         F.coalesce("n_quoted", F.lit(0)).cast("long").alias("n_quoted"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), body(F.col("text")).alias("body"),

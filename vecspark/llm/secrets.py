@@ -175,7 +175,7 @@ def free_tokens(text: Column, has_base: Column) -> Column:
     Base spans are covered first. A token that overlaps one touches the cover and is one match with
     it: the part of a span that is not covered, because an earlier kind took the rest, is token characters only.
     """
-    plain = F.translate(text, COVER, " ")
+    plain = F.translate(text, COVER, "\x02")  # another character that is in no pattern
     masked = plain
     for pattern, keep in BASE:
         masked = _covered(masked, pattern, keep)

@@ -287,9 +287,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     chosen = same.groupBy("group_print").agg(F.min(first).alias("c")).select(
         F.col("c.k").alias("_ck"), F.col("c.h").alias("_ch"), F.col("c._same").alias("_cn")
     )
-    mine = docs.withColumn("_mh", row_hash)
-    kept = mine.join(chosen, (F.col("_mh") == F.col("_ch")) & F.col(f"`{key}`").eqNullSafe(F.col("_ck")))
-    once = kept.where("_cn = 1").select(*columns)
+    # The row travels as one struct, so that no column of it can be taken for one of ours.
+    mine = docs.select(F.struct(*columns).alias("_row"), row_hash.alias("_mh"))
+    kept = mine.join(chosen, (F.col("_mh") == F.col("_ch")) & F.col("_row")[key].eqNullSafe(F.col("_ck")))
+    out = [F.col("_row")[c].alias(c) for c in docs.columns]
+    once = kept.where("_cn = 1").select(*out)
     # Equal rows (all columns) are rare where keys are unique; only they pass another exchange.
-    again = kept.where("_cn > 1").dropDuplicates(["_ck", "_ch"]).select(*columns)
+    again = kept.where("_cn > 1").dropDuplicates(["_ck", "_ch"]).select(*out)
     return once.unionByName(again)

@@ -33,12 +33,19 @@ FIRST = 256
 
 
 def scaled(vector: Column, scale: int = 1024) -> Column:
-    """floor(scale * x) for each component, as longs; null for vectors that take no part."""
-    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
+    """floor(scale * x) for each component, as longs; null for vectors that take no part.
+
+    Those are vectors with a component that is null or not finite, and vectors so long that a
+    product could leave 64 bits: products of vectors whose squared norms are below 2**62 cannot.
+    """
+    most = F.lit(2.0**32)  # its square is beyond the bound
+    near = F.transform(vector, lambda x: F.least(F.greatest(x.cast("double") * scale, -most), most))
+    whole = F.transform(near, lambda x: F.floor(x))
+    norm = F.aggregate(whole, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     finite = F.forall(
         vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False))
     )
-    return F.when(finite, whole)
+    return F.when(finite & (norm < 2.0**62), whole)
 
 
 def segment_statistics(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +104,8 @@ def topk(
     """Columns query_id, rank, vec_id, score: the k rows with the largest inner product for each
     row whose key ``queries`` selects, other than itself; ties to the smaller key.
 
-    Rows with a null key, a null vector or a component that is null or not finite take no part.
+    Rows with a null key, a null vector or a component that is null or not finite take no part, nor
+    do vectors too long for products of 64 bits (see :func:`scaled`).
     Only vectors of one length meet, and an empty vector has product 0 with others. Rows with
     the same key are one vector each, but none is a candidate of a query with that key;
     a repeated query is answered once, from its smallest vector.
