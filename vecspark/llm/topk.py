@@ -28,6 +28,8 @@ from vecspark.session import materialise
 ROW_BLOCK, QUERY_BLOCK = 8192, 1024
 #: Segments at each level, coarse to fine.
 LEVELS = (1, 4, 16)
+#: Scores beyond these count as these.
+LEAST, MOST = -(2**63), 2**63 - 1
 #: Rows whose exact products set the bar before the bounds are used.
 FIRST = 256
 
@@ -35,17 +37,13 @@ FIRST = 256
 def scaled(vector: Column, scale: int = 1024) -> Column:
     """floor(scale * x) for each component, as longs; null for vectors that take no part.
 
-    Those are vectors with a component that is null or not finite, and vectors so long that a
-    product could leave 64 bits: products of vectors whose squared norms are below 2**62 cannot.
+    What lies beyond 64 bits becomes the nearest long.
     """
-    most = F.lit(2.0**32)  # its square is beyond the bound
-    near = F.transform(vector, lambda x: F.least(F.greatest(x.cast("double") * scale, -most), most))
-    whole = F.transform(near, lambda x: F.floor(x))
-    norm = F.aggregate(whole, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
     finite = F.forall(
         vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False))
     )
-    return F.when(finite & (norm < 2.0**62), whole)
+    return F.when(finite, whole)
 
 
 def segment_statistics(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +66,8 @@ def block_topk(queries: np.ndarray, rows: np.ndarray, qid: np.ndarray, rid: np.n
     def exact(i: int, which: np.ndarray) -> np.ndarray:
         if small:  # every partial sum is a whole number that a double holds
             return (r[which] @ q[i]).astype(np.int64)
-        return np.array([sum(int(a) * int(b) for a, b in zip(rows[j], queries[i])) for j in which], object)
+        found = [sum(int(a) * int(b) for a, b in zip(rows[j], queries[i])) for j in which]
+        return np.array([min(max(p, LEAST), MOST) for p in found], object)
 
     stats = [(segment_statistics(q, n), segment_statistics(r, n)) for n in LEVELS]
     slack = 1e-9 * (np.linalg.norm(q, axis=1).max(initial=0) * np.linalg.norm(r, axis=1).max(initial=0)) + 1e-6
@@ -104,8 +103,9 @@ def topk(
     """Columns query_id, rank, vec_id, score: the k rows with the largest inner product for each
     row whose key ``queries`` selects, other than itself; ties to the smaller key.
 
-    Rows with a null key, a null vector or a component that is null or not finite take no part, nor
-    do vectors too long for products of 64 bits (see :func:`scaled`).
+    Rows with a null key, a null vector or a component that is null or not finite take no part. Finite
+    components of any size do: a scaled component or a product that 64 bits cannot hold counts as the
+    nearest long, so such products tie.
     Only vectors of one length meet, and an empty vector has product 0 with others. Rows with
     the same key are one vector each, but none is a candidate of a query with that key;
     a repeated query is answered once, from its smallest vector.
