@@ -117,3 +117,35 @@ def ivf_filter_full_probe(spark, sf_dir):
     base = table(spark, sf_dir, "embeddings")
     index = _index(spark, sf_dir, "flat", nlist=16)
     return _rounded(ivf.filtered_search(base, index, QUERY, "label >= 3 AND label < 8", 10, nprobe=index.nlist))
+
+
+@query("ivf_sq8_rerank", _topk_sql("l2"))
+def ivf_sq8_rerank(spark, sf_dir):
+    """Codes of every list choose 40 rows; only the vectors of these are read."""
+    index = _index(spark, sf_dir, "sq8", nlist=16)
+    return _rounded(ivf.search(spark, index, QUERY, 10, nprobe=index.nlist, rerank=4))
+
+
+@query("ivf_pq_rerank", _topk_sql("l2"))
+def ivf_pq_rerank(spark, sf_dir):
+    index = _index(spark, sf_dir, "pq", nlist=16, m=32)
+    return _rounded(ivf.search(spark, index, QUERY, 10, nprobe=index.nlist, rerank=8))
+
+
+@query("ivf_filter_pushed", ORACLES["ivf_filter_full_probe"])
+def ivf_filter_pushed(spark, sf_dir):
+    """The predicate is pushed into the scan of the lists, which carry its column."""
+    base = table(spark, sf_dir, "embeddings")
+    index = _index(spark, sf_dir, "sq8", nlist=16, carry=["label"])
+    return _rounded(ivf.filtered_search(base, index, QUERY, "label >= 3 AND label < 8", 10, nprobe=index.nlist))
+
+
+@query("ivf_filter_refill", f"""
+    SELECT vec_id, round(list_distance({V}, {Q}), 5) AS distance FROM embeddings WHERE label = 3 AND vec_id < 60
+    ORDER BY list_distance({V}, {Q}), vec_id LIMIT 10
+""")
+def ivf_filter_refill(spark, sf_dir):
+    """Few rows pass: from one list on, twice as many are read until all are."""
+    base = table(spark, sf_dir, "embeddings")
+    index = _index(spark, sf_dir, "flat", nlist=16, carry=["label"])
+    return _rounded(ivf.filtered_search(base, index, QUERY, "label = 3 AND vec_id < 60", 10, nprobe=1))
