@@ -1,5 +1,6 @@
 import math
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -12,75 +13,68 @@ from vecspark.sources.ingest import (
 )
 from pyspark.sql import functions as F, types as T
 
-NEAR = [0.748479, 0.276979, 0.555195]
-IDS = [*range(13), 111, 112]
+def ring(n=24, tilt=0.5):
+    """Points around a circle, the even ones raised: (id, place, sector), ids in steps of three."""
+    turn = 2 * math.pi / n
+    return [(3 * i, [math.cos(i * turn), math.sin(i * turn), tilt * (i % 2 == 0)], f"s{i * 4 // n}") for i in range(n)]
+
+
+def slow_order(rows, q, metric="l2", keep=lambda r: True):
+    """Ids by the metric in plain Python, on values rounded as they are stored."""
+    narrow = lambda v: [struct.unpack("f", struct.pack("f", x))[0] for x in v]
+    q, found = narrow(q), []
+    for r in filter(keep, rows):
+        v = narrow(r[1])
+        dot = sum(x * y for x, y in zip(v, q))
+        found.append(({"l2": math.dist(v, q), "ip": dot, "neg_ip": -dot}[metric], r[0]))
+    return [i for _, i in sorted(found)]
 
 
 @pytest.fixture(scope="module")
 def plain(spark):
-    rows = [(i, NEAR if i < 10 else [0.0, 0.0, 0.0], f'{{"page": {i}}}') for i in IDS]
-    return spark.createDataFrame(rows, "id int, embedding array<float>, meta string")
+    return spark.createDataFrame(ring(), "id int, place array<float>, sector string")
 
 
 def ids(df):
     return [r["id"] for r in df.collect()]
 
 
-def test_nearest_are_the_zero_vectors(plain):
-    found = search.ann_search(plain, [0, 0, 0], "embedding", "l2_distance", 5, "id", with_distance=True).collect()
-    assert {r["id"] for r in found} == {10, 11, 12, 111, 112}
-    assert all(r["distance"] == 0.0 for r in found)
+SPOT = [0.9, 0.35, 0.2]
+
+
+@pytest.mark.parametrize("metric", ["l2", "ip", "neg_ip"])
+def test_order_of_each_metric(plain, metric):
+    found = search.search(plain, SPOT, "place", limit=7, search_params={"metric_type": metric.upper()}, primary_key="id")
+    assert ids(found) == slow_order(ring(), SPOT, metric)[:7]
 
 
 def test_search_in_partition(plain):
-    placed = Layout(RangePartition("id", [("p0", 100), ("p1", MAXVALUE)])).assign(plain)
-    first = ids(search.ann_search(placed, [0, 0, 0], "embedding", "l2", 5, "id", partitions=["p0"]))
-    assert first[:3] == [10, 11, 12] and set(first[3:]) <= set(range(10))
-    found = search.search(placed, [0, 0, 0], "embedding", limit=5, partitions=["p1"], primary_key="id")
-    assert set(ids(found)) == {111, 112}
+    placed = Layout(RangePartition("id", [("low", 30), ("mid", 51), ("top", MAXVALUE)])).assign(plain)
+    for names, keep in ((["mid"], lambda r: 30 <= r[0] < 51), (["low", "top"], lambda r: not 30 <= r[0] < 51)):
+        found = search.ann_search(placed, SPOT, "place", "l2_distance", 5, "id", partitions=names)
+        assert ids(found) == slow_order(ring(), SPOT, keep=keep)[:5]
 
 
 def test_thresholds(plain):
-    exact = search.ann_search(plain, [0, 0, 0], "embedding", "l2", 10, "id", threshold=0.0)
-    assert len(ids(exact)) == 5
-    near = search.ann_search(plain, NEAR, "embedding", "l2", 10, "id", threshold=0.5, with_distance=True)
-    assert all(r["distance"] <= 0.5 for r in near.collect())
+    found = search.ann_search(plain, SPOT, "place", "l2", 24, "id", threshold=0.6, with_distance=True).collect()
+    assert [r["id"] for r in found] == slow_order(ring(), SPOT)[: len(found)]
+    assert 0 < len(found) < 24 and all(r["distance"] <= 0.6 for r in found)
+    on_it = search.ann_search(plain, ring()[4][1], "place", "l2", 24, "id", threshold=0.0)
+    assert ids(on_it) == [12]
 
 
 def test_output_expressions(plain):
     found = search.ann_search(
-        plain, [0, 0, 0], "embedding", "l2", 5, "id", names=["meta"],
-        columns=["id", (F.col("id") + 1000).alias("more")], extra=["get_json_object(meta, '$.page') AS page"],
+        plain, SPOT, "place", "l2", 4, "id", names=["sector"],
+        columns=["id", (F.col("id") * 2 - 1).alias("odd")], extra=["upper(sector) AS big"],
     )
-    assert found.columns == ["id", "more", "page"]
-    assert all(r["more"] == r["id"] + 1000 and int(r["page"]) == r["id"] for r in found.collect())
+    assert found.columns == ["id", "odd", "big"]
+    assert [tuple(r) for r in found.collect()] == [(i, 2 * i - 1, f"S{i // 3 // 6}") for i in slow_order(ring(), SPOT)[:4]]
 
 
-def test_negative_inner_product(spark):
-    rows = [(i, [1.0, 0.0, 0.0] if i < 10 else [0.0, 0.0, 1.0]) for i in IDS]
-    df = spark.createDataFrame(rows, "id int, embedding array<float>")
-    found = search.search(
-        df, [0, 0, 1], "embedding", limit=5, search_params={"metric_type": "NEG_IP"}, primary_key="id"
-    )
-    assert set(ids(found)) == {10, 11, 12, 111, 112}
-    least = search.search(df, [0, 0, 1], "embedding", limit=5, search_params={"metric_type": "ip"}, primary_key="id")
-    assert set(ids(least)) <= set(range(10))
-
-
-def test_filtered_search(spark):
-    vectors = [
-        [0.203846, 0.205289, 0.880265], [0.226980, 0.579658, 0.933939], [0.181664, 0.013905, 0.628127],
-        [0.442633, 0.637534, 0.633993], [0.190118, 0.959676, 0.796483], [0.710370, 0.007130, 0.710913],
-        [0.238120, 0.289662, 0.970101], [0.168794, 0.567442, 0.062338], [0.901419, 0.676738, 0.122339],
-        [0.563644, 0.811224, 0.175574],
-    ]
-    df = spark.createDataFrame(
-        [(i + 1, i + 1, 10 - i, v) for i, v in enumerate(vectors)], "c1 int, c2 int, c3 int, v array<float>"
-    )
-    found = search.ann_search(
-        df, [0.712338, 0.603321, 0.133444], "v", "l2", 5, "c1", ["c2 > 5", F.col("c3") < 6], ["c1", "c2", "c3"]
-    )
-    assert {tuple(r) for r in found.collect()} == {(9, 9, 2), (10, 10, 1), (8, 8, 3), (6, 6, 5), (7, 7, 4)}
+def test_filtered_search(plain):
+    found = search.ann_search(plain, SPOT, "place", "l2", 3, "id", ["sector <> 's0'", F.col("id") % 2 == 1], ["id"])
+    assert ids(found) == slow_order(ring(), SPOT, keep=lambda r: r[2] != "s0" and r[0] % 2 == 1)[:3]
 
 
 def test_metric_names():
@@ -113,12 +107,12 @@ def test_arrow_and_column_scores_agree(spark, metric):
 def test_dimension_mismatch_raises(plain):
     for arrow in (False, True):
         with pytest.raises(Exception, match="different dimensions"):
-            search.ann_search(plain, [0.0, 1.0], "embedding", "l2", 5, "id", arrow=arrow).collect()
+            search.ann_search(plain, [0.0, 1.0], "place", "l2", 5, "id", arrow=arrow).collect()
 
 
 def test_query_type_is_checked(plain):
     with pytest.raises(TypeError):
-        search.ann_search(plain, "text", "embedding")
+        search.ann_search(plain, "text", "place")
 
 
 SPARSE = [(1, {1: 0.5, 100: 0.3, 500: 0.8}, 10), (2, {10: 0.1, 200: 0.7, 1000: 0.9}, 4), (3, {1: 0.7, 50: 0.7, 1000: 0.9}, 1)]

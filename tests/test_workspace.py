@@ -6,7 +6,9 @@ from vecspark.session import scratch_path
 from vecspark.sources import schema as sc
 from vecspark.workspace import Workspace
 
-NEAR = [0.748479, 0.276979, 0.555195]
+#: Places on a line, a step apart; every third has company at the same place.
+LINE = [(7 * i + 1, [0.5 * (i // 3), -1.0, 2.0]) for i in range(18)]
+END = [0.5 * 5, -1.0, 2.0]
 
 
 @pytest.fixture()
@@ -25,51 +27,64 @@ def vectors(layout=None):
 
 
 def data():
-    rows = [{"id": i, "embedding": NEAR} for i in range(10)]
-    return rows + [{"id": i, "embedding": [0, 0, 0]} for i in (10, 11, 12, 111, 112)]
+    return [{"id": i, "embedding": v} for i, v in LINE]
 
 
 def test_indexed_search_follows_the_table(ws):
-    layout = Layout(RangePartition("id", [("p0", 100), ("p1", MAXVALUE)]))
+    layout = Layout(RangePartition("id", [("west", 60), ("east", MAXVALUE)]))
     ws.create_table("t", vectors(layout), {"v": {"column": "embedding", "kind": "hnsw"}})
     ws.create_table("t", vectors())  # exists: nothing happens
     ws.insert("t", data())
     ws.insert("t", [])
-    assert ws.stats("t") == {"row_count": 15} and ws.table_names() == ["t"]
-    want = {10, 11, 12, 111, 112}
-    assert set(ids(ws.ann_search("t", [0, 0, 0], "embedding", topk=5, index="v"))) == want  # not built yet: exact
+    assert ws.stats("t") == {"row_count": 18} and ws.table_names() == ["t"]
+    near = lambda **more: ids(ws.ann_search("t", END, "embedding", topk=5, index="v", **more))
+    want = [106, 113, 120, 85, 92]  # those at the end, then the next place
+    assert near() == want  # not built yet: exact
     ws.refresh_index("t", "v")
     assert ws._current("t", "vector", "embedding", "v") is not None
-    assert set(ids(ws.ann_search("t", [0, 0, 0], "embedding", topk=5, index="v", nprobe=99))) == want
-    found = ws.ann_search(
-        "t", [0, 0, 0], "embedding", topk=5, index="v", nprobe=99, where="id > 100", names=["id"], with_distance=True
-    )
-    assert [tuple(r) for r in found.collect()][:2] == [(111, 0.0), (112, 0.0)]
-    assert set(ids(ws.search("t", [0, 0, 0], "embedding", limit=5, partitions=["p1"]))) == {111, 112}
-    ws.delete("t", [10, 111], partition="p0")
-    assert set(ids(ws.ann_search("t", [0, 0, 0], "embedding", topk=5, index="v"))) >= {11, 12, 111, 112}
+    assert near(nprobe=99) == want and near(nprobe=99, where="id < 100") == [85, 92, 99, 64, 71]
+    found = ws.ann_search("t", END, "embedding", topk=2, index="v", nprobe=99, where="id < 100", names=["id"], with_distance=True)
+    assert [tuple(r) for r in found.collect()] == [(85, 0.5), (92, 0.5)]
+    assert ids(ws.search("t", END, "embedding", limit=3, partitions=["west"])) == [43, 50, 57]
+    ws.delete("t", [106, 120], partition="east")
+    assert near() == [113, 85, 92, 99, 64]
     ws.rebuild_index("t", "v", 0.01)
-    assert 10 not in ids(ws.ann_search("t", [0, 0, 0], "embedding", topk=14, index="v", nprobe=99))
+    assert near(nprobe=99) == [113, 85, 92, 99, 64]
     ws.drop_index("t", "v")
     ws.drop_table("t")
     assert not ws.has_table("t")
 
 
+def test_filter_columns_of_an_index(ws):
+    spec = sc.TableSpec([sc.field("id", "int"), sc.vector_field("embedding", 3), sc.field("kind", "int")], ("id",))
+    ws.create_table("t", spec)
+    ws.insert("t", [{"id": i, "embedding": v, "kind": i % 2} for i, v in LINE])
+    ws.create_vector_index("t", "v", "embedding", nlist=3, filter_columns=["kind"])
+    find = lambda: ids(ws.ann_search("t", END, "embedding", topk=3, index="v", nprobe=1, where="kind = 1"))
+    assert find() == [113, 85, 99]
+    body = {"knn": {"field": "embedding", "query_vector": END, "k": 3, "num_candidates": 18, "filter": {"terms": {"kind": [1]}}}}
+    assert ids(ws.hybrid_search("t", body)) == [113, 85, 99]
+    ws.update("t", {"kind": "1"}, "id = 106")  # the vector stays, what is carried changes
+    ws.refresh_index("t", "v", 0)
+    assert ws._current("t", "vector", "embedding", "v") is not None
+    assert find() == [106, 113, 85] and ids(ws.hybrid_search("t", body)) == [106, 113, 85]
+
+
 def test_rows(ws):
     ws.create_table("t", vectors())
     ws.insert("t", data())
     with pytest.raises(ValueError, match="duplicate"):
-        ws.insert("t", {"id": 3, "embedding": NEAR})
+        ws.insert("t", {"id": 8, "embedding": END})
     with pytest.raises(ValueError, match="dim"):
         ws.insert("t", {"id": 30, "embedding": [1, 2]})
     with pytest.raises(ValueError, match="not in the schema"):
         ws.insert("t", {"id": 30, "colour": "red"})
-    ws.upsert("t", [{"id": 3, "embedding": [1, 1, 1], "meta": "{}"}, {"id": 3, "embedding": [2, 2, 2]}])
-    assert tuple(ws.get("t", 3).first()) == (3, [2.0, 2.0, 2.0], None)
-    ws.update("t", {"meta": "concat('{\"id\": ', id, '}')"}, "id < 5")
-    assert ws.query("t", "get_json_object(meta, '$.id') > 2", ["id"]).count() == 2
-    ws.delete("t", where="id >= 5")
-    assert sorted(ids(ws.get("t", [1, 7]))) == [1]
+    ws.upsert("t", [{"id": 8, "embedding": [1, 1, 1], "meta": "{}"}, {"id": 8, "embedding": [2, 2, 2]}])
+    assert tuple(ws.get("t", 8).first()) == (8, [2.0, 2.0, 2.0], None)
+    ws.update("t", {"meta": "concat('{\"id\": ', id, '}')"}, "id < 20")
+    assert ws.query("t", "get_json_object(meta, '$.id') > 7", ["id"]).count() == 2
+    ws.delete("t", where="id >= 20")
+    assert sorted(ids(ws.get("t", [1, 22]))) == [1]
     ws.add_columns("t", [sc.field("tag", "int", True)])
     assert ws.sql("SELECT count(*) AS n, count(tag) AS m FROM t WHERE l2_distance(embedding, array(2, 2, 2)) < 1").first() == (1, 0)
     ws.drop_columns("t", ["tag"])
@@ -77,15 +92,15 @@ def test_rows(ws):
 
 
 def test_partition_scope(ws):
-    layout = Layout(RangePartition("id", [("p0", 100), ("p1", MAXVALUE)]))
+    layout = Layout(RangePartition("id", [("west", 60), ("east", MAXVALUE)]))
     ws.create_table("t", vectors(layout))
     with pytest.raises(ValueError, match="does not belong"):
-        ws.insert("t", {"id": 200, "embedding": NEAR}, partition="p0")
-    ws.insert("t", {"id": 20, "embedding": NEAR}, partition="p0")
-    ws.upsert("t", [{"id": 20, "embedding": [1, 1, 1]}, {"id": 21, "embedding": NEAR}], partition="p0")
-    ws.insert("t", {"id": 300, "embedding": NEAR})
-    ws.update("t", {"meta": "'{}'"}, partition="p0")
-    assert sorted((r["id"], r["meta"]) for r in ws.read("t").collect()) == [(20, "{}"), (21, "{}"), (300, None)]
+        ws.insert("t", {"id": 61, "embedding": END}, partition="west")
+    ws.insert("t", {"id": 44, "embedding": END}, partition="west")
+    ws.upsert("t", [{"id": 44, "embedding": [1, 1, 1]}, {"id": 45, "embedding": END}], partition="west")
+    ws.insert("t", {"id": 77, "embedding": END})
+    ws.update("t", {"meta": "'{}'"}, partition="west")
+    assert sorted((r["id"], r["meta"]) for r in ws.read("t").collect()) == [(44, "{}"), (45, "{}"), (77, None)]
 
 
 def test_collections_and_automatic_keys(ws):

@@ -52,8 +52,8 @@ class IvfIndex:
     """An index on disk. ``min_values``/``steps`` serve SQ8, ``m`` PQ.
 
     ``lists`` names the lists that have rows and ``sizes`` how many; with them a search opens the folders it
-    probes without listing the others. ``row_hash`` is the hash of a stored vector; ``gone``
-    is the folder of the (key, hash) pairs that left the table or have another vector now.
+    probes without listing the others. ``row_hash`` is the hash of a stored vector and what is carried with it; ``gone``
+    is the folder of the (key, hash) pairs that left the table or have other values now.
     ``carried`` are the (name, type) of further columns in the lists. ``nprobe`` is the measured default.
     """
 
@@ -257,7 +257,8 @@ def _fit_codebooks(sample: DataFrame, vector: str, centres: Centres, m: int, pat
 
 
 def _row_hash(index: IvfIndex) -> Column:
-    return F.xxhash64(F.col(index.vector).cast("array<float>"))
+    """Of all that the lists hold of a row, so that any change of it is seen."""
+    return F.xxhash64(F.col(index.vector).cast("array<float>"), *[F.col(n).cast(t) for n, t in index.carried])
 
 
 def _encode(rows: DataFrame, index: IvfIndex, n_rows: int) -> DataFrame:
@@ -473,7 +474,7 @@ def _probed(spark: SparkSession, index: IvfIndex, query: Sequence[float], nprobe
     return index.probe(spark, query, nprobe) if nprobe < index.nlist else None
 
 
-def _any_of(key: str, values: Sequence) -> Column:
+def any_of(key: str, values: Sequence) -> Column:
     """``key`` is one of ``values``, as a tree of comparisons: a long IN is not pushed down value by value."""
     if len(values) > PUSHED_KEYS:
         return F.col(key).isin(list(values))
@@ -492,7 +493,7 @@ def _nearest_rows(rows: DataFrame, index: IvfIndex, query: Sequence[float], k: i
     kept = _first_k(coarse, key, k * rerank).select(key, "row_hash", index.bucket().alias("bucket")).collect()  # k * rerank rows
     if not kept:
         return index.vectors(spark).select(key, exact).where(F.lit(False))
-    own = index.vectors(spark, [r["bucket"] for r in kept]).where(_any_of(key, [r[key] for r in kept]))
+    own = index.vectors(spark, [r["bucket"] for r in kept]).where(any_of(key, [r[key] for r in kept]))
     known = spark.createDataFrame([(r[key], r["row_hash"]) for r in kept], f"`{key}` {index.key_type}, row_hash bigint")
     own = own.join(F.broadcast(known), [key, "row_hash"], "left_semi")  # k * rerank rows
     return _first_k(own.select(key, exact), key, k)
@@ -536,6 +537,8 @@ def carries(spark: SparkSession, index: IvfIndex, where) -> bool:
     condition = conjunction(where)
     if condition is None:
         return True
+    if not index.carried:
+        return False
     own = spark.createDataFrame([], ", ".join([f"`{index.primary_key}` {index.key_type}", *[f"`{n}` {t}" for n, t in index.carried]]))
     try:
         own.where(condition).schema  # analysis only, no job
@@ -603,8 +606,7 @@ def refresh(base: DataFrame, index: IvfIndex, threshold: int = REFRESH_ROWS) ->
 
     Rows that are gone or have another vector leave at once: their keys and hashes are written
     to a new folder, which searches leave out. Rows that the index lacks are added once there
-    are more than ``threshold`` of them. Only keys and hashes are shuffled. A change of carried columns alone is
-    not seen; :func:`build` anew after it.
+    are more than ``threshold`` of them. Only keys and hashes are shuffled.
     """
     spark, key = base.sparkSession, index.primary_key
     found = materialise(_differences(base, index, index.stored_rows(spark)), "ivf-differences")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vecspark.functions import text as tx
 from vecspark.functions.distance import resolve_metric
+from vecspark.operators import ivf
 from vecspark.operators.fts import TextIndex
 from vecspark.operators.search import query_distance
 from vecspark.session import materialise
@@ -107,6 +108,13 @@ class _Request:
         should = _as_list(spec.get("should", []))
         return bool(should) and all(self.needs_text(c) for c in should)
 
+    def uses_text(self, node: Mapping) -> bool:
+        """True where a part of the query looks into text columns."""
+        kind, spec = _only(node)
+        if kind != "bool":
+            return kind == "query_string"
+        return any(self.uses_text(c) for part in ("must", "should", "must_not", "filter") for c in _as_list(spec.get(part, [])))
+
     # --- (predicate, score) of a node -------------------------------------------------
 
     def compile(self, node: Mapping) -> tuple[Column, Column]:
@@ -283,15 +291,26 @@ def knn_score(distance: Column, metric: str) -> Column:
     return distance if metric == "ip" else F.lit(0.0) - distance
 
 
-def knn_hits(df: DataFrame, spec: Mapping, key: str, metric: str, condition: Column | None) -> DataFrame:
-    """The vector part of a request: ``(<key>, knn_score)``, at most k rows."""
+def knn_hits(
+    df: DataFrame, spec: Mapping, key: str, metric: str, condition: Column | None, index: ivf.IvfIndex | None = None
+) -> DataFrame:
+    """The vector part of a request: ``(<key>, knn_score)``, at most k rows.
+
+    With an index of the field whose lists hold the columns of ``condition``, the nearest lists are probed
+    until they hold ``num_candidates`` rows, and at least as many as the index probes by default.
+    """
     # Search by closeness: the inner product itself ascends from the least similar.
-    closest = "neg_ip" if resolve_metric(metric) == "ip" else metric
+    closest = "neg_ip" if resolve_metric(metric) == "ip" else resolve_metric(metric)
     k = int(spec.get("k", DEFAULT_KNN))
     candidates = max(k, int(spec.get("num_candidates", k)))
-    scope = df if condition is None else df.where(condition)
-    dist = query_distance(spec["field"], spec["query_vector"], closest)
-    near = scope.select(key, dist.alias("_dist")).orderBy(F.asc_nulls_last("_dist"), key).limit(candidates)
+    if index is not None and index.metric == closest and ivf.carries(df.sparkSession, index, condition):
+        query = spec["query_vector"]
+        nprobe = max(index.default_nprobe, index.lists_holding(df.sparkSession, query, candidates))
+        near = ivf.filtered_search(df, index, query, condition, k, nprobe).withColumnRenamed("distance", "_dist")
+    else:
+        scope = df if condition is None else df.where(condition)
+        dist = query_distance(spec["field"], spec["query_vector"], closest)
+        near = scope.select(key, dist.alias("_dist")).orderBy(F.asc_nulls_last("_dist"), key).limit(candidates)
     scored = near.where("_dist is not null").select(key, "_dist", knn_score(F.col("_dist"), closest).alias("knn_score"))
     if "similarity" in spec:
         scored = scored.where(F.col("knn_score") >= float(spec["similarity"]))
@@ -309,11 +328,13 @@ def hybrid_search(
     indexes: Mapping[str, TextIndex] | None = None,
     columns: Sequence[str] | None = None,
     score_name: str = "score",
+    vector_indexes: Mapping[str, ivf.IvfIndex] | None = None,
 ) -> DataFrame:
     """Run a request body over a table: rows of the page with their score, best first.
 
     ``parsers`` names the tokeniser per text column; ``indexes`` holds built text
-    indexes, whose postings then replace the scan of that column.
+    indexes, whose postings then replace the scan of that column. ``vector_indexes`` holds the index of a
+    vector column; it serves ``knn`` unless its filter looks into text or columns that the index lacks.
     """
     query, knn = body.get("query"), body.get("knn")
     if query is None and knn is None:
@@ -328,16 +349,19 @@ def hybrid_search(
             request.collect(node)
     required = all(node is not None and request.needs_text(node) for node in (query, knn_filter) if node is not None)
     required = required and (knn is None or knn_filter is not None)
-    carried = list(dict.fromkeys([primary_key, *request.columns, *([knn["field"]] if knn_filter else [])]))
+    carried = list(dict.fromkeys([primary_key, *request.columns]))
     featured = df
     if request.fields:
         featured = request.with_features(df, primary_key, indexes or {}, required, carried)
 
     vector_hits = None
     if knn is not None:
-        source = df if knn_filter is None else featured
-        condition = None if knn_filter is None else request.compile(knn_filter)[0]
-        vector_hits = knn_hits(source, knn, primary_key, metric, condition)
+        source, condition = df, None if knn_filter is None else request.compile(knn_filter)[0]
+        served = (vector_indexes or {}).get(knn["field"])
+        if knn_filter is not None and request.uses_text(knn_filter):
+            # Only the keys that pass the filter meet the vectors.
+            source, condition, served = df.join(featured.where(condition).select(primary_key), primary_key, "left_semi"), None, None
+        vector_hits = knn_hits(source, knn, primary_key, metric, condition, served)
     if query is None:
         page = vector_hits.select(primary_key, F.col("knn_score").alias("_score"))
     else:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vecspark.operators import ivf
 from vecspark.plans.hybrid import hybrid_search
 from vecspark.queries.bm25sql import bm25, counts, phrase, words
-from vecspark.queries.registry import query, table
+from vecspark.queries.registry import ORACLES, query, table
 from vecspark.queries.vectors import QUERY, Q, V
+from vecspark.session import scratch_path
 
 PARSERS = {"text": "space", "source": "space"}
 
@@ -247,3 +249,34 @@ def hybrid_union(spark, sf_dir):
         "size": 150,
     }
     return _run(spark, sf_dir, body)
+
+
+def _run_indexed(spark, sf_dir, body, carry):
+    """The request with an index of the vectors; ``num_candidates`` of all rows makes it probe every list."""
+    source = rows(spark, sf_dir)
+    index = ivf.build(source, "embedding", "doc_id", scratch_path(spark, "ivf-hybrid"), "flat", nlist=16, carry=carry)
+    body = {**body, "knn": {**body["knn"], "num_candidates": index.n_rows}}
+    found = hybrid_search(source, body, "doc_id", PARSERS, columns=["doc_id"], vector_indexes={"embedding": index})
+    return found.withColumn("score", F.round("score", 5))
+
+
+@query("hybrid_knn_index", ORACLES["hybrid_knn"].replace("LIMIT 100", "LIMIT 20"))
+def hybrid_knn_index(spark, sf_dir):
+    """The filter of the vector part is pushed into the lists, which carry its column."""
+    body = {
+        "knn": {
+            "field": "embedding", "query_vector": QUERY, "k": 20, "filter": {"terms": {"lang": ["en", "fr"]}}, "similarity": 0.29,
+        },
+        "size": 20,
+    }
+    return _run_indexed(spark, sf_dir, body, ["lang"])
+
+
+@query("hybrid_union_index", ORACLES["hybrid_union"])
+def hybrid_union_index(spark, sf_dir):
+    body = {
+        "query": {"query_string": {"fields": ["text"], "query": "nicht"}},
+        "knn": {"field": "embedding", "query_vector": QUERY, "k": 50},
+        "size": 150,
+    }
+    return _run_indexed(spark, sf_dir, body, [])

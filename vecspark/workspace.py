@@ -230,8 +230,12 @@ class Workspace:
     def create_vector_index(
         self, table: str, name: str, column: str, kind: str = "ivf_flat", metric: str = "l2",
         nlist: int | None = None, samples_per_nlist: int | None = None, m: int | None = None,
+        filter_columns: Sequence[str] = (),
     ) -> None:
-        """Index a vector column (sparse ones with kind ``daat``); an existing name is kept."""
+        """Index a vector column (sparse ones with kind ``daat``); an existing name is kept.
+
+        Predicates on ``filter_columns`` are pushed into the lists that a search probes.
+        """
         kind = kind.lower()
         if kind in SPARSE_INDEX_TYPES:
             if metric not in ("inner_product", "ip", "neg_ip", "negative_inner_product"):
@@ -243,7 +247,7 @@ class Workspace:
         if kind == "ivf_pq" and not m:
             raise ValueError("ivf_pq needs m")
         options = {"kind": VECTOR_INDEX_TYPES[kind], "metric": metric, "nlist": nlist,
-                   "samples_per_list": samples_per_nlist, "m": m}
+                   "samples_per_list": samples_per_nlist, "m": m, "carry": ",".join(filter_columns) or None}
         self._add_index(table, name, "vector", [column], options)
 
     def create_text_index(self, table: str, name: str, columns: str | Sequence[str], parser: str = "space") -> None:
@@ -271,7 +275,8 @@ class Workspace:
         columns, options = entry["columns"].split(","), entry["options"]
         if entry["family"] == "vector":
             numbers = {k: int(v) if k in ("nlist", "samples_per_list", "m") else v for k, v in options.items()}
-            ivf.build(rows, columns[0], key[0], path, **numbers)
+            carry = [c for c in numbers.pop("carry", "").split(",") if c]
+            ivf.build(rows, columns[0], key[0], path, carry=carry, **numbers)
             self._save_files(path, state, rows)
         elif entry["family"] == "sparse":
             sparse.write_postings(sparse.sparse_postings(rows, columns[0], key[0]), path)
@@ -374,9 +379,10 @@ class Workspace:
                 delta, query, column, metric, topk, key, where, [key[0]], with_distance=True, threshold=threshold
             )
             hits = hits.unionByName(near)
+        hits = hits.orderBy("distance", key[0]).limit(topk)  # few enough to be broadcast
         hits = hits.select(F.col(key[0]).alias("_key"), F.col("distance").alias("_dist"))
         chosen = read.output_columns(rows, names, columns, extra)
-        joined = rows.join(hits, F.col(key[0]) == F.col("_key")).select(*chosen, "_dist", "_key")
+        joined = rows.join(F.broadcast(hits), F.col(key[0]) == F.col("_key")).select(*chosen, "_dist", "_key")
         best = joined.orderBy("_dist", "_key").limit(topk).drop("_key")
         return best.withColumnRenamed("_dist", distance_name) if with_distance else best.drop("_dist")
 
@@ -423,7 +429,7 @@ class Workspace:
         return "space"
 
     def hybrid_search(self, table: str, body: Mapping, metric: str = "l2", columns=None) -> DataFrame:
-        """Run a hybrid request; current single-column text indexes replace text scans."""
+        """Run a hybrid request; current single-column text indexes replace text scans, vector indexes scans of vectors."""
         stored = self._table(table)
         key = stored.spec.primary_key
         if len(key) != 1:
@@ -432,8 +438,10 @@ class Workspace:
         parsers = {e["columns"]: e["options"]["parser"] for e in text}
         state = stored.state
         indexes = {e["columns"]: fts.TextIndex.load(self.spark, e["path"]) for e in text if e["state"] == state}
+        vectors = [e for e in self._indexes(table).values() if e["family"] == "vector" and e["path"] and e["state"] == state]
         return hybrid_search(
-            stored.read(), body, key[0], parsers, "space", metric, indexes, columns or stored.spec.names
+            stored.read(), body, key[0], parsers, "space", metric, indexes, columns or stored.spec.names,
+            vector_indexes={e["columns"]: ivf.IvfIndex.load(self.spark, e["path"]) for e in vectors},
         )
 
 
