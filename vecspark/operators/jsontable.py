@@ -316,7 +316,10 @@ class JsonTables:
         if table not in mine:
             raise ValueError(f"no JSON table {table!r}")
         store, columns = mine[table]
-        return VersionedTable(self.spark, f"{self.root}/data/{store}"), columns
+        data = VersionedTable(self.spark, f"{self.root}/data/{store}").pin()
+        # Columns that were changed are stored in the commit of the rows that fit them.
+        changed = data.attributes.get("columns")
+        return data, columns if changed is None else [JsonColumn(c[0], JsonType.parse(c[1]), *c[2:]) for c in changed]
 
     def _replace_columns(self, table: str, columns: Sequence[JsonColumn], new_name: str | None = None) -> None:
         store = self._mine()[table][0]
@@ -353,14 +356,15 @@ class JsonTables:
         self._save_meta(self._meta_rows() + self._column_rows(table, numbered, store))
 
     def alter(self, table: str, *actions) -> None:
-        """Schema changes in order, stored as one new version."""
+        """Schema changes in order: rows and columns change by one commit."""
         store, columns = self._lookup(table)
         for action in actions:
             if isinstance(action, (AddColumn, ModifyColumn)):
                 self._check_default(action.column)
         columns, data = alter_rows(store.read(), columns, actions)
-        store.replace(data)
-        self._replace_columns(table, columns)
+        store.replace(data, attributes={
+            "columns": [(c.name, str(c.type), c.nullable, c.has_default, c.default, c.id) for c in columns]
+        })
 
     def rename(self, table: str, new_name: str) -> None:
         """Rows follow their table: they are stored under an id that does not change."""

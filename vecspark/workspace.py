@@ -39,7 +39,7 @@ class Workspace:
         table = VersionedTable(self.spark, f"{self.root}/tables/{name}")
         if not table.exists():
             raise ValueError(f"no table {name!r}")
-        return table
+        return table.pin()  # what a statement reads and what it changes are one state
 
     def table_names(self) -> list[str]:
         names = self._files.names(f"{self.root}/tables")
@@ -167,7 +167,8 @@ class Workspace:
 
     def update(self, name: str, values: Mapping, where=None, partition: str | None = None) -> None:
         """Set columns; the changed rows must keep the schema's rules, and keys stay unique."""
-        table, spec = self._table(name), self._table(name).spec
+        table = self._table(name)
+        spec = table.spec
         base = table.read([partition] if partition else None)
         changed = mutate.update(read.filtered(base, where), values)
         require_valid(changed.select(*{**dict.fromkeys(spec.primary_key), **dict.fromkeys(values)}), spec)
@@ -277,7 +278,6 @@ class Workspace:
             numbers = {k: int(v) if k in ("nlist", "samples_per_list", "m") else v for k, v in options.items()}
             carry = [c for c in numbers.pop("carry", "").split(",") if c]
             ivf.build(rows, columns[0], key[0], path, carry=carry, **numbers)
-            self._save_files(path, state, rows)
         elif entry["family"] == "sparse":
             sparse.write_postings(sparse.sparse_postings(rows, columns[0], key[0]), path)
         else:
@@ -294,28 +294,14 @@ class Workspace:
         if not entry["path"] or entry["family"] != "vector":
             self._build(table, name)
             return
-        fresh = self._files_since(stored, entry)
-        if fresh is not None and (not fresh or stored.read(files=fresh).count() <= trigger_threshold):
+        fresh = stored.parts_since(entry["state"])
+        if fresh is not None and (not fresh or stored.read(parts=fresh).count() <= trigger_threshold):
             return  # searches add these rows by themselves
         rows = stored.read()
         ivf.refresh(rows, ivf.IvfIndex.load(self.spark, entry["path"]), 0)
-        self._save_files(entry["path"], state, rows)
         entry["state"] = state
         self._save_indexes(table, indexes)
 
-    def _save_files(self, path: str, state: str, rows: DataFrame) -> None:
-        """Which files of the table an index holds in a state of the table."""
-        names = self.spark.createDataFrame([(f,) for f in rows.inputFiles()], "file string")
-        names.coalesce(1).write.mode("overwrite").parquet(f"{path}/files-{state}")
-
-    def _files_since(self, stored: VersionedTable, entry: Mapping) -> list[str] | None:
-        """Files appended since an index was built or refreshed; None if rows of then may have changed."""
-        if entry["state"].split(".")[0] != stored.state.split(".")[0]:
-            return None
-        then = {r["file"] for r in self.spark.read.parquet(f"{entry['path']}/files-{entry['state']}").collect()}
-        now = set(stored.read().inputFiles())
-        return sorted(now - then) if then <= now else None
-
     def rebuild_index(self, table: str, name: str, trigger_threshold: float = ivf.REBUILD_FRACTION) -> None:
         """Build anew once the changed fraction exceeds the threshold."""
         stored, entry = self._table(table), self._indexes(table)[name]
@@ -356,11 +342,11 @@ class Workspace:
         entry = self._indexes(table).get(index) if index else None
         usable = bool(entry and entry["family"] == "vector" and entry["columns"] == column and entry["path"])
         usable = usable and not partitions and not isinstance(query, Mapping)
-        fresh: list[str] | None = []
+        fresh: list[dict] | None = []
         if usable:
             found = ivf.IvfIndex.load(self.spark, entry["path"])
             if entry["state"] != stored.state:
-                fresh = self._files_since(stored, entry)
+                fresh = stored.parts_since(entry["state"])
             usable = fresh is not None and found.metric == ivf.resolve_metric(metric)
         if not usable:
             return search.ann_search(
@@ -374,7 +360,7 @@ class Workspace:
             if threshold is not None:
                 hits = hits.where(F.col("distance") <= float(threshold))
         if fresh:
-            delta = stored.read(with_partitions=stored.spec.layout is not None, files=fresh)
+            delta = stored.read(with_partitions=stored.spec.layout is not None, parts=fresh)
             near = search.ann_search(
                 delta, query, column, metric, topk, key, where, [key[0]], with_distance=True, threshold=threshold
             )
