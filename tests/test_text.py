@@ -8,6 +8,7 @@ from vecspark.functions import text as tx
 from vecspark.operators import fts
 from vecspark.plans.hybrid import hybrid_search, minimum_matches
 from vecspark.session import scratch_path
+from vecspark.sources.tables import ConcurrentChange
 
 GARDEN = [
     (1, "The Heron stands in the reeds", 1), (2, "a heron and a quiet pond", 1), (3, "moss on old stones", 2),
@@ -95,6 +96,45 @@ def test_postings_and_index(spark, docs):
         assert fts.TextIndex.load(spark, index.path).n_docs == 6
 
 
+def test_segments_follow_the_table(spark):
+    """After each change the index answers as one that is built anew."""
+    text = lambda i: " ".join(w for n, w in enumerate(("moss", "pond", "reed", "frog", "lily")) if (i >> n) & 1) * (1 + i % 3)
+    frame = lambda rows: spark.createDataFrame(rows, "id int, doc string")
+    rows = {i: text(i) for i in range(1, 40)}
+    index = fts.TextIndex.build(frame(list(rows.items())), "doc", "id", scratch_path(spark, "segments"))
+
+    def same(index):
+        df = frame(list(rows.items()))
+        fresh = fts.TextIndex.build(df, "doc", "id", scratch_path(spark, "anew"))
+        assert (index.n_docs, index.n_tokens) == (fresh.n_docs, fresh.n_tokens)
+        for query in ("moss frog", "lily", "pond reed moss"):
+            best = lambda i: [(r["id"], round(r["score"], 9)) for r in fts.bm25_topk(df, query, "doc", "id", 9, index=i).collect()]
+            assert best(index) == best(fresh)
+            assert sorted(ids(index.matching_keys(query))) == sorted(ids(fts.match_filter(df, query, "doc")))
+
+    more = {i: text(i) for i in range(40, 50)} | {50: None, 51: ""}
+    rows |= more
+    index = index.append(frame(list(more.items())))
+    same(index)
+    for i in (3, 41, 50):
+        del rows[i]
+    index = index.remove(frame([(3, ""), (41, ""), (50, ""), (999, "")]))
+    same(index)
+    rows |= {3: "frog frog", 7: "reed", 8: None}  # one comes back, two change
+    index = index.refresh(frame(list(rows.items())))
+    assert len(index.segments) == 3 and index.n_gone == 5
+    same(index)
+    stale = fts.TextIndex.load(spark, index.path)
+    assert stale == index
+    index = index.fold(force=True)
+    assert len(index.segments) == 1 and index.n_gone == 0
+    same(index)
+    with pytest.raises(ConcurrentChange):
+        stale.remove(frame([(7, "")]))
+    assert index.refresh(frame(list(rows.items()))) == index  # nothing to do
+    same(fts.TextIndex.load(spark, index.path))
+
+
 def test_empty_and_null_documents(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "word")], "id int, doc string")
     assert [(r["term"], r["id"]) for r in fts.postings(df, "doc", "id").collect()] == [("word", 3)]

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vecspark.functions import text as tx
 from vecspark.operators.read import filtered
-from vecspark.operators.sparse import read_terms, write_postings
+from vecspark.operators.sparse import of_terms, write_postings
 from vecspark.session import materialise
+from vecspark.sources.tables import ConcurrentChange, _Files
+
+# Segments an index may have, and the share of its documents that may be marked as gone, before it is folded.
+FOLD_SEGMENTS, FOLD_GONE = 8, 0.2
 
 def document_tokens(columns: str | Sequence[str], parser: str = "space") -> Column:
     """Tokens of one column, or of several columns one after another."""
@@ -60,47 +64,140 @@ def match_filter(df: DataFrame, query: str, *columns: str, parser: str = "space"
 
 @dataclass(frozen=True)
 class TextIndex:
-    """Postings of one or more columns on disk, with the corpus totals."""
+    """Postings of one or more columns on disk, with the corpus totals.
+
+    The postings lie in segments that are never rewritten. New rows come as a further segment; rows that
+    go or change are named in a set of (key, last segment that holds them), which reads leave out. Once there are many
+    of either they are folded into one segment, from the postings alone. A change is a
+    numbered file of the index's own log, which one writer can create.
+    """
 
     spark: SparkSession
     path: str
     columns: tuple[str, ...]
     parser: str
     primary_key: str
-    n_docs: int
-    avg_len: float
+    key_type: str
+    n_docs: int = 0
+    n_tokens: int = 0
+    segments: tuple[int, ...] = ()
+    gone: tuple[str, ...] = ()
+    n_gone: int = 0
+    number: int = 0
+
+    @property
+    def avg_len(self) -> float:
+        return self.n_tokens / self.n_docs if self.n_docs else 0.0
 
     @classmethod
     def build(cls, df: DataFrame, columns, primary_key: str, path: str, parser: str = "space") -> TextIndex:
-        """Write the postings; the totals come from one further pass over the token counts."""
+        """Write the postings as the first segment."""
         names = (columns,) if isinstance(columns, str) else tuple(columns)
-        spark = df.sparkSession
-        write_postings(postings(df, names, primary_key, parser), f"{path}/postings")
-        stored = spark.read.parquet(f"{path}/postings")
-        total = stored.agg(F.sum("tf").alias("n")).first()["n"] or 0
-        n_docs = df.count()
-        totals = {
-            "columns": list(names), "parser": tx.parser_name(parser), "primary_key": primary_key,
-            "n_docs": n_docs, "avg_len": total / n_docs if n_docs else 0.0,
-        }
-        spark.createDataFrame([(json.dumps(totals),)], "meta string").write.text(f"{path}/meta")
-        return cls.load(spark, path)
+        kind = df.schema[primary_key].dataType.simpleString()
+        return cls(df.sparkSession, path, names, tx.parser_name(parser), primary_key, kind).append(df)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TextIndex:
-        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        return cls(spark, path, tuple(meta["columns"]), meta["parser"], meta["primary_key"],
-                   meta["n_docs"], meta["avg_len"])
+        files = _Files(spark, path)
+        last = max(int(n[:10]) for n in files.names(f"{path}/_meta") if n.endswith(".json"))
+        meta = json.loads(files.read(f"{path}/_meta/{last:010d}.json"))
+        lists = {k: tuple(meta[k]) for k in ("columns", "segments", "gone")}
+        return cls(spark, path, **{**meta, **lists, "number": last})
+
+    def _publish(self, changed: TextIndex) -> TextIndex:
+        meta = {k: v for k, v in vars(changed).items() if k not in ("spark", "path", "number")}
+        if not _Files(self.spark, self.path).publish(f"{self.path}/_meta/{self.number + 1:010d}.json", json.dumps(meta)):
+            raise ConcurrentChange(f"{self.path} was changed by another writer after change {self.number}")
+        return replace(changed, number=self.number + 1)
+
+    # --- what is stored ----------------------------------------------------------------------
+
+    def _stored(self, kind: str) -> DataFrame:
+        """``postings`` or ``docs`` of all segments, without what is gone."""
+        root, key = f"{self.path}/{kind}", f"`{self.primary_key}` {self.key_type}"
+        schema = {
+            "postings": f"term string, {key}, tf bigint, doc_len int, bucket int, segment int",
+            "docs": f"{key}, row_hash bigint, doc_len bigint, segment int",
+        }
+        reader = self.spark.read.schema(schema[kind]).option("basePath", root)
+        rows = reader.parquet(*[f"{root}/segment={n}" for n in self.segments])
+        if not self.gone:
+            return rows.drop("segment")
+        gone = self.spark.read.schema(f"{key}, doc_len bigint, _last int").parquet(*self.gone)
+        gone = gone.select(F.col(self.primary_key).alias("_gone"), "_last")
+        return rows.join(gone, (F.col(self.primary_key) == F.col("_gone")) & (F.col("segment") <= F.col("_last")), "left_anti").drop("segment")
+
+    def postings(self) -> DataFrame:
+        return self._stored("postings")
+
+    def documents(self) -> DataFrame:
+        """``<key>, row_hash, doc_len`` of every indexed row."""
+        return self._stored("docs")
 
     def terms(self, terms: Sequence[str]) -> DataFrame:
-        return read_terms(self.spark, f"{self.path}/postings", terms, "string")
+        return of_terms(self.postings(), terms, "string")
+
+    # --- changes -------------------------------------------------------------------------------
+
+    def _row_hash(self) -> Column:
+        return F.xxhash64(*[F.col(c) for c in self.columns])
+
+    def _write_segment(self, term_rows: DataFrame, docs: DataFrame) -> tuple[int, int, int]:
+        """(number, documents, tokens) of a new segment."""
+        names = _Files(self.spark, self.path).names(f"{self.path}/docs")  # an unfinished one keeps its number
+        number = max([int(n[8:]) for n in names if n.startswith("segment=")], default=-1) + 1
+        docs.write.parquet(f"{self.path}/docs/segment={number}")
+        write_postings(term_rows, f"{self.path}/postings/segment={number}")
+        own = self.spark.read.parquet(f"{self.path}/docs/segment={number}").agg(F.count("*"), F.sum("doc_len")).first()
+        return number, own[0], own[1] or 0
+
+    def append(self, df: DataFrame) -> TextIndex:
+        """The index with further rows, whose keys it does not hold."""
+        docs = df.select(self.primary_key, self._row_hash().alias("row_hash"), F.size(document_tokens(self.columns, self.parser)).cast("long").alias("doc_len"))
+        number, n_docs, n_tokens = self._write_segment(postings(df, self.columns, self.primary_key, self.parser), docs)
+        return self._publish(replace(
+            self, segments=(*self.segments, number), n_docs=self.n_docs + n_docs, n_tokens=self.n_tokens + n_tokens
+        ))
+
+    def remove(self, keys: DataFrame) -> TextIndex:
+        """The index without the rows of ``keys`` (its key column); no posting is rewritten."""
+        hit = self.documents().join(keys.select(self.primary_key).distinct(), self.primary_key, "left_semi")
+        path = f"{self.path}/gone-{self.number + 1:010d}-{max(self.segments)}"
+        hit.select(self.primary_key, "doc_len", F.lit(max(self.segments)).alias("_last")).write.mode("overwrite").parquet(path)
+        n_docs, n_tokens = self.spark.read.parquet(path).agg(F.count("*"), F.sum("doc_len")).first()
+        if not n_docs:
+            return self
+        return self._publish(replace(
+            self, gone=(*self.gone, path), n_docs=self.n_docs - n_docs, n_tokens=self.n_tokens - (n_tokens or 0), n_gone=self.n_gone + n_docs
+        ))
+
+    def fold(self, force: bool = False) -> TextIndex:
+        """One segment in place of many, once there are more than ``FOLD_SEGMENTS`` or many rows are gone."""
+        if not force and len(self.segments) <= FOLD_SEGMENTS and self.n_gone <= FOLD_GONE * (self.n_docs + self.n_gone):
+            return self
+        number, n_docs, n_tokens = self._write_segment(self.postings().drop("bucket"), self.documents())
+        return self._publish(replace(self, segments=(number,), gone=(), n_gone=0, n_docs=n_docs, n_tokens=n_tokens))
+
+    def refresh(self, base: DataFrame) -> TextIndex:
+        """Follow the table: keys and hashes are compared in one shuffle, and only rows that differ are read into tokens."""
+        key = self.primary_key
+        now = base.select(key, self._row_hash().alias("row_hash"), F.lit(True).alias("now"))
+        sides = now.unionByName(self.documents().select(key, "row_hash", F.lit(False).alias("now")))
+        found = sides.groupBy(key, "row_hash").agg(F.bool_or("now").alias("_new"), F.bool_and("now").alias("_only_now"))
+        found = materialise(found.where((~F.col("_new")) | F.col("_only_now")), "text-differences")
+        index = self
+        if not found.where("NOT _new").isEmpty():
+            index = index.remove(found.where("NOT _new"))
+        if not found.where("_new").isEmpty():
+            index = index.append(base.join(found.where("_new").select(key), key, "left_semi"))
+        return index.fold()
 
     def matching_keys(self, query: str) -> DataFrame:
         """Keys of the rows :func:`match_filter` would keep."""
         words = tx.query_words(query, self.parser)
         tokens = tx.query_tokens(query, self.parser)
         if not tokens:
-            return self.spark.createDataFrame([], self.spark.read.parquet(f"{self.path}/postings").select(self.primary_key).schema)
+            return self.documents().select(self.primary_key).where(F.lit(False))
         hits = self.terms(tokens)
         if all(len(w) == 1 for w in words):
             return hits.select(self.primary_key).distinct()

@@ -35,8 +35,11 @@ def write_postings(postings: DataFrame, path: str, buckets: int = TERM_BUCKETS)
 
 def read_terms(spark, path: str, terms: Sequence, term_type: str, buckets: int = TERM_BUCKETS) -> DataFrame:
     """Postings of some terms: only their buckets are listed, only their pages read."""
+    return of_terms(spark.read.parquet(path), terms, term_type, buckets)
+
+
+def of_terms(stored: DataFrame, terms: Sequence, term_type: str, buckets: int = TERM_BUCKETS) -> DataFrame:
     slots = [term_bucket(F.lit(t).cast(term_type), buckets) for t in terms]  # folded to constants
-    stored = spark.read.parquet(path)
     return stored.where(F.col("bucket").isin(*slots) & F.col("term").isin(list(terms))).drop("bucket")
 
 

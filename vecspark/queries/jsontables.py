@@ -236,3 +236,39 @@ def json_store_statements(spark, sf_dir):
     store.delete("accounts", "place = 3")
     store.update("accounts", {"place": "place + 1"})
     return store.sql("SELECT segment, COUNT(*) AS n, SUM(place) AS total FROM accounts GROUP BY segment")
+
+
+def _stored_table(spark, sf_dir, name):
+    """The orders as a stored JSON table, inserted as one tenant."""
+    store = jt.JsonTables(spark, scratch_path(spark, "json-store"), "u")
+    store.create(name, COLUMNS)
+    orders = table(spark, sf_dir, "orders")
+    store.insert(name, orders.select(
+        F.col("o_custkey").alias("c1"), F.col("o_orderpriority").alias("c2"), F.col("o_totalprice").alias("c3"), F.col("o_orderdate").alias("c4"),
+    ))
+    return store
+
+
+@query("json_rename", f"SELECT c2, count(*)::BIGINT AS n, sum(c3)::DOUBLE AS total FROM {_T} GROUP BY c2")
+def json_rename(spark, sf_dir):
+    """Rows follow a table that gets another name; the former name is free again."""
+    store = _stored_table(spark, sf_dir, "t")
+    store.rename("t", "renamed")
+    store.create("t", COLUMNS[:1])
+    found = store.sql("SELECT c2, count(*) AS n, CAST(sum(c3) AS DOUBLE) AS total FROM renamed GROUP BY c2")
+    return found.unionByName(store.sql("SELECT CAST(c1 AS STRING) AS c2, 0L AS n, 0D AS total FROM t"))
+
+
+@query(
+    "json_alter_several",
+    f"""SELECT price, kind, count(*)::BIGINT AS n, max(c1) AS c1 FROM (
+          SELECT round(c3, 0)::BIGINT AS price, 'k-1' AS kind, c1 FROM {_T}) GROUP BY ALL""",
+)
+def json_alter_several(spark, sf_dir):
+    """Four actions, one commit: a column goes, one comes with a default, one gets another name and type."""
+    store = _stored_table(spark, sf_dir, "t")
+    store.alter(
+        "t", jt.DropColumn("c2"), jt.AddColumn(jt.JsonColumn.of("kind", "VARCHAR(9)", default="concat('k-', '1')")),
+        jt.ChangeColumn("c3", "price", "INT"), jt.DropColumn("c4"),
+    )
+    return store.sql("SELECT price, kind, count(*) AS n, max(c1) AS c1 FROM t GROUP BY price, kind")

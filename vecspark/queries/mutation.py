@@ -9,7 +9,7 @@ from vecspark.operators.partition import Layout, ListPartition
 from vecspark.queries.registry import query, table
 from vecspark.session import scratch_path
 from vecspark.sources.schema import TableSpec
-from vecspark.sources.tables import VersionedTable
+from vecspark.sources.tables import ConcurrentChange, VersionedTable
 
 
 @query(
@@ -102,3 +102,25 @@ def dml_delete_in_partition(spark, sf_dir):
     stored.create(customer, TableSpec(customer.schema.fields, ("c_custkey",), layout=SEGMENT_LAYOUT))
     stored.replace_partition("homes", mutate.delete(stored.read(["homes"]), where="c_nationkey < 12"))
     return stored.read()
+
+
+@query(
+    "dml_two_writers",
+    """
+    SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_nationkey < 5 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
+    FROM customer WHERE c_nationkey < 20
+    """,
+)
+def dml_two_writers(spark, sf_dir):
+    """Two writers change the same state: the second is refused, reads again and loses nothing."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    path = scratch_path(spark, "customer-writers")
+    VersionedTable(spark, path).create(customer, TableSpec(customer.schema.fields, ("c_custkey",)))
+    first, second = VersionedTable(spark, path).pin(), VersionedTable(spark, path).pin()
+    late = mutate.delete(second.read(), where="c_nationkey >= 20")
+    first.replace(mutate.update(first.read(), {"c_acctbal": "c_acctbal + 1"}, "c_nationkey < 5"))
+    try:
+        second.replace(late)
+    except ConcurrentChange:
+        second.pin().replace(mutate.delete(second.read(), where="c_nationkey >= 20"))
+    return second.read()

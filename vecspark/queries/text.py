@@ -157,3 +157,35 @@ def fts_index_bm25_topk(spark, sf_dir):
     index = fts.TextIndex.build(docs, "text", "doc_id", scratch_path(spark, "fts"))
     best = fts.bm25_topk(docs, "which avec from nicht", "text", "doc_id", 25, index=index)
     return best.withColumn("score", F.round("score", 5))
+
+
+def _bm25_of(source: str) -> str:
+    return _BM25_SQL.replace(" FROM documents)", f" FROM {source})")
+
+
+def _indexed_topk(index, docs):
+    best = fts.bm25_topk(docs, "which avec from nicht", "text", "doc_id", 25, index=index)
+    return best.withColumn("score", F.round("score", 5))
+
+
+@query("fts_index_after_insert", _BM25_SQL)
+def fts_index_after_insert(spark, sf_dir):
+    """An index of some rows takes the others as further segments."""
+    docs = table(spark, sf_dir, "documents")
+    index = fts.TextIndex.build(docs.where("lang = 'en'"), "text", "doc_id", scratch_path(spark, "fts-insert"))
+    index = index.append(docs.where("lang <> 'en' AND n_chars < 1000")).append(docs.where("lang <> 'en' AND n_chars >= 1000"))
+    return _indexed_topk(fts.TextIndex.load(spark, index.path), docs)
+
+
+@query(
+    "fts_index_after_delete",
+    _bm25_of("(SELECT doc_id, lang, CASE WHEN lang = 'fr' THEN concat('nicht ', text) ELSE text END AS text FROM documents WHERE lang <> 'de')"),
+)
+def fts_index_after_delete(spark, sf_dir):
+    """Rows of one language go, those of another change; the segments stay, and what is gone is left out."""
+    docs = table(spark, sf_dir, "documents")
+    index = fts.TextIndex.build(docs, "text", "doc_id", scratch_path(spark, "fts-delete"))
+    index = index.remove(docs.where("lang = 'de'").select("doc_id"))
+    changed = F.when(F.col("lang") == "fr", F.concat(F.lit("nicht "), "text")).otherwise(F.col("text"))
+    docs = docs.where("lang <> 'de'").withColumn("text", changed)
+    return _indexed_topk(index.refresh(docs), docs)

@@ -149,7 +149,20 @@ class Workspace:
             taken = mutate.duplicate_keys(table.read(), new, spec.primary_key).first()
             if taken is not None:
                 raise ValueError(f"duplicate key {tuple(taken)}")
+        before = table.state
         table.append(new)
+        self._follow_insert(name, table, before)
+
+    def _follow_insert(self, name: str, table: VersionedTable, before: str) -> None:
+        """Text indexes that held the table as it was take the new rows as a further segment."""
+        indexes = self._indexes(name)
+        held = [e for e in indexes.values() if e["family"] == "text" and e["path"] and e["state"] == before]
+        for entry in held:
+            index = fts.TextIndex.load(self.spark, entry["path"])
+            index.append(table.read(parts=table.parts_since(before))).fold()
+            entry["state"] = table.state
+        if held:
+            self._save_indexes(name, indexes)
 
     def upsert(self, name: str, rows: Rows, partition: str | None = None) -> None:
         """Replace whole rows by key; among new rows with one key the last wins."""
@@ -291,9 +304,14 @@ class Workspace:
         entry, state = indexes[name], stored.state
         if entry["state"] == state:
             return
-        if not entry["path"] or entry["family"] != "vector":
+        if not entry["path"] or entry["family"] == "sparse":
             self._build(table, name)
             return
+        if entry["family"] == "text":
+            fts.TextIndex.load(self.spark, entry["path"]).refresh(stored.read())
+            entry["state"] = state
+            self._save_indexes(table, indexes)
+            return
         fresh = stored.parts_since(entry["state"])
         if fresh is not None and (not fresh or stored.read(parts=fresh).count() <= trigger_threshold):
             return  # searches add these rows by themselves
