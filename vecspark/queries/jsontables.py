@@ -244,7 +244,7 @@ def _stored_table(spark, sf_dir, name):
     store.create(name, COLUMNS)
     orders = table(spark, sf_dir, "orders")
     store.insert(name, orders.select(
-        F.col("o_custkey").alias("c1"), F.col("o_orderpriority").alias("c2"), F.col("o_totalprice").alias("c3"), F.col("o_orderdate").alias("c4"),
+        F.col("o_custkey").alias("c1"), F.col("o_orderpriority").alias("c2"), F.col("o_totalprice").cast("decimal(10,2)").alias("c3"), F.col("o_orderdate").alias("c4"),
     ))
     return store
 
