@@ -249,14 +249,14 @@ def _stored_table(spark, sf_dir, name):
     return store
 
 
-@query("json_rename", f"SELECT c2, count(*)::BIGINT AS n, sum(c3)::DOUBLE AS total FROM {_T} GROUP BY c2")
+@query("json_rename", f"SELECT c2, count(*)::BIGINT AS n, sum(c1)::BIGINT AS total FROM {_T} GROUP BY c2")
 def json_rename(spark, sf_dir):
     """Rows follow a table that gets another name; the former name is free again."""
     store = _stored_table(spark, sf_dir, "t")
     store.rename("t", "renamed")
     store.create("t", COLUMNS[:1])
-    found = store.sql("SELECT c2, count(*) AS n, CAST(sum(c3) AS DOUBLE) AS total FROM renamed GROUP BY c2")
-    return found.unionByName(store.sql("SELECT CAST(c1 AS STRING) AS c2, 0L AS n, 0D AS total FROM t"))
+    found = store.sql("SELECT c2, count(*) AS n, sum(c1) AS total FROM renamed GROUP BY c2")
+    return found.unionByName(store.sql("SELECT CAST(c1 AS STRING) AS c2, 0L AS n, 0L AS total FROM t"))
 
 
 @query(
