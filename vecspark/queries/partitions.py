@@ -96,3 +96,27 @@ def part_two_level(spark, sf_dir):
         HashPartition("o_custkey", 3),
     )
     return layout.assign(table(spark, sf_dir, "orders")).select("o_orderkey", "_p0", "_p1")
+
+
+@query(
+    "part_key_properties",
+    """
+    SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_keys, 10::BIGINT AS n_parts,
+           1::BIGINT AS most_parts_of_a_key, true AS balanced
+    FROM lineitem
+    """,
+)
+def part_key_properties(spark, sf_dir):
+    """Key partitions are complete, disjoint, stable under another order of the rows, and balanced."""
+    keys = ["l_orderkey", "l_linenumber"]
+    layout, rows = Layout(KeyPartition(keys, 10)), table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    placed = layout.assign(rows).withColumn("again", F.lit(0))
+    placed = placed.unionByName(layout.assign(rows.repartition(7, "l_linenumber")).withColumn("again", F.lit(1)))
+    by_key = placed.groupBy(*keys).agg(
+        F.count_if(F.col("again") == 0).alias("n"), F.min("_p0").alias("part"), F.size(F.collect_set("_p0")).cast("long").alias("parts")
+    )
+    by_part = by_key.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("keys"), F.max("parts").alias("parts"))
+    return by_part.agg(
+        F.sum("n").alias("n_rows"), F.sum("keys").alias("n_keys"), F.count("*").alias("n_parts"),
+        F.max("parts").alias("most_parts_of_a_key"), (F.max("n") <= 1.2 * F.avg("n")).alias("balanced"),
+    )
