@@ -22,12 +22,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, that with the smallest doc_id.
 
-    Groups follow op8's link rule: fingerprints of 4-word shingles within 4 of 64 bits, of which
-    every pair is found. That is not "five words and similarity 0.8 or more": see README for the share of
-    such pairs that the rule links.
+    Texts are linked by op8's operator on shingles of five words: fingerprints within 4 of 64 bits, and
+    sets of shingles of a similarity of 0.8 or more, as their sketches estimate it (README: measured recall).
     """
     small_batches(spark)
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, shingle=5, similar=0.8)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +42,19 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the ids as an array, checked to decode to the text's bytes."""
+    """doc_id, n_tokens, ids (packed as op3 packs them) and the hash of the decoded bytes.
+
+    The decoded bytes are compared with the text by their SHA-256; a difference raises.
+    """
     voc = vocabulary()
     small_batches(spark)
-    encoded = bpe.decode(bpe.encode(docs, voc), voc)
+    own = F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha")).alias("row")
+    encoded = bpe.decode(bpe.encode(docs.select(own, "text"), voc, key="row"), voc)
+    decoded = F.sha2("decoded", 256)
+    differs = F.raise_error(F.concat(F.lit("ids do not decode to the text of doc_id "), F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null"))))
     return encoded.select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
-        F.sha2("decoded", 256).alias("text_sha256"),
+        F.col("row.doc_id").alias("doc_id"), F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.when(decoded == F.col("row.sha"), decoded).otherwise(differs.cast("string")).alias("text_sha256"),
     )
 
 
