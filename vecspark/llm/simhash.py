@@ -56,7 +56,9 @@ _BYTES = np.uint64(0x0101010101010101)
 SKETCH, SKETCH_BANDS, SKETCH_ROWS = 192, 16, 5
 #: One standard deviation of the estimate at 0.8, by which a pair may seem less similar than it is.
 SKETCH_ERROR = 0.03
-_FACTORS = np.random.default_rng(SEED).integers(1, 1 << 63, (2, SKETCH), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, SKETCH), dtype=np.uint32) | np.uint32(1)
+#: Rows that one task compares at a time, of many small keys together.
+SKETCH_ROWS_A_GROUP = 16384
 
 
 def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -103,12 +105,11 @@ def fingerprint(text: Column, size: int = SHINGLE) -> Column:
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """The least value of the hashes under each of the ``SKETCH`` functions, as 32 bits."""
-    least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        part = hashes[at: at + 2048]
-        part = part ^ (part >> np.uint64(29))
-        np.minimum(least, (part[:, None] * _FACTORS[0] + _FACTORS[1]).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    least = np.full(SKETCH, np.iinfo(np.uint32).max, np.uint32)
+    short = (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)
+    for at in range(0, len(short), 128):  # a block that fits the nearest cache
+        np.minimum(least, (short[at: at + 128, None] * _FACTORS[0] + _FACTORS[1]).min(axis=0), out=least)
+    return least
 
 
 def sketched(text: Column, size: int = SHINGLE) -> Column:
@@ -123,7 +124,7 @@ def sketched(text: Column, size: int = SHINGLE) -> Column:
                 if not len(hashes):
                     out.append((p, None, None))
                     continue
-                values = sketch(np.unique(hashes))
+                values = sketch(hashes)
                 runs = values[: SKETCH_BANDS * SKETCH_ROWS].reshape(SKETCH_BANDS, SKETCH_ROWS)
                 keys = np.array([xxhash.xxh64_intdigest(r.tobytes(), i) for i, r in enumerate(runs)], np.uint64)
                 out.append((p, values.astype(np.uint8).tobytes(), keys.view(np.int64).tolist()))
@@ -275,7 +276,7 @@ def alike(prints: np.ndarray, sketches: list[bytes], similar: float) -> tuple[np
         reached, left = [left[0]], left[1:]
         while reached and len(left):
             row = reached.pop()
-            near = (values[left] == values[row]).sum(axis=1) >= need
+            near = (values[left] == values[row]).sum(axis=1, dtype=np.uint8) >= need  # SKETCH fits a byte
             hit = left[near]
             a.append(np.repeat(prints[row], len(hit)))
             b.append(prints[hit])
@@ -296,13 +297,20 @@ def sketch_links(rows: DataFrame, similar: float) -> DataFrame:
     visits = visits.withColumn("own", F.pmod(F.xxhash64("_r"), "n"))
     visits = visits.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     visits = visits.select("leaf", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "_r")
-    visits = visits.join(distinct.select("_r", "_p", "_s"), "_r")
+    visits = materialise(visits.join(distinct.select("_r", "_p", "_s"), "_r"), "simhash-keys")
+    # Most keys hold a few rows, so a task takes many keys in one call.
+    groups = max(1, math.ceil(visits.count() / SKETCH_ROWS_A_GROUP))
+    visits = visits.withColumn("_g", F.pmod(F.xxhash64("leaf", "i", "j"), F.lit(groups)))
 
     def linked(key, rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = alike(rows["_p"].to_numpy(np.int64), rows["_s"].tolist(), similar)
+        out = [np.zeros((2, 0), np.int64)]
+        for _, own in rows.groupby(["leaf", "i", "j"], sort=False).indices.items():
+            part = rows.iloc[own]
+            out.append(np.stack(alike(part["_p"].to_numpy(np.int64), part["_s"].tolist(), similar)))
+        a, b = np.concatenate(out, axis=1)
         return pd.DataFrame({"a": a, "b": b})
 
-    return visits.groupBy("leaf", "i", "j").applyInPandas(linked, "a long, b long").where("a <> b").distinct()
+    return visits.groupBy("_g").applyInPandas(linked, "a long, b long").where("a <> b").distinct()
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
