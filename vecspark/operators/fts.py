@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vecspark.functions import text as tx
+from vecspark.operators import impact
 from vecspark.operators.read import filtered
 from vecspark.operators.sparse import of_terms, write_postings
 from vecspark.session import materialise
@@ -116,7 +118,7 @@ class TextIndex:
         """``postings`` or ``docs`` of all segments, without what is gone."""
         root, key = f"{self.path}/{kind}", f"`{self.primary_key}` {self.key_type}"
         schema = {
-            "postings": f"term string, {key}, tf bigint, doc_len int, bucket int, segment int",
+            "postings": f"term string, {key}, tf bigint, doc_len int, tier int, bucket int, segment int",
             "docs": f"{key}, row_hash bigint, doc_len bigint, segment int",
         }
         reader = self.spark.read.schema(schema[kind]).option("basePath", root)
@@ -128,7 +130,7 @@ class TextIndex:
         return rows.join(gone, (F.col(self.primary_key) == F.col("_gone")) & (F.col("segment") <= F.col("_last")), "left_anti").drop("segment")
 
     def postings(self) -> DataFrame:
-        return self._stored("postings")
+        return self._stored("postings").drop("tier")
 
     def documents(self) -> DataFrame:
         """``<key>, row_hash, doc_len`` of every indexed row."""
@@ -147,7 +149,12 @@ class TextIndex:
         names = _Files(self.spark, self.path).names(f"{self.path}/docs")  # an unfinished one keeps its number
         number = max([int(n[8:]) for n in names if n.startswith("segment=")], default=-1) + 1
         docs.write.parquet(f"{self.path}/docs/segment={number}")
-        write_postings(term_rows, f"{self.path}/postings/segment={number}")
+        # A smaller share of the document's length gives a smaller tier, whatever the corpus totals become.
+        share = F.col("tf") / F.col("doc_len")
+        write_postings(term_rows.withColumn("tier", impact.step(share)), f"{self.path}/postings/segment={number}")
+        stored = self.spark.read.parquet(f"{self.path}/postings/segment={number}")
+        tiers = stored.groupBy("term", "tier").agg(F.count("*").alias("n"), F.max(share).alias("share"), F.max("tf").alias("tf"))
+        write_postings(tiers, f"{self.path}/tiers/segment={number}")
         own = self.spark.read.parquet(f"{self.path}/docs/segment={number}").agg(F.count("*"), F.sum("doc_len")).first()
         return number, own[0], own[1] or 0
 
@@ -228,6 +235,33 @@ class TextIndex:
         )
         return scored.groupBy(self.primary_key).agg(F.sum(part).alias("score"))
 
+    def topk(self, query: str, k: int) -> DataFrame:
+        """The k best rows by BM25: ``(<key>, score)``. Postings that cannot reach the k-th score are not read.
+
+        The number of documents with a term is the sum of its tiers; once rows are gone it is counted from the postings.
+        """
+        terms, root = tx.query_tokens(query, self.parser), f"{self.path}/tiers"
+        schema = "term string, tier int, n bigint, share double, tf bigint, bucket int, segment int"
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        tiers = of_terms(reader.parquet(*[f"{root}/segment={n}" for n in self.segments]), terms, "string")
+        tiers = tiers.groupBy("term", "tier").agg(F.sum("n").alias("n"), F.max("share").alias("share"), F.max("tf").alias("tf")).collect()
+        if self.gone:
+            df = {r["term"]: r["n"] for r in self.terms(terms).groupBy("term").agg(F.count("*").alias("n")).collect()}
+        else:
+            df = {t: sum(r["n"] for r in tiers if r["term"] == t) for t in terms}
+        weights = {t: math.log(1 + (self.n_docs - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        bounds = []
+        for r in tiers:
+            norm = 1 + tx.BM25_K1 * ((1 - tx.BM25_B) / r["tf"] + tx.BM25_B / (r["share"] * (self.avg_len or 1.0)))
+            bounds.append(impact.Tier(r["term"], r["tier"], r["n"], weights.get(r["term"], 0.0) * (tx.BM25_K1 + 1) / norm))
+        weight = F.lit(0.0)
+        for t, w in weights.items():
+            weight = F.when(F.col("term") == F.lit(t), w).otherwise(weight)
+        adds = tx.bm25_term(F.col("tf"), F.col("doc_len"), F.lit(float(self.avg_len)), weight)
+        scores = impact.best(of_terms(self._stored("postings"), terms, "string"), bounds, adds, k, self.primary_key)
+        scores = self.bm25(query) if scores is None else scores
+        return scores.orderBy(F.desc("score"), self.primary_key).limit(k)
+
 
 def term_columns(tokens: Column, terms: Sequence[str], prefix: str = "") -> dict[str, Column]:
     """Term counts and length of a token array, as named columns."""
@@ -276,6 +310,8 @@ def bm25_topk(
     index: TextIndex | None = None, where=None,
 ) -> DataFrame:
     """The k best rows by BM25: ``(<key>, score)``, ties by key."""
+    if index is not None and where is None:
+        return index.topk(query, k)
     scores = index.bm25(query) if index else bm25_scores(df, query, columns, primary_key, parser)
     if where is not None:
         scores = scores.join(filtered(df, where).select(primary_key), primary_key, "left_semi")

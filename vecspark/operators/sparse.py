@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from vecspark.functions.distance import resolve_metric
+from vecspark.operators import impact
 from vecspark.operators.read import filtered
 
 TERM_BUCKETS = 64
@@ -29,7 +30,8 @@ def write_postings(postings: DataFrame, path: str, buckets: int = TERM_BUCKETS)
     rebalance; inside a file the rows are sorted, so a term touches few row groups.
     """
     placed = postings.withColumn("bucket", term_bucket(F.col("term"), buckets))
-    placed = placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
+    order = ["bucket", "term", *(["tier"] if "tier" in postings.columns else [])]
+    placed = placed.hint("rebalance", "bucket").sortWithinPartitions(*order)
     placed.write.partitionBy("bucket").parquet(path)
 
 
@@ -88,3 +90,39 @@ def sparse_topk(
     )
     best = matched.orderBy("distance", primary_key).limit(k)
     return best.unionByName(unmatched).orderBy("distance", primary_key).limit(k)
+
+
+def write_index(postings: DataFrame, path: str, buckets: int = TERM_BUCKETS) -> None:
+    """Store sparse postings by tiers of their weight, and the tiers with their extremes beside them."""
+    weight = F.col("weight").cast("double")
+    tier = F.when(weight == 0, 0).otherwise(F.signum(weight).cast("int") * (impact.step(F.abs(weight)) + 10_000))
+    write_postings(postings.withColumn("tier", tier), f"{path}/postings", buckets)
+    stored = postings.sparkSession.read.parquet(f"{path}/postings")
+    tiers = stored.groupBy("term", "tier").agg(F.count("*").alias("n"), F.min(weight).alias("low"), F.max(weight).alias("high"))
+    write_postings(tiers, f"{path}/tiers", buckets)
+
+
+def index_topk(
+    base: DataFrame, path: str, query: Mapping[int, float], k: int, primary_key: str = "id", metric: str = "neg_ip",
+    where=None, term_type: str = "int", buckets: int = TERM_BUCKETS,
+) -> DataFrame:
+    """:func:`sparse_topk` over what :func:`write_index` stored. Without ``where``, tiers that cannot
+    hold one of the k rows are not read, and the base table is not read at all."""
+    spark, terms = base.sparkSession, [int(t) for t in query]
+    postings = read_terms(spark, f"{path}/postings", terms, term_type, buckets)
+    if where is None and terms:
+        sign = -1.0 if resolve_metric(metric) == "ip" else 1.0
+        values = {int(t): sign * float(np.float32(v)) for t, v in query.items()}
+        tiers = [
+            impact.Tier(r["term"], r["tier"], r["n"], max(0.0, values[r["term"]] * r["low"], values[r["term"]] * r["high"]))
+            for r in read_terms(spark, f"{path}/tiers", terms, term_type, buckets).collect()
+        ]
+        value = F.lit(0.0)
+        for term, v in sorted(values.items()):
+            value = F.when(F.col("term") == term, v).otherwise(value)
+        scores = impact.best(postings, tiers, F.col("weight").cast("double") * value, k, primary_key)
+        if scores is not None:
+            rounded = F.col("score").cast("float").cast("double")
+            found = scores.select(primary_key, (-rounded + F.lit(0.0)).alias("distance"))
+            return found.orderBy("distance", primary_key).limit(k)
+    return sparse_topk(base, postings.drop("tier"), query, k, primary_key, metric, where)

@@ -159,6 +159,15 @@ def fts_index_bm25_topk(spark, sf_dir):
     return best.withColumn("score", F.round("score", 5))
 
 
+@query("fts_index_topk", _BM25_SQL.replace("LIMIT 25", "LIMIT 3"))
+def fts_index_topk(spark, sf_dir):
+    """The three best rows over two stored segments, by the tiers that can hold one of them."""
+    docs = table(spark, sf_dir, "documents")
+    index = fts.TextIndex.build(docs.where("n_chars < 1500"), "text", "doc_id", scratch_path(spark, "fts-topk"))
+    index = index.append(docs.where("n_chars >= 1500 OR n_chars IS NULL"))
+    return index.topk("which avec from nicht", 3).withColumn("score", F.round("score", 5))
+
+
 def _bm25_of(source: str) -> str:
     return _BM25_SQL.replace(" FROM documents)", f" FROM {source})")
 

@@ -9,6 +9,7 @@ from vecspark.functions.distance import dense_distance, sparse_inner_product
 from vecspark.operators import knn, search, sparse
 from vecspark.operators.partition import Layout, ListPartition
 from vecspark.queries.registry import query, table
+from vecspark.session import scratch_path
 from vecspark.sources.ingest import sparse_from_dense
 
 # A fixed query vector with components that float32 holds exactly, and one it does not.
@@ -219,6 +220,14 @@ def sparse_topk_filtered(spark, sf_dir):
     return _sparse_topk(spark, sf_dir, "label >= 5")
 
 
+@query("sparse_index_topk", _sparse_sql("true"))
+def sparse_index_topk(spark, sf_dir):
+    """Over stored postings, by the tiers that can hold one of the best rows."""
+    base, path = _sparse_base(spark, sf_dir), scratch_path(spark, "sparse-index")
+    sparse.write_index(sparse.sparse_postings(base, "sparse", "vec_id"), path)
+    return sparse.index_topk(base, path, SPARSE_QUERY, 20, "vec_id").withColumn("distance", F.round("distance", 4))
+
+
 @query("sparse_scan_topk", _sparse_sql("true"))
 def sparse_scan_topk(spark, sf_dir):
     found = search.ann_search(

@@ -292,7 +292,7 @@ class Workspace:
             carry = [c for c in numbers.pop("carry", "").split(",") if c]
             ivf.build(rows, columns[0], key[0], path, carry=carry, **numbers)
         elif entry["family"] == "sparse":
-            sparse.write_postings(sparse.sparse_postings(rows, columns[0], key[0]), path)
+            sparse.write_index(sparse.sparse_postings(rows, columns[0], key[0]), path)
         else:
             fts.TextIndex.build(rows, columns, key[0], path, options["parser"])
         entry.update(path=path, state=state)
@@ -411,8 +411,7 @@ class Workspace:
         entry = self._current(table, "sparse", column)
         if entry is None:
             return search.ann_search(rows, query, column, metric, k, key, where, [key], with_distance=True)
-        postings = sparse.read_terms(self.spark, entry["path"], [int(t) for t in query], "int")
-        return sparse.sparse_topk(rows, postings, query, k, key, metric, where)
+        return sparse.index_topk(rows, entry["path"], query, k, key, metric, where)
 
     def match(self, table: str, query: str, columns: str | Sequence[str], where=None, parser: str | None = None) -> DataFrame:
         """Rows in which a query word occurs, tokenised as the columns' index says."""
