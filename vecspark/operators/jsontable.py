@@ -14,6 +14,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vecspark.functions.jsonrules import TIMESTAMP_FORMAT, JsonType, checked_value, converted_value
+from vecspark.operators.partition import KeyPartition, Layout
 from vecspark.operators.read import conjunction
 from vecspark.session import number_rows, views
 from vecspark.sources.schema import TableSpec, field
@@ -267,9 +268,9 @@ _META = TableSpec(
         field("jcol_has_default", "boolean", True), field("jcol_default", "string", True), field("store_id", "string"),
     ]
 )
-_DATA = TableSpec(
-    [field("user_id", "string"), field("admin_id", "string"), field("jdata_id", "bigint"), field("jdata", "string", True)]
-)
+_DATA = [field("user_id", "string"), field("admin_id", "string"), field("jdata_id", "bigint"), field("jdata", "string", True)]
+#: Folders that the tenants of a table are dealt to by a hash of their id.
+TENANT_PARTITIONS = 64
 
 
 class JsonTables:
@@ -277,10 +278,18 @@ class JsonTables:
 
     ``user_id`` limits reads and writes to one tenant; None sees all of them, and each
     call may name another. Metadata belongs to the group (``admin_id``).
+
+    The documents of a table lie in ``partitions`` folders by a hash of the tenant, sorted by it. What is
+    limited to a tenant reads its folder only, and a change rewrites the folders that
+    hold a changed row. A large tenant has many files in its folder, written and read by many tasks.
     """
 
-    def __init__(self, spark: SparkSession, root: str, user_id: str | None = None, admin_id: str = "0"):
+    def __init__(
+        self, spark: SparkSession, root: str, user_id: str | None = None, admin_id: str = "0",
+        partitions: int = TENANT_PARTITIONS,
+    ):
         self.spark, self.root = spark, root.rstrip("/")
+        self._layout = Layout(KeyPartition(("user_id",), partitions))
         self.user_id, self.admin_id = user_id, admin_id
         self._meta = VersionedTable(spark, f"{self.root}/meta")
 
@@ -351,8 +360,9 @@ class JsonTables:
             self._check_default(c)
         numbered = [replace(c, id=FIRST_COLUMN_ID + i) for i, c in enumerate(columns)]
         store = uuid.uuid4().hex
-        empty = self.spark.createDataFrame([], _DATA.schema)
-        VersionedTable(self.spark, f"{self.root}/data/{store}").create(empty, _DATA)
+        spec = TableSpec(_DATA, layout=self._layout)
+        empty = self.spark.createDataFrame([], spec.schema)
+        VersionedTable(self.spark, f"{self.root}/data/{store}").create(empty, spec, {"last_id": 0})
         self._save_meta(self._meta_rows() + self._column_rows(table, numbered, store))
 
     def alter(self, table: str, *actions) -> None:
@@ -363,7 +373,7 @@ class JsonTables:
                 self._check_default(action.column)
         columns, data = alter_rows(store.read(), columns, actions)
         store.replace(data, attributes={
-            "columns": [(c.name, str(c.type), c.nullable, c.has_default, c.default, c.id) for c in columns]
+            **store.attributes, "columns": [(c.name, str(c.type), c.nullable, c.has_default, c.default, c.id) for c in columns]
         })
 
     def rename(self, table: str, new_name: str) -> None:
@@ -394,18 +404,45 @@ class JsonTables:
             rows, given = values, list(values.columns)
         else:
             rows, given = self._value_rows(values, [find_column(declared, n) for n in names]), names
-        self._check_group(store.read(), user)
-        stored = store.read()
-        last = stored.agg(F.max("jdata_id").alias("m")).first()["m"] or 0
+        self._check_group(self._stored(store, user), user)
+        known = store.attributes
+        last = known.get("last_id")
+        if last is None:
+            last = store.read().agg(F.max("jdata_id").alias("m")).first()["m"] or 0
         documents = rows.select(
             F.lit(user).alias("user_id"), F.lit(self.admin_id).alias("admin_id"),
             new_documents(rows, declared, given).alias("jdata"),
         )
         numbered = number_rows(documents, last, "jdata_id")
         count = numbered.count()
-        store.append(numbered)
+        store.append(numbered, {**known, "last_id": last + count})
         return count
 
+    def _partition(self, layout: Layout, user: str) -> str:
+        """Name of a tenant's partition."""
+        return self.spark.range(1).select(F.lit(user).alias("user_id")).select(layout.first.column()).first()[0]
+
+    def _stored(self, store: VersionedTable, user: str | None) -> DataFrame:
+        """Documents of the tenant's partition, or of all; tables of an older form have no partitions."""
+        layout = store.spec.layout
+        return store.read(None if user is None or layout is None else [self._partition(layout, user)])
+
+    def _change(self, table: str, user: str | None, where, rewrite) -> int:
+        """Store ``rewrite(documents, columns)`` for the partitions that hold a touched row; returns the number of these."""
+        store, columns = self._lookup(table)
+        layout = store.spec.layout
+        touched = typed_rows(self._stored(store, user), columns, keep_store=True).where(_touched(where, user, self.admin_id))
+        if layout is None:
+            count = touched.count()
+            if count:
+                store.replace(rewrite(store.read(), columns))
+            return count
+        part = replace(layout.first, columns=("_store.user_id",)).column()
+        counts = {r["part"]: r["n"] for r in touched.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+        if counts:
+            store.replace_partitions(list(counts), rewrite(store.read(list(counts)), columns))
+        return sum(counts.values())
+
     def _value_rows(self, values: Sequence[Sequence], columns: Sequence[JsonColumn]) -> DataFrame:
         """Rows of expressions, evaluated in one projection."""
         structs = []
@@ -429,30 +466,27 @@ class JsonTables:
         user = self._user(user_id)
         stores = {r[8] for r in self._meta_rows()}
         for name in stores:
-            data = VersionedTable(self.spark, f"{self.root}/data/{name}").read()
-            if admin_ids(data, user).where(F.col("admin_id") != self.admin_id).first() is not None:
+            data = VersionedTable(self.spark, f"{self.root}/data/{name}")
+            if admin_ids(self._stored(data, user), user).where(F.col("admin_id") != self.admin_id).first() is not None:
                 return False
         return True
 
     def update(self, table: str, assignments: Mapping[str, str | Column], where=None, user_id: str | None = None) -> int:
-        store, columns = self._lookup(table)
-        user, data = self._user(user_id), store.read()
-        touched = typed_rows(data, columns, keep_store=True).where(_touched(where, user, self.admin_id)).count()
-        if touched:
-            store.replace(update_rows(data, columns, assignments, where, user, self.admin_id))
-        return touched
+        user = self._user(user_id)
+        return self._change(
+            table, user, where, lambda data, columns: update_rows(data, columns, assignments, where, user, self.admin_id)
+        )
 
     def delete(self, table: str, where=None, user_id: str | None = None) -> int:
-        store, columns = self._lookup(table)
-        user, data = self._user(user_id), store.read()
-        touched = typed_rows(data, columns, keep_store=True).where(_touched(where, user, self.admin_id)).count()
-        if touched:
-            store.replace(delete_rows(data, columns, where, user, self.admin_id))
-        return touched
+        user = self._user(user_id)
+        return self._change(
+            table, user, where, lambda data, columns: delete_rows(data, columns, where, user, self.admin_id)
+        )
 
     def read(self, table: str, user_id: str | None = None, with_id: bool = False) -> DataFrame:
         store, columns = self._lookup(table)
-        return typed_rows(scoped(store.read(), self._user(user_id), self.admin_id), columns, with_id)
+        user = self._user(user_id)
+        return typed_rows(scoped(self._stored(store, user), user, self.admin_id), columns, with_id)
 
     def sql(self, query: str, user_id: str | None = None, with_id: bool = False) -> DataFrame:
         """A SELECT over the JSON tables by name, parsed and planned by Spark.

@@ -181,6 +181,51 @@ def json_delete(spark, sf_dir):
     return _typed(jt.delete_rows(store_rows(spark, sf_dir), COLUMNS, "c1 < 1000", user_id="P"), COLUMNS)
 
 
+def _order_store(spark, sf_dir):
+    """The orders as a stored JSON table of three tenants in eight folders."""
+    tables = jt.JsonTables(spark, scratch_path(spark, "tenants"), partitions=8)
+    tables.create("orders_of", [
+        jt.JsonColumn.of("k", "INT"), jt.JsonColumn.of("cust", "INT"), jt.JsonColumn.of("priority", "VARCHAR(30)"),
+    ])
+    orders = table(spark, sf_dir, "orders")
+    for tenant in ("F", "O", "P"):
+        rows = orders.where(F.col("o_orderstatus") == tenant)
+        tables.insert("orders_of", rows.select(
+            F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("cust"), F.col("o_orderpriority").alias("priority"),
+        ), user_id=tenant)
+    return tables
+
+
+_ORDERS_OF = "SELECT o_orderkey::BIGINT AS k, o_custkey::BIGINT AS cust, o_orderpriority AS priority, o_orderstatus AS tenant FROM orders"
+
+
+@query("json_store_tenant", f"SELECT k, cust, priority FROM ({_ORDERS_OF}) WHERE tenant = 'P'")
+def json_store_tenant(spark, sf_dir):
+    """One tenant of a stored table: only its folder is read."""
+    return _order_store(spark, sf_dir).read("orders_of", "P").withColumns({c: F.col(c).cast("long") for c in ("k", "cust")})
+
+
+@query(
+    "json_store_changes",
+    f"""
+    SELECT k, CASE WHEN tenant = 'P' AND priority LIKE '%LOW%' THEN cust + 7 ELSE cust END AS cust,
+           CASE WHEN cust % 5 = 0 THEN 'fifth' ELSE priority END AS priority
+    FROM ({_ORDERS_OF}) WHERE NOT (tenant = 'F' AND priority LIKE '%URGENT%')
+    """,
+)
+def json_store_changes(spark, sf_dir):
+    """A change of all tenants, then an update and a delete that rewrite the folder of one tenant each."""
+    tables = _order_store(spark, sf_dir)
+    tables.update("orders_of", {"priority": "'fifth'"}, "cust % 5 = 0 AND priority NOT LIKE '%URGENT%' AND priority NOT LIKE '%LOW%'")
+    tables.update("orders_of", {"cust": "cust + 7", "priority": "CASE WHEN cust % 5 = 0 THEN 'fifth' ELSE priority END"},
+                  "priority LIKE '%LOW%'", user_id="P")
+    tables.delete("orders_of", "priority LIKE '%URGENT%'", user_id="F")
+    tables.update("orders_of", {"priority": "'fifth'"}, "priority <> 'fifth' AND k >= 0 AND cust % 5 = 0", user_id="O")
+    tables.update("orders_of", {"priority": "'fifth'"}, "cust % 5 = 0 AND priority LIKE '%LOW%'", user_id="F")
+    tables.update("orders_of", {"priority": "'fifth'"}, "cust % 5 = 0 AND priority LIKE '%URGENT%'", user_id="P")
+    return tables.read("orders_of").withColumns({c: F.col(c).cast("long") for c in ("k", "cust")})
+
+
 @query(
     "json_value_rules",
     f"""
