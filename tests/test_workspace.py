@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from vecspark.operators.partition import MAXVALUE, Layout, RangePartition
+from vecspark.operators.partition import MAXVALUE, KeyPartition, Layout, ListPartition, RangePartition
 from vecspark.session import scratch_path
 from vecspark.sources import schema as sc
 from vecspark.workspace import Workspace
@@ -185,3 +185,45 @@ def test_index_serves_after_inserts_updates_and_deletes(spark, tmp_path):
     assert found() == [0, 30, 100]
     ws.refresh_index("t", "i", 0)
     assert found() == [0, 30, 100]
+
+
+def last_part(ws, name):
+    table = ws._table(name)
+    return table._commit_at(table._current())["parts"][-1]
+
+
+def test_changes_rewrite_only_partitions_with_touched_rows(ws):
+    layout = Layout(KeyPartition(["id"], 8))
+    ws.create_table("t", sc.TableSpec([sc.field("id", "bigint"), sc.field("v", "string", True)], ("id",), layout=layout))
+    ws.insert("t", [{"id": i, "v": f"v{i}"} for i in range(40)])
+    home = {r["id"]: r["_p0"] for r in ws._table("t").read(with_partitions=True).collect()}
+    assert len(set(home.values())) > 3
+    ws.update("t", {"v": "'new'"}, "id IN (3, 4)")
+    assert last_part(ws, "t")["only"] == sorted({home[3], home[4]})
+    ws.delete("t", [5])
+    assert last_part(ws, "t")["only"] == [home[5]]
+    ws.upsert("t", [{"id": 6, "v": "six"}])
+    assert last_part(ws, "t")["only"] == [home[6]]
+    state = ws._table("t").state
+    ws.delete("t", [5, 500])  # no such rows: nothing is written
+    ws.update("t", {"v": "'x'"}, "id > 999")
+    assert ws._table("t").state == state
+    with pytest.raises(ValueError, match="duplicate key"):
+        ws.insert("t", [{"id": 7, "v": "again"}])
+    want = {i: f"v{i}" for i in range(40) if i != 5} | {3: "new", 4: "new", 6: "six"}
+    assert {r["id"]: r["v"] for r in ws.read("t").collect()} == want
+    ws.delete("t")
+    assert ws.read("t").count() == 0
+
+
+def test_rows_that_move_between_partitions(ws):
+    layout = Layout(ListPartition("kind", [("low", ["a", "b"]), ("mid", ["c"]), ("high", ["d", "e"])]))
+    ws.create_table("t", sc.TableSpec([sc.field("id", "bigint"), sc.field("kind", "string")], ("id",), layout=layout))
+    ws.insert("t", [{"id": i, "kind": "abcde"[i % 5]} for i in range(20)])
+    ws.update("t", {"kind": "'e'"}, "id = 0")  # from low to high
+    assert last_part(ws, "t")["only"] == ["high", "low"]
+    ws.upsert("t", [{"id": 2, "kind": "a"}])  # the old row is in mid
+    assert last_part(ws, "t")["only"] == ["low", "mid"]
+    want = {i: "abcde"[i % 5] for i in range(20)} | {0: "e", 2: "a"}
+    assert {r["id"]: r["kind"] for r in ws.read("t").collect()} == want
+    assert {r["id"] for r in ws.read("t", ["mid"]).collect()} == {7, 12, 17}

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vecspark.operators import mutate
-from vecspark.operators.partition import Layout, ListPartition
+from vecspark.operators.partition import KeyPartition, Layout, ListPartition
 from vecspark.queries.registry import query, table
 from vecspark.session import scratch_path
 from vecspark.sources.schema import TableSpec
 from vecspark.sources.tables import ConcurrentChange, VersionedTable
+from vecspark.workspace import Workspace
 
 
 @query(
@@ -124,3 +125,33 @@ def dml_two_writers(spark, sf_dir):
     except ConcurrentChange:
         second.pin().replace(mutate.delete(second.read(), where="c_nationkey >= 20"))
     return second.read()
+
+
+@query(
+    "dml_by_key_partitions",
+    """
+    WITH batch AS (
+        SELECT o_custkey AS c_custkey, count(*)::DOUBLE AS n FROM orders WHERE o_totalprice > 400000 GROUP BY o_custkey),
+    upserted AS (
+        SELECT * FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM batch)
+        UNION ALL SELECT c_custkey, 'large', NULL, n, 'NEW' FROM batch)
+    SELECT c_custkey, CASE WHEN c_nationkey = 7 THEN lower(c_name) ELSE c_name END AS c_name, c_nationkey, c_acctbal, c_mktsegment
+    FROM upserted WHERE c_custkey NOT IN (SELECT s_suppkey * 3 FROM supplier)
+    """,
+)
+def dml_by_key_partitions(spark, sf_dir):
+    """Upsert, update and delete on a table in folders by key: each rewrites the folders that hold a touched row."""
+    customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    ws = Workspace(spark, scratch_path(spark, "by-key"))
+    spec = TableSpec(customer.schema.fields, ("c_custkey",), layout=Layout(KeyPartition(["c_custkey"], 16)))
+    ws.create_table("customers", spec)
+    ws.insert("customers", customer)
+    batch = orders.where("o_totalprice > 400000").groupBy(F.col("o_custkey").alias("c_custkey"))
+    batch = batch.agg(F.count("*").cast("double").alias("c_acctbal"))
+    ws.upsert("customers", batch.select(
+        "c_custkey", F.lit("large").alias("c_name"), F.lit(None).cast(customer.schema["c_nationkey"].dataType).alias("c_nationkey"),
+        "c_acctbal", F.lit("NEW").alias("c_mktsegment"),
+    ))
+    ws.update("customers", {"c_name": "lower(c_name)"}, "c_nationkey = 7")
+    ws.delete("customers", table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 3).alias("c_custkey")))
+    return ws.read("customers").select(*customer.columns)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -146,7 +147,8 @@ class Workspace:
         new = require_valid(batch, spec)
         self._check_partition(table, new, partition)
         if spec.primary_key:
-            taken = mutate.duplicate_keys(table.read(), new, spec.primary_key).first()
+            homes = self._parts(self._placed(table, new)) if self._by_key(spec) else None
+            taken = mutate.duplicate_keys(table.read(homes), new, spec.primary_key).first()
             if taken is not None:
                 raise ValueError(f"duplicate key {tuple(taken)}")
         before = table.state
@@ -176,6 +178,15 @@ class Workspace:
         new = require_valid(batch, spec)
         self._check_partition(table, new, partition)
         base = table.read([partition] if partition else None)
+        if partition is None and spec.layout:
+            placed = [self._placed(table, new)]
+            if not self._by_key(spec):  # the old row of a key may lie elsewhere
+                keys = new.select(*spec.primary_key)
+                placed.append(table.read(with_partitions=True).join(keys, list(spec.primary_key), "left_semi"))
+            parts = self._parts(*placed)
+            if parts:
+                table.replace_partitions(parts, mutate.upsert(table.read(parts), new, spec.primary_key))
+            return
         self._store(table, partition, mutate.upsert(base, new, spec.primary_key))
 
     def update(self, name: str, values: Mapping, where=None, partition: str | None = None) -> None:
@@ -190,15 +201,48 @@ class Workspace:
             taken = rows.groupBy(*spec.primary_key).agg(F.count("*").alias("n")).where("n > 1").first()
             if taken is not None:
                 raise ValueError(f"duplicate key {tuple(taken)[:-1]}")
+        if partition is None and spec.layout:
+            # A changed row may move, so the folders that it goes to are rewritten too.
+            parts = self._parts(read.filtered(table.read(with_partitions=True), where), spec.layout.assign(changed))
+            if parts:
+                table.replace_partitions(parts, mutate.update(table.read(parts), values, where))
+            return
         self._store(table, partition, rows)
 
     def delete(self, name: str, ids=None, where=None, partition: str | None = None) -> None:
         table = self._table(name)
         base = table.read([partition] if partition else None)
-        self._store(table, partition, mutate.delete(base, ids, where, table.spec.primary_key))
+        key = table.spec.primary_key
+        if partition is None and table.spec.layout and (ids is not None or read.as_predicates(where)):
+            hit = read.filtered(table.read(with_partitions=True), where)
+            parts = self._parts(hit if ids is None else read.with_ids(hit, ids, key))
+            if parts:
+                table.replace_partitions(parts, mutate.delete(table.read(parts), ids, where, key))
+            return
+        self._store(table, partition, mutate.delete(base, ids, where, key))
+
+    @staticmethod
+    def _by_key(spec: TableSpec) -> bool:
+        """Whether the primary key alone tells the first-level partition of a row."""
+        first = spec.layout.first if spec.layout else None
+        used = next((getattr(first, a) for a in ("columns", "expr", "key") if hasattr(first, a)), ())
+        names = {used} if isinstance(used, str) else {*used}
+        return bool(names) and names <= {*spec.primary_key}
+
+    @staticmethod
+    def _placed(table: VersionedTable, new: DataFrame) -> DataFrame:
+        """New rows as the table will hold them, with their partitions."""
+        spec = table.spec
+        return spec.layout.assign(mutate.upsert(table.read().where(F.lit(False)), new, spec.primary_key))
+
+    @staticmethod
+    def _parts(*placed: DataFrame) -> list[str]:
+        """First-level partitions that hold any of the rows; one name a partition reaches the driver."""
+        names = reduce(DataFrame.unionByName, [df.select("_p0") for df in placed]).distinct()
+        return sorted(r["_p0"] for r in names.collect())
 
     def _store(self, table: VersionedTable, partition: str | None, rows: DataFrame) -> None:
-        """One partition is rewritten in place, a whole table as a new version."""
+        """One partition is rewritten in place, a table without partitions as a new version."""
         if partition is None:
             table.replace(rows)
         else:
