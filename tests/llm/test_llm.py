@@ -235,6 +235,23 @@ def test_topk_matches_brute_force(spark):
     assert topk.topk(df.where("false"), lambda key: key % 100 == 0).count() == 0
 
 
+def test_topk_blocks_meet_in_many_partitions(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-9, 9, 5)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = np.array([v for _, v in rows], np.int64) * 1024
+    want = set()
+    for q in range(0, 300, 100):
+        near = sorted((-int(whole[q] @ whole[i]), i) for i in range(300) if i != q)
+        want |= {(q, r, i, -s) for r, (s, i) in enumerate(near[:10], 1)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = topk.topk(df, lambda key: key % 100 == 0, row_block=30, query_block=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(map(tuple, got)) == want
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(4)
     a, b = rng.normal(size=(20, 37)), rng.normal(size=(30, 37))

@@ -119,10 +119,11 @@ def topk(
     counts = asked.groupBy("d").count().select("d", F.ceil(F.col("count") / query_block).cast("int").alias("_qb"))
     # One row for each length of vectors.
     grid = F.broadcast(sizes.join(counts, "d"))
-    left = asked.join(grid, "d").withColumn("q", F.pmod(F.xxhash64("id"), "_qb")).withColumn(
+    # The numbers of blocks are ints on both sides: an int and a long of one value hash to different partitions.
+    left = asked.join(grid, "d").withColumn("q", F.pmod(F.xxhash64("id"), "_qb").cast("int")).withColumn(
         "r", F.explode(F.sequence(F.lit(0), F.col("_rb") - 1))
     )
-    right = rows.join(grid, "d").withColumn("r", F.pmod(F.xxhash64("_n"), "_rb")).withColumn(
+    right = rows.join(grid, "d").withColumn("r", F.pmod(F.xxhash64("_n"), "_rb").cast("int")).withColumn(
         "q", F.explode(F.sequence(F.lit(0), F.col("_qb") - 1))
     )
 
