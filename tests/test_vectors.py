@@ -3,6 +3,7 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vecspark.functions.distance import dense_distance, metric_name, sparse_inner_product
@@ -11,6 +12,7 @@ from vecspark.operators.partition import MAXVALUE, Layout, RangePartition
 from vecspark.sources.ingest import (
     array_from_text, sparse_from_text, sparse_to_text, vector_from_text, vector_to_text,
 )
+from pyspark import TaskContext
 from pyspark.sql import functions as F, types as T
 
 def ring(n=24, tilt=0.5):
@@ -240,3 +242,25 @@ def test_bad_nested_array(spark):
     with pytest.raises(Exception, match="declared depth"):
         df.select(array_from_text("v", "int", 2)).collect()
     assert df.select(sparse_from_text("v", strict=False)).first()[0] is None
+
+
+def test_one_list_is_scored_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(knn, "CHUNK_BYTES", 8 * 3 * 20)
+    monkeypatch.setattr(knn, "MAX_QUERY_BYTES", 8 * 3 * 20)
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(600, 3)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id int, v array<float>")
+    queries = df.select(F.col("id").alias("query_id"), F.col("v").alias("vector"))
+    # What a task emits is cut to the k best of each query, so several tasks emit more than one would.
+    whole = knn.pair_topk
+    def marked(dim, metric, k, id_type):
+        run = whole(dim, metric, k, id_type)
+        return lambda batches: (b.set_column(1, "_id", pa.array([TaskContext.get().partitionId()] * b.num_rows, id_type)) for b in run(batches))
+    monkeypatch.setattr(knn, "pair_topk", marked)
+    tasks = knn.knn_join(queries, df, 600, base_vector="v").select("id").distinct().count()
+    assert tasks > spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(knn, "pair_topk", whole)
+    got = sorted((r["query_id"], r["rank"], r["id"]) for r in knn.knn_join(queries, df, 3, base_vector="v").collect())
+    far = ((vectors[:, None].astype(float) - vectors[None].astype(float)) ** 2).sum(axis=2)
+    assert got == [(q, r + 1, int(i)) for q in range(600) for r, i in enumerate(np.argsort(far[q], kind="stable")[:3])]

@@ -2,7 +2,7 @@
 
 Queries and base rows are packed into chunks: one row of Spark with a list of keys and the
 bytes of a matrix. Chunks of queries and of base rows meet in an equality join on (list,
-slice, block). Without an index there is one list; with an inverted file a query takes part
+slice, block). Without an index there is one list, cut so that every core has pairs to score; with an inverted file a query takes part
 in the lists that it probes. A list with many base rows is cut into slices and one with many
 queries into blocks, by their counts, so no task holds a large list. A task scores a pair of
 chunks by a matrix product and keeps the k best rows per query; what it holds is bounded, and
@@ -43,7 +43,9 @@ def rough_scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> tuple[np
     row_norms, query_norms = np.linalg.norm(rows, axis=1), np.linalg.norm(queries, axis=1)
     largest = row_norms.max(initial=0.0)
     if metric == "l2":
-        scores = (row_norms**2)[:, None] + (query_norms**2)[None, :] - 2.0 * (rows @ queries.T)
+        scores = rows @ (-2.0 * queries.T)  # added to in place: the scores are the largest array of a task
+        scores += (row_norms**2)[:, None]
+        scores += (query_norms**2)[None, :]
         return scores, _ERROR * (largest**2 + query_norms**2)
     scores = score_matrix(rows, queries, metric)
     error = np.full(len(queries), _ERROR) if metric == "cosine" else _ERROR * largest * query_norms
@@ -214,12 +216,18 @@ def knn_join(
         visits = materialise(visits.hint("rebalance", "_list").sortWithinPartitions("_list"), "knn-visits")
         n_visits = visits.count()
     small = 8 * dim * n_visits <= BROADCAST_BYTES
+    dealt = lambda chunks: chunks
     if small:  # every task has all queries, so lists need not be cut
         sized = lambda chunks: chunks.withColumns({"_slices": F.lit(1), "_blocks": F.lit(1)})
     elif probe is None:
-        slices = F.lit(max(1, math.ceil(base.count() / SLICE_ROWS)))
-        blocks = F.lit(max(1, math.ceil(n_queries / SLICE_ROWS)))
-        sized = lambda chunks: chunks.withColumns({"_slices": slices, "_blocks": blocks})
+        # One list: as many pairs of slices and blocks as keep every core busy, or more where a slice would be too large.
+        n_rows = base.count()
+        side = math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism))
+        n_slices, n_blocks = (
+            max(1, math.ceil(n / SLICE_ROWS), min(side, math.ceil(8 * dim * n / CHUNK_BYTES))) for n in (n_rows, n_queries)
+        )
+        sized = lambda chunks: chunks.withColumns({"_slices": F.lit(n_slices), "_blocks": F.lit(n_blocks)})
+        dealt = lambda chunks: chunks.repartition(4 * n_slices * n_blocks, "_list", "_slice", "_block")
     else:
         sizes = materialise(_counts(visits, source), "knn-sizes")  # one row per list
         source = source.join(sizes.select("_list"), "_list", "left_semi")
@@ -235,8 +243,8 @@ def knn_join(
         "_list", F.pmod("_hash", "_slices").alias("_slice"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"), "ids", "vectors",
     )
-    asked = F.broadcast(asked) if small else asked.hint("merge")
-    pairs = stored.join(asked, ["_list", "_slice", "_block"]).select("_numbers", "_asked", "ids", "vectors")
+    asked = F.broadcast(asked) if small else dealt(asked).hint("merge")
+    pairs = dealt(stored).join(asked, ["_list", "_slice", "_block"]).select("_numbers", "_asked", "ids", "vectors")
     out_schema = T.StructType([
         T.StructField("_q", T.LongType()), T.StructField("_id", id_type), T.StructField("distance", T.DoubleType()),
     ])
