@@ -85,6 +85,32 @@ def test_batch_search_beyond_the_broadcast(spark, clusters, indexes, monkeypatch
             assert [r["id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == i] == exact(few, q, 5)
 
 
+@pytest.mark.parametrize("beyond", [False, True])
+def test_batch_search_by_groups_of_lists(spark, clusters, indexes, monkeypatch, beyond):
+    """A query meets exactly the rows of its lists, and its vector is sent once a group, not once a list."""
+    sent = []
+    dealt = knn.visit_packer
+    monkeypatch.setattr(knn, "visit_packer", lambda *a: sent.append(a[-1]) or dealt(*a))
+    if beyond:
+        monkeypatch.setattr(knn, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(knn, "GROUPS", 4)
+        monkeypatch.setattr(knn, "SLICE_ROWS", 150)  # the list with a third of the rows is cut
+        monkeypatch.setattr(ivf, "CENTRE_BYTES", 0)  # centres meet the queries in a join
+    index = indexes["flat"]
+    asked = clusters.where("id % 50 = 3").selectExpr("id AS query_id", "v AS vector")
+    got = ivf.knn(asked, spark, index, 5, nprobe=7).collect()
+    for q in asked.collect():
+        near = [r["id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q["query_id"]]
+        assert near == [r["id"] for r in ivf.search(spark, index, q["vector"], 5, nprobe=7).collect()]
+    assert len(sent) == 1 and len(set(sent[0][sent[0] >= 0])) <= (4 if beyond else 32)
+
+
+def test_groups_of_lists_hold_about_equal_rows():
+    group = knn.group_lists({0: 10, 1: 10, 3: 500, 4: 10, 6: 470}, 4).tolist()
+    assert group == [0, 0, -1, 0, 2, -1, 2]
+    assert knn.group_lists({}, 4).tolist() == []
+
+
 def test_batch_search_of_a_quantised_index(spark, clusters, indexes):
     queries = clusters.where("id % 100 = 7").selectExpr("id AS query_id", "v AS vector")
     got = ivf.knn(queries, spark, indexes["pq"], 5).collect()

@@ -187,6 +187,38 @@ class Centres:
         empty = _arrow_schema(rows.sparkSession, schema).empty_table()
         return left.groupBy("_cell", "_slice").cogroup(right.groupBy("cell", "slice")).applyInArrow(whole, schema)
 
+    def probe_here(self, spark: SparkSession, queries: DataFrame, key: str, vector: str, nprobe: int) -> DataFrame:
+        """``queries`` with ``_lists``, the nprobe nearest lists of each; every task gets all centres, so nothing is shuffled."""
+        metric, dim, cells = self.metric, self.coarse.shape[1], range(len(self.coarse))
+        held = self.fine(spark, cells)
+        fine, counts = np.concatenate([held[c] for c in cells]), np.array(self.counts)
+        lists = np.concatenate([self.first[c] + np.arange(counts[c]) for c in cells]).astype(np.int32)
+        cell_of, coarse = np.repeat(np.arange(len(counts)), counts), self.coarse
+        step = max(1, _TILE // len(fine))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, step):
+                    own = batch.slice(start, step)
+                    present, rows = arrow_matrix(own.column(1), dim)
+                    if not len(rows):
+                        continue
+                    order = np.argsort(_ranked(coarse, rows, metric), axis=0, kind="stable")
+                    before = np.cumsum(counts[order], axis=0) - counts[order]
+                    opened = np.empty_like(order, dtype=bool)  # cells until they hold BEAM * nprobe lists
+                    np.put_along_axis(opened, order, before < BEAM * nprobe, axis=0)
+                    scores = _ranked(fine, rows, metric)
+                    closed = ~opened[cell_of]
+                    best = np.lexsort((np.broadcast_to(lists[:, None], scores.shape), scores, closed), axis=0)[:nprobe]
+                    open_lists = ~np.take_along_axis(closed, best, axis=0).T
+                    ends = np.concatenate(([0], np.cumsum(open_lists.sum(axis=1)))).astype(np.int32)
+                    found = pa.ListArray.from_arrays(pa.array(ends), pa.array(lists[best].T[open_lists], pa.int32()))
+                    at = pa.array(present)
+                    yield pa.RecordBatch.from_arrays([own.column(0).take(at), own.column(1).take(at), found], [key, vector, "_lists"])
+
+        kinds = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
+        return queries.select(key, vector).mapInArrow(run, f"`{key}` {kinds[key]}, `{vector}` {kinds[vector]}, _lists array<int>")
+
     def probe_all(self, queries: DataFrame, key: str, vector: str, nprobe: int) -> DataFrame:
         """``key, _list`` of the nprobe nearest lists of every query; neither side is gathered."""
         metric, dim = self.metric, self.coarse.shape[1]

@@ -43,6 +43,8 @@ REBUILD_FRACTION = 0.2
 # Rows of the table whose neighbours tell how many lists to probe, the share of the neighbours to reach, their
 # number, and the most lists that are ranked for it.
 TUNE_ROWS, RECALL, TUNE_K, TUNE_LISTS = 64, 0.95, 10, 4096
+# Most bytes of centres that a batch search sends to its tasks; more of them meet the queries in a join.
+CENTRE_BYTES = 8 << 20
 # Vectors in one folder of a quantised index, and keys that are pushed down one by one.
 BUCKET_ROWS, PUSHED_KEYS = 1 << 20, 400
 
@@ -568,16 +570,19 @@ def knn(
 ) -> DataFrame:
     """Approximate :func:`vecspark.operators.knn.knn_join`: a query meets its probed lists only.
 
-    Lists are assigned in tasks, cell by cell of the centres.
+    Lists are assigned in tasks. A query that probes every list meets all rows, without any lists.
     """
     nprobe = min(nprobe or index.default_nprobe, index.nlist)
 
-    def probe(numbered: DataFrame, dim: int) -> DataFrame:
+    def probe(numbered: DataFrame, dim: int) -> DataFrame | None:
         if dim != index.dim:
             raise ValueError("vectors have different dimensions")
         if nprobe >= index.nlist:
-            return numbered.withColumn("_lists", F.sequence(F.lit(0), F.lit(index.nlist - 1)))
-        found = index.quantiser(spark).centres.probe_all(numbered, "_key", "_vector", nprobe)
+            return None
+        centres = index.quantiser(spark).centres
+        if centres.nlist * dim * 8 <= CENTRE_BYTES:
+            return centres.probe_here(spark, numbered, "_key", "_vector", nprobe)
+        found = centres.probe_all(numbered, "_key", "_vector", nprobe)
         return numbered.join(found.groupBy("_key").agg(F.collect_list("_list").alias("_lists")), "_key")  # nprobe lists a query
 
     rows = index.rows(spark)

@@ -1,12 +1,14 @@
 """Nearest neighbours for a whole table of queries.
 
 Queries and base rows are packed into chunks: one row of Spark with a list of keys and the
-bytes of a matrix. Chunks of queries and of base rows meet in an equality join on (list,
-slice, block). Without an index there is one list, cut so that every core has pairs to score; with an inverted file a query takes part
-in the lists that it probes. A list with many base rows is cut into slices and one with many
-queries into blocks, by their counts, so no task holds a large list. A task scores a pair of
-chunks by a matrix product and keeps the k best rows per query; what it holds is bounded, and
-what it emits is ranked in two steps. Query vectors of at most ``BROADCAST_BYTES`` in all are
+bytes of a matrix. Chunks of queries and of base rows meet in an equality join on (group,
+slice, block). Without an index there is one group, cut so that every core has pairs to score. The lists of an
+inverted file form at most ``GROUPS`` groups of about equal rows: a query's vector is sent once to each group in which
+it probes lists, with one bit for each list of the group, so that what is sent does not grow with the lists.
+A group with many base rows is cut into slices. A task scores a pair of chunks by matrix products,
+list by list with the queries that probe it, and keeps the k best rows per query; a chunk of queries meets its base
+chunks one after another, so what a task holds is bounded and it emits k rows a query.
+Query vectors of at most ``BROADCAST_BYTES`` in all are
 broadcast; beyond that both sides are shuffled, and no vector passes the driver.
 """
 
@@ -24,8 +26,10 @@ from vecspark.session import materialise
 
 # Bytes of vectors in one chunk of queries, and in one of base rows.
 MAX_QUERY_BYTES = CHUNK_BYTES = 1024 * 1024
-# Rows of a list in one slice, and queries of a list in one block.
+# Rows of a group in one slice, and, without an index, queries in one block.
 SLICE_ROWS = 1 << 17
+# Groups that the lists of an index form, and blocks that the queries of a group form.
+GROUPS, BLOCKS = 32, 8
 # Most bytes of query vectors that are broadcast; more of them meet the rows in a shuffled join.
 BROADCAST_BYTES = 8 * 1024 * 1024
 # Result rows that a task holds before it emits them.
@@ -115,9 +119,108 @@ def packer(dim: int, max_bytes: int, id_type: pa.DataType):
     return run
 
 
-def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType):
+def group_lists(sizes: dict[int, int], groups: int) -> np.ndarray:
+    """The group of every list up to the largest: runs of lists with about equal rows in all; -1 without rows."""
+    held = np.zeros(max(sizes, default=-1) + 1, np.int64)
+    for i, n in sizes.items():
+        held[i] = n
+    before = np.cumsum(held) - held
+    return np.where(held > 0, before * groups // max(1, held.sum()), -1).astype(np.int32)
+
+
+def list_packer(dim: int, max_bytes: int, id_type: pa.DataType, group_of: np.ndarray):
+    """Like :func:`packer` for the rows of an index: chunks (group, ids, vectors, lists), sorted by list."""
+    per_chunk = max(1, max_bytes // (8 * dim))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            present, rows = arrow_matrix(batch.column(2), dim)
+            lists = np.asarray(batch.column(0))[present]
+            order = np.argsort(lists, kind="stable")
+            edges = np.flatnonzero(np.diff(group_of[lists[order]])) + 1
+            for same in np.split(order, edges):
+                for at in range(0, len(same), per_chunk):
+                    part = same[at : at + per_chunk]
+                    ids = batch.column(1).take(pa.array(present[part]))
+                    offsets = pa.array([0, len(part)], pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([group_of[lists[part[0]]]], pa.int32()),
+                            pa.ListArray.from_arrays(offsets, ids.cast(id_type)),
+                            pa.array([rows[part].tobytes()], pa.binary()),
+                            pa.ListArray.from_arrays(offsets, pa.array(lists[part], pa.int32())),
+                        ],
+                        ["_list", "ids", "vectors", "lists"],
+                    )
+
+    return run
+
+
+def visit_packer(dim: int, max_bytes: int, group_of: np.ndarray):
+    """A ``mapInArrow`` function from (key, vector, lists) to chunks of queries (group, ids, vectors, visited): one in
+    each group where a query probes lists; ``visited`` has a row of bits for each query, one bit a list."""
+    per_chunk = max(1, max_bytes // (8 * dim))
+    spans = {int(g): _span(group_of, g) for g in np.unique(group_of[group_of >= 0])}
+    step = max(per_chunk, _TILE * 8 // max(1, len(group_of)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                own = batch.slice(start, step)
+                present, rows = arrow_matrix(own.column(1), dim)
+                asked = own.column(2).take(pa.array(present))
+                flat = np.asarray(asked.flatten())
+                turn = np.repeat(np.arange(len(present)), np.asarray(asked.value_lengths()))
+                known = flat < len(group_of)
+                visits = np.zeros((len(present), len(group_of)), bool)
+                visits[turn[known], flat[known]] = True
+                visits[:, group_of < 0] = False
+                for group, (low, high) in spans.items():
+                    inside = visits[:, low:high]
+                    some = np.flatnonzero(inside.any(axis=1))
+                    for at in range(0, len(some), per_chunk):
+                        part = some[at : at + per_chunk]
+                        ids = own.column(0).take(pa.array(present[part]))
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([group], pa.int32()),
+                                pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), ids.cast(pa.int64())),
+                                pa.array([rows[part].tobytes()], pa.binary()),
+                                pa.array([np.packbits(inside[part], axis=1).tobytes()], pa.binary()),
+                            ],
+                            ["_list", "ids", "vectors", "visited"],
+                        )
+
+    return run
+
+
+def _span(group_of: np.ndarray, group: int) -> tuple[int, int]:
+    """The first list of a group and the one after its last."""
+    own = np.flatnonzero(group_of == group)
+    return int(own[0]), int(own[-1]) + 1
+
+
+def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType, group_of: np.ndarray | None = None, in_turn: bool = False):
     """A ``mapInArrow`` function from pairs of chunks (numbers, queries, ids, rows) to the k best
-    rows per query, merged over the pairs of a task as far as ``_HELD`` rows allow."""
+    rows per query, merged over the pairs of a task as far as ``_HELD`` rows allow.
+
+    ``in_turn``: the pairs of a chunk of queries follow one another, and are merged once it changes. With the groups of
+    lists, pairs also have (group, visited, lists).
+    """
+    first_list = {} if group_of is None else {int(g): _span(group_of, g)[0] for g in np.unique(group_of[group_of >= 0])}
+
+    def scored(batch: pa.RecordBatch, i: int, ids: np.ndarray, queries: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        if group_of is None:
+            yield best_per_query(ids, rows, queries, metric, k)
+            return
+        lists = np.asarray(batch.column(6)[i].values) - first_list[batch.column(4)[i].as_py()]
+        visited = np.unpackbits(np.frombuffer(batch.column(5)[i].as_buffer(), np.uint8).reshape(len(queries), -1), axis=1)
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(lists)) + 1, [len(lists)]))
+        for low, high in zip(edges[:-1], edges[1:]):
+            asking = np.flatnonzero(visited[:, lists[low]])
+            if len(asking):
+                q, found, d = best_per_query(ids[low:high], rows[low:high], queries[asking], metric, k)
+                yield asking[q], found, d
 
     def table(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         q, ids, d = (np.concatenate(column) for column in zip(*parts))
@@ -127,17 +230,26 @@ def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
-        held = 0
+        done: list[tuple[np.ndarray, ...]] = []
+        held, current = 0, None
         for batch in batches:
             for i in range(batch.num_rows):
                 numbers = np.asarray(batch.column(0)[i].values)
+                if in_turn and current != numbers[0]:
+                    current = numbers[0]
+                    if parts:
+                        done.append(_merge(parts, k))
+                        parts, held = [], 0
+                    if sum(len(part[0]) for part in done) > _HELD // 10:
+                        yield table(done)
+                        done = []
                 ids = _id_array(batch.column(2)[i].values)
                 queries, rows = (
                     np.frombuffer(batch.column(c)[i].as_buffer(), np.float64).reshape(-1, dim) for c in (1, 3)
                 )
-                q, found, d = best_per_query(ids, rows, queries, metric, k)
-                parts.append((numbers[q], found, d))
-                held += len(q)
+                for q, found, d in scored(batch, i, ids, queries, rows):
+                    parts.append((numbers[q], found, d))
+                    held += len(q)
                 if held > _HELD:
                     parts = [_merge(parts, k)]
                     held = len(parts[0][0])
@@ -145,29 +257,29 @@ def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType):
                         yield table(parts)
                         parts, held = [], 0
         if parts:
-            yield table([_merge(parts, k)])
+            done.append(_merge(parts, k))
+        if done:
+            yield table(done)
 
     return run
 
 
-def _chunks(rows: DataFrame, vector: str, dim: int, max_bytes: int, id_type: T.DataType) -> DataFrame:
-    """``rows`` (_list, _key, vector) in chunks, with a hash of the first key to deal them by."""
-    schema = T.StructType([
+def _chunk_schema(id_type: T.DataType, *more: T.StructField) -> T.StructType:
+    return T.StructType([
         T.StructField("_list", T.IntegerType()), T.StructField("ids", T.ArrayType(id_type)),
-        T.StructField("vectors", T.BinaryType()),
+        T.StructField("vectors", T.BinaryType()), *more,
     ])
-    packed = rows.select("_list", "_key", vector).mapInArrow(packer(dim, max_bytes, _arrow_type(id_type)), schema)
-    return packed.withColumn("_hash", F.xxhash64(F.get("ids", F.lit(0))))
 
 
-def _counts(visits: DataFrame, base: DataFrame) -> DataFrame:
-    """One row per list that has queries and rows: _list, _slices, _blocks."""
-    n_rows = base.groupBy("_list").agg(F.count("*").alias("_rows"))
-    n_queries = visits.groupBy("_list").agg(F.count("*").alias("_queries"))
-    both = n_rows.join(n_queries, "_list")
-    return both.select(
-        "_list", F.ceil(F.col("_rows") / SLICE_ROWS).alias("_slices"), F.ceil(F.col("_queries") / SLICE_ROWS).alias("_blocks")
-    )
+def _dealt_by(chunks: DataFrame) -> DataFrame:
+    """Chunks with a hash of the first key to deal them by."""
+    return chunks.withColumn("_hash", F.xxhash64(F.get("ids", F.lit(0))))
+
+
+def _chunks(rows: DataFrame, vector: str, dim: int, max_bytes: int, id_type: T.DataType) -> DataFrame:
+    """``rows`` (_list, _key, vector) in chunks."""
+    packed = rows.select("_list", "_key", vector).mapInArrow(packer(dim, max_bytes, _arrow_type(id_type)), _chunk_schema(id_type))
+    return _dealt_by(packed)
 
 
 def knn_join(
@@ -181,12 +293,12 @@ def knn_join(
     base_vector: str = "vector",
     max_query_bytes: int = MAX_QUERY_BYTES,
     list_column: str | None = None,
-    probe: Callable[[DataFrame, int], DataFrame] | None = None,
+    probe: Callable[[DataFrame, int], DataFrame | None] | None = None,
 ) -> DataFrame:
     """The k nearest base rows of every query: ``(query_id, base_id, distance, rank)``.
 
     ``probe(numbered, dim)`` adds the column ``_lists`` (the lists a query visits) to
-    (_key, _vector); with ``list_column`` it restricts a query to those lists of an
+    (_key, _vector), or gives None where every query visits all; with ``list_column`` it restricts a query to those lists of an
     inverted-file index. Rows and queries with a null vector take no part; queries with one
     id are answered each. No query gives no rows.
     """
@@ -205,53 +317,73 @@ def knn_join(
             T.StructField("rank", T.IntegerType()),
         ])
         return spark.createDataFrame([], empty)
+    visits = probe(numbered.select("_key", "_vector"), dim) if probe else None
     source = base.select(
-        (F.col(list_column) if list_column else F.lit(0)).cast("int").alias("_list"), F.col(base_id).alias("_key"),
+        (F.col(list_column) if visits is not None else F.lit(0)).cast("int").alias("_list"), F.col(base_id).alias("_key"),
         F.col(base_vector).alias("_vector"),
     )
-    if probe is None:
+    group_of = None
+    if visits is None:
         visits, n_visits = numbered.select(F.lit(0).alias("_list"), "_key", "_vector"), n_queries
     else:
-        visits = probe(numbered.select("_key", "_vector"), dim).select(F.explode("_lists").alias("_list"), "_key", "_vector")
-        visits = materialise(visits.hint("rebalance", "_list").sortWithinPartitions("_list"), "knn-visits")
-        n_visits = visits.count()
+        sizes = dict(source.groupBy("_list").count().collect())  # one row per list
+        group_of = group_lists(sizes, GROUPS)
+        visits = visits.select("_key", "_vector", "_lists")
+        n_visits = n_queries * min(GROUPS, len(sizes))
     small = 8 * dim * n_visits <= BROADCAST_BYTES
     dealt = lambda chunks: chunks
-    if small:  # every task has all queries, so lists need not be cut
-        sized = lambda chunks: chunks.withColumns({"_slices": F.lit(1), "_blocks": F.lit(1)})
-    elif probe is None:
-        # One list: as many pairs of slices and blocks as keep every core busy, or more where a slice would be too large.
+    slices, blocks = F.lit(1), F.lit(1)
+    if small:  # every task has all queries, so groups need not be cut
+        pass
+    elif group_of is None:
+        # One group: as many pairs of slices and blocks as keep every core busy, or more where a slice would be too large.
         n_rows = base.count()
         side = math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism))
         n_slices, n_blocks = (
             max(1, math.ceil(n / SLICE_ROWS), min(side, math.ceil(8 * dim * n / CHUNK_BYTES))) for n in (n_rows, n_queries)
         )
-        sized = lambda chunks: chunks.withColumns({"_slices": F.lit(n_slices), "_blocks": F.lit(n_blocks)})
+        slices, blocks = F.lit(n_slices), F.lit(n_blocks)
         dealt = lambda chunks: chunks.repartition(4 * n_slices * n_blocks, "_list", "_slice", "_block")
     else:
-        sizes = materialise(_counts(visits, source), "knn-sizes")  # one row per list
-        source = source.join(sizes.select("_list"), "_list", "left_semi")
-        sized = lambda chunks: chunks.join(sizes, "_list")
-
-    asked = sized(_chunks(visits, "_vector", dim, max_query_bytes, T.LongType()))
-    asked = asked.select(
-        "_list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)).alias("_slice"),
-        F.pmod("_hash", "_blocks").alias("_block"), F.col("ids").alias("_numbers"), F.col("vectors").alias("_asked"),
+        held = [0] * GROUPS
+        for i, n in sizes.items():
+            held[group_of[i]] += n
+        cuts = [max(1, math.ceil(n / SLICE_ROWS)) for n in held]
+        slices, blocks = F.get(F.array(*[F.lit(c) for c in cuts]), F.col("_list")), F.lit(BLOCKS)
+        dealt = lambda chunks: chunks.repartition(2 * BLOCKS * sum(cuts), "_list", "_slice", "_block")
+
+    if group_of is None:
+        asked = _chunks(visits, "_vector", dim, max_query_bytes, T.LongType())
+        stored = _chunks(source, "_vector", dim, CHUNK_BYTES, id_type)
+        of_asked, of_stored = [], []
+    else:
+        asked = _dealt_by(visits.mapInArrow(visit_packer(dim, max_query_bytes, group_of), _chunk_schema(T.LongType(), T.StructField("visited", T.BinaryType()))))
+        packed = source.select("_list", "_key", "_vector").mapInArrow(
+            list_packer(dim, CHUNK_BYTES, _arrow_type(id_type), group_of), _chunk_schema(id_type, T.StructField("lists", T.ArrayType(T.IntegerType())))
+        )
+        stored = _dealt_by(packed)
+        of_asked, of_stored = ["visited"], ["lists"]
+    asked = asked.withColumns({"_slices": slices, "_blocks": blocks}).select(
+        "_list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices").cast("long") - 1)).alias("_slice"),
+        F.pmod("_hash", "_blocks").cast("long").alias("_block"), F.col("ids").alias("_numbers"), F.col("vectors").alias("_asked"), *of_asked,
     )
-    stored = sized(_chunks(source, "_vector", dim, CHUNK_BYTES, id_type))
-    stored = stored.select(
-        "_list", F.pmod("_hash", "_slices").alias("_slice"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_block"), "ids", "vectors",
+    stored = stored.withColumns({"_slices": slices, "_blocks": blocks}).select(
+        "_list", F.pmod("_hash", "_slices").cast("long").alias("_slice"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks").cast("long") - 1)).alias("_block"), "ids", "vectors", *of_stored,
     )
-    asked = F.broadcast(asked) if small else dealt(asked).hint("merge")
-    pairs = dealt(stored).join(asked, ["_list", "_slice", "_block"]).select("_numbers", "_asked", "ids", "vectors")
+    on = ["_list", "_slice", "_block"]
+    # In the merge join the left side is streamed: each chunk of queries meets the base chunks of its slice in turn.
+    pairs = stored.join(F.broadcast(asked), on) if small else dealt(asked).join(dealt(stored).hint("merge"), on)
+    pairs = pairs.select("_numbers", "_asked", "ids", "vectors", *(["_list", "visited", "lists"] if group_of is not None else []))
     out_schema = T.StructType([
         T.StructField("_q", T.LongType()), T.StructField("_id", id_type), T.StructField("distance", T.DoubleType()),
     ])
-    found = pairs.mapInArrow(pair_topk(dim, metric, k, _arrow_type(id_type)), out_schema)
-    found = found.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(_PARTS)))
-    ranked = found
-    for keys in (["_q", "_part"], ["_q"]):
+    found = pairs.mapInArrow(pair_topk(dim, metric, k, _arrow_type(id_type), group_of, not small), out_schema)
+    ranked, steps = found, [["_q"]]  # k rows a query from each slice of its groups
+    if small or group_of is None:
+        ranked = found.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(_PARTS)))
+        steps = [["_q", "_part"], ["_q"]]
+    for keys in steps:
         order = Window.partitionBy(*keys).orderBy("distance", "_id")
         ranked = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     names = numbered.select(F.col("_key").alias("_q"), F.col("_qid").alias(query_id))
