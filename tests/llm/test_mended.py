@@ -8,7 +8,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from vecspark.llm import decontaminate, licenses, quotes, secrets, simhash, topk
+from vecspark.llm import bpe, decontaminate, licenses, quotes, secrets, simhash, topk
+from vecspark.llm.queries import vocabulary
 from tests.llm.test_llm import awkward, slow_spans
 
 #: Every name that the operators give to a column of their own.
@@ -158,3 +159,15 @@ def test_long_text_takes_time_in_proportion(spark):
         assert masked == "[SECRET]".join([*want, text[at:]])
         assert len(spans) >= n
     assert spent[1] < 8 * 2.5 * spent[0] + 5
+
+
+def test_decoding_and_encoding_share_no_stage(spark):
+    """A stage that does both holds two Python workers a task, and an executor keeps them all."""
+    voc = vocabulary()
+    rows = [(1, "one text"), (2, None), (None, "x" * 9), (1, "one text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = bpe.decode(bpe.encode(docs, voc), voc)
+    udfs = out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+    assert udfs == 1
+    got = sorted((str(r["doc_id"]), bytes(r["decoded"]).decode()) for r in out.collect())
+    assert got == sorted((str(k), t or "") for k, t in rows)

@@ -161,8 +161,12 @@ def decode_bytes(ids: bytes, pieces: list[bytes]) -> bytes:
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with the binary column ``out``: the bytes that the ids stand for (null for null)."""
-    content = vocabulary.content
+    """``encoded`` with the binary column ``out``: the bytes that the ids stand for (null for null).
+
+    The ids are written first. In one stage with the encoding, each task would hold two Python workers at
+    a time, and idle workers stay, so that an executor would keep twice as many from then on.
+    """
+    encoded, content = materialise(encoded, "bpe-ids"), vocabulary.content
 
     def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces = _bytes_of(content)
