@@ -1,4 +1,5 @@
 import itertools
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -249,3 +250,16 @@ def test_hybrid_rejects_unknown_parts(hybrid_rows):
         hybrid_search(hybrid_rows, {})
     with pytest.raises(ValueError):
         hybrid_search(hybrid_rows, {"query": {"query_string": {"fields": ["title"], "query": "a", "type": "phrase"}}})
+
+
+def test_postings_count_runs_of_tokens(spark):
+    texts = ["a aa a aaa aa a", "b", None, "", "  .. ", "1 11 1 é É é \U00010400 \U00010428 x_x x", "中文 中文 文 " + "w " * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for parser in ("space", "ngram", "ik"):
+        tokens = {r["id"]: r["t"] or [] for r in docs.select("id", tx.tokens("text", parser).alias("t")).collect()}
+        want = sorted((t, i, n, len(own)) for i, own in tokens.items() for t, n in Counter(own).items())
+        found = fts.postings(docs, "text", "id", parser)
+        assert found.dtypes == [("term", "string"), ("id", "int"), ("tf", "bigint"), ("doc_len", "int")]
+        assert sorted(map(tuple, found.collect())) == want
+        steps = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "element_at" not in steps  # no lambda that looks at each token again

@@ -27,6 +27,8 @@ BM25_B = 0.75
 
 # Possessive: a run of letters and digits never gives characters back.
 WORD = r"[\p{L}\p{N}]++"
+# A token and its repeats, in tokens joined by spaces. Possessive: no step is kept for a repeat.
+RUN = r"([^ ]++)(?: \1(?![^ ]))*+"
 _NOT_IN_WORD = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}"
 _CJK_OR_WORD = rf"[{_CJK}]+|[\p{{L}}\p{{N}}&&[^{_CJK}]]+"
