@@ -200,7 +200,7 @@ def _span(group_of: np.ndarray, group: int) -> tuple[int, int]:
     return int(own[0]), int(own[-1]) + 1
 
 
-def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType, group_of: np.ndarray | None = None, in_turn: bool = False):
+def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType, group_of: np.ndarray | None = None, in_turn: bool = True):
     """A ``mapInArrow`` function from pairs of chunks (numbers, queries, ids, rows) to the k best
     rows per query, merged over the pairs of a task as far as ``_HELD`` rows allow.
 
@@ -378,7 +378,8 @@ def knn_join(
     out_schema = T.StructType([
         T.StructField("_q", T.LongType()), T.StructField("_id", id_type), T.StructField("distance", T.DoubleType()),
     ])
-    found = pairs.mapInArrow(pair_topk(dim, metric, k, _arrow_type(id_type), group_of, not small), out_schema)
+    more = ({} if group_of is None else {"group_of": group_of}) | ({"in_turn": False} if small else {})
+    found = pairs.mapInArrow(pair_topk(dim, metric, k, _arrow_type(id_type), **more), out_schema)
     ranked, steps = found, [["_q"]]  # k rows a query from each slice of its groups
     if small or group_of is None:
         ranked = found.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(_PARTS)))
