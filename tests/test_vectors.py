@@ -264,3 +264,38 @@ def test_one_list_is_scored_in_many_tasks(spark, monkeypatch):
     got = sorted((r["query_id"], r["rank"], r["id"]) for r in knn.knn_join(queries, df, 3, base_vector="v").collect())
     far = ((vectors[:, None].astype(float) - vectors[None].astype(float)) ** 2).sum(axis=2)
     assert got == [(q, r + 1, int(i)) for q in range(600) for r, i in enumerate(np.argsort(far[q], kind="stable")[:3])]
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip", "neg_ip"])
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e17, 1e30])
+def test_bounds_leave_no_near_row_out(metric, scale):
+    rng = np.random.default_rng(6)
+    some = rng.integers(-8, 8, size=(40, 5)) / 8  # many ties
+    rows = np.concatenate([rng.normal(size=(900, 5)), some[rng.integers(0, 40, 500)], np.repeat(some[:1], 1200, axis=0), np.zeros((3, 5))])
+    rows = rows[rng.permutation(len(rows))] * scale
+    ids = rng.permutation(len(rows)) // 2  # keys repeat
+    queries = np.concatenate([rows[:60], some * scale, rng.normal(size=(20, 5)) * scale, np.zeros((1, 5))])
+    for k in (1, 7):
+        near = knn.Nearest(queries, metric, k)
+        for low in range(0, len(rows), 700):
+            for asking in (np.arange(0, len(queries), 2), np.arange(1, len(queries), 2)):
+                near.add(ids[low : low + 700], rows[low : low + 700], asking)
+        q, found, d = (np.concatenate(c) for c in zip(*near.taken()))
+        want = knn.best_per_query(ids, rows, queries, metric, k)
+        assert np.array_equal(q, want[0]) and np.array_equal(found, want[1]) and np.array_equal(d, want[2])
+
+
+def test_most_rows_are_compared_with_a_bound_only(monkeypatch):
+    rng = np.random.default_rng(7)
+    rows, queries, k = rng.normal(size=(4000, 8)), rng.normal(size=(90, 8)), 3
+    whole, scored = knn.best_per_query, []
+    monkeypatch.setattr(knn, "best_per_query", lambda ids, *a: scored.append(len(ids)) or whole(ids, *a))
+    def batch(low):
+        numbers, ids = pa.array([list(range(90))]), pa.array([list(range(low, low + 1000))])
+        chunks = [pa.array([queries.tobytes()], pa.binary()), ids, pa.array([rows[low : low + 1000].tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays([numbers, *chunks], ["_numbers", "_asked", "ids", "vectors"])
+    out = list(knn.pair_topk(8, "l2", k, pa.int64())(batch(low) for low in range(0, 4000, 1000)))
+    got = [np.concatenate([np.asarray(b.column(c)) for b in out]) for c in range(3)]
+    want = whole(np.arange(4000), rows, queries, "l2", k)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+    assert sum(scored) <= 500  # the first rows, for a first bound

@@ -7,7 +7,8 @@ inverted file form at most ``GROUPS`` groups of about equal rows: a query's vect
 it probes lists, with one bit for each list of the group, so that what is sent does not grow with the lists.
 A group with many base rows is cut into slices. A task scores a pair of chunks by matrix products,
 list by list with the queries that probe it, and keeps the k best rows per query; a chunk of queries meets its base
-chunks one after another, so what a task holds is bounded and it emits k rows a query.
+chunks one after another, so what a task holds is bounded and it emits k rows a query. The k-th distance so far is a bound: products in
+single precision, with their error allowed for, tell which few rows may pass it, and only these are compared exactly.
 Query vectors of at most ``BROADCAST_BYTES`` in all are
 broadcast; beyond that both sides are shuffled, and no vector passes the driver.
 """
@@ -40,6 +41,8 @@ _PARTS = 32
 _TILE = 4_000_000
 # Relative error a matrix product may carry; closer scores are compared again exactly.
 _ERROR = 1e-12
+# Rows that give a first bound, scores held at once against a bound, and pairs compared exactly at once.
+_FIRST, _SCORES, _PAIRS = 256, 1 << 20, 1 << 16
 
 
 def rough_scores(rows: np.ndarray, queries: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +70,8 @@ def best_per_query(
         scores, error = rough_scores(rows, block, metric)
         kth = np.partition(scores, min(k, len(rows)) - 1, axis=0)[min(k, len(rows)) - 1]
         r, q = np.nonzero((scores <= kth + 2.0 * error) & ~np.isinf(scores))
-        exact = score_pairs(rows[r], block[q], metric)
+        parts = [slice(i, i + _PAIRS) for i in range(0, max(1, len(r)), _PAIRS)]
+        exact = np.concatenate([score_pairs(rows[r[part]], block[q[part]], metric) for part in parts])
         order = np.lexsort((ids[r], exact, q))
         r, q, exact = r[order], q[order], exact[order]
         first = np.searchsorted(q, q, side="left")
@@ -86,6 +90,115 @@ def _merge(parts: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...
     return q[top], ids[top], d[top]
 
 
+def _factors(vectors: np.ndarray, metric: str, query: bool) -> np.ndarray:
+    """Matrices of rows and of queries whose products are the distances in the order of the metric: for l2 less the query's square
+    and squared, for cosine less one."""
+    if metric == "l2":
+        last = np.ones(len(vectors)) if query else np.einsum("ij,ij->i", vectors, vectors)
+        return np.column_stack([-2.0 * vectors if query else vectors, last])
+    if metric == "cosine":
+        norms = np.linalg.norm(vectors, axis=1)
+        vectors = vectors / np.where(norms > 0, norms, 1.0)[:, None]
+    return -vectors if query and metric != "ip" else vectors
+
+
+def _single(rows: np.ndarray, queries: np.ndarray) -> np.ndarray | None:
+    """A bound of the error of each query's products in single precision; None where they may leave its range.
+
+    A sum of n products is off by at most about n units of the last place of the norms' product; it is allowed for twice, and n
+    times the smallest number for products that vanish.
+    """
+    dim, row_norm, query_norms = rows.shape[1], np.linalg.norm(rows, axis=1).max(initial=0.0), np.linalg.norm(queries, axis=1)
+    if not 1e-30 < row_norm < 1e37 or not row_norm * query_norms.max(initial=0.0) < 1e37:  # NaN too
+        return None
+    return (dim + 8) * 2.0**-23 * row_norm * np.maximum(query_norms, 1e-30) + dim * 2.0**-126
+
+
+def _smallest_of_equals(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the rows without those of equal vectors that have k smaller ids beside them."""
+    same = np.unique(np.ascontiguousarray(rows).view(np.dtype((np.void, rows.shape[1] * rows.itemsize))).ravel(), return_inverse=True)[1]
+    order = np.lexsort((ids, same))
+    return order[np.arange(len(order)) - np.searchsorted(same[order], same[order], side="left") < k]
+
+
+class Nearest:
+    """The k best rows of each query of a chunk, over the chunks of rows that it meets."""
+
+    def __init__(self, queries: np.ndarray, metric: str, k: int):
+        self.queries, self.metric, self.k = queries, metric, k
+        self.bound = np.full(len(queries), np.inf)  # the distance of the k-th best row so far
+        self.factors = _factors(queries, metric, True)
+        self.squares = np.einsum("ij,ij->i", queries, queries)
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.held = self.settled = 0
+
+    def _keep(self, q: np.ndarray, ids: np.ndarray, d: np.ndarray) -> None:
+        self.parts.append((q, ids, d))
+        self.held += len(q)
+
+    def settle(self) -> None:
+        """Merge what was found and lower the bounds."""
+        if self.held == self.settled:
+            return
+        q, ids, d = best = _merge(self.parts, self.k)
+        self.parts, self.held = [best], len(q)
+        self.settled = self.held
+        n = np.bincount(q, minlength=len(self.bound))
+        full = n >= self.k
+        self.bound[full] = np.minimum(self.bound[full], d[np.cumsum(n)[full] - 1])
+
+    def taken(self) -> list[tuple[np.ndarray, ...]]:
+        """What is held, which is held no longer; its bounds remain."""
+        self.settle()
+        parts, self.parts, self.held, self.settled = self.parts, [], 0, 0
+        return parts
+
+    def add(self, ids: np.ndarray, rows: np.ndarray, asking: np.ndarray) -> None:
+        """Meet rows with the queries at the positions ``asking``."""
+        queries, at, size = self.queries[asking], 0, max(_FIRST, 4 * self.k)
+        factors = error = None
+        while at < len(rows):
+            if np.isfinite(self.bound[asking]).all() and factors is None:
+                factors, mine = _factors(rows, self.metric, False), self.factors[asking]
+                error = _single(factors, mine)
+                factors, mine = (factors.astype(np.float32), mine.astype(np.float32)) if error is not None else (factors, mine)
+            if error is None:
+                q, found, d = best_per_query(ids[at : at + size], rows[at : at + size], queries, self.metric, self.k)
+                self._keep(asking[q], found, d)
+            else:
+                many = self._compare(ids[at : at + size], rows[at : at + size], factors[at : at + size], mine, error, asking)
+                if many:  # one vector may be that of many rows
+                    left = at + _smallest_of_equals(ids[at:], rows[at:], self.k)
+                    ids, rows, factors, at = ids[left], rows[left], factors[left], 0
+                    many = self._compare(ids[:size], rows[:size], factors[:size], mine, error, asking, True)
+            at, size = at + size, 2 * size
+            if self.held - self.settled > len(self.bound) // 2:
+                self.settle()
+
+    def _compare(self, ids, rows, factors, mine, error, asking, all_of_them: bool = False) -> bool:
+        """Keep the rows within the bounds; or, True and none, where more than a few are, unless ``all_of_them`` are asked for."""
+        bound = self.bound[asking]
+        scores = {"l2": bound * bound - self.squares[asking], "cosine": bound - 1.0}.get(self.metric, bound)
+        with np.errstate(over="ignore"):
+            limit = np.nextafter((scores + error).astype(np.float32), np.float32(np.inf))
+        step, found = max(1, _SCORES // max(1, len(asking))), []
+        for low in range(0, len(rows), step):
+            near = factors[low : low + step] @ mine.T <= limit
+            hit = np.flatnonzero(near.any(axis=1))  # few rows have any
+            r, q = np.nonzero(near[hit])
+            r = hit[r]
+            if not all_of_them and len(r) > max(near.size // 16, 8 * self.k * len(asking)):
+                return True
+            for start in range(0, len(r), _PAIRS):
+                some, of = r[start : start + _PAIRS] + low, q[start : start + _PAIRS]
+                d = score_pairs(rows[some], self.queries[asking[of]], self.metric)
+                best = d <= bound[of]
+                found.append((asking[of[best]], ids[some[best]], d[best]))
+        for part in found:
+            self._keep(*part)
+        return False
+
+
 def _id_array(column: pa.Array) -> np.ndarray:
     return np.asarray(column.to_pandas())
 
@@ -209,18 +322,18 @@ def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType, group_of: np.
     """
     first_list = {} if group_of is None else {int(g): _span(group_of, g)[0] for g in np.unique(group_of[group_of >= 0])}
 
-    def scored(batch: pa.RecordBatch, i: int, ids: np.ndarray, queries: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def listed(batch: pa.RecordBatch, i: int, n_queries: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Runs of rows, and the queries that ask for them."""
         if group_of is None:
-            yield best_per_query(ids, rows, queries, metric, k)
+            yield 0, len(batch.column(2)[i].values), np.arange(n_queries)
             return
         lists = np.asarray(batch.column(6)[i].values) - first_list[batch.column(4)[i].as_py()]
-        visited = np.unpackbits(np.frombuffer(batch.column(5)[i].as_buffer(), np.uint8).reshape(len(queries), -1), axis=1)
+        visited = np.unpackbits(np.frombuffer(batch.column(5)[i].as_buffer(), np.uint8).reshape(n_queries, -1), axis=1)
         edges = np.concatenate(([0], np.flatnonzero(np.diff(lists)) + 1, [len(lists)]))
         for low, high in zip(edges[:-1], edges[1:]):
             asking = np.flatnonzero(visited[:, lists[low]])
             if len(asking):
-                q, found, d = best_per_query(ids[low:high], rows[low:high], queries[asking], metric, k)
-                yield asking[q], found, d
+                yield low, high, asking
 
     def table(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         q, ids, d = (np.concatenate(column) for column in zip(*parts))
@@ -228,27 +341,37 @@ def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType, group_of: np.
             [pa.array(q, pa.int64()), pa.array(ids, id_type), pa.array(d, pa.float64())], ["_q", "_id", "distance"]
         )
 
+    def numbered(numbers: np.ndarray, near: Nearest | None) -> list[tuple[np.ndarray, ...]]:
+        return [] if near is None else [(numbers[q], ids, d) for q, ids, d in near.taken()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
         done: list[tuple[np.ndarray, ...]] = []
-        held, current = 0, None
+        held, current, near = 0, None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 numbers = np.asarray(batch.column(0)[i].values)
-                if in_turn and current != numbers[0]:
-                    current = numbers[0]
-                    if parts:
-                        done.append(_merge(parts, k))
-                        parts, held = [], 0
-                    if sum(len(part[0]) for part in done) > _HELD // 10:
-                        yield table(done)
-                        done = []
                 ids = _id_array(batch.column(2)[i].values)
                 queries, rows = (
                     np.frombuffer(batch.column(c)[i].as_buffer(), np.float64).reshape(-1, dim) for c in (1, 3)
                 )
-                for q, found, d in scored(batch, i, ids, queries, rows):
-                    parts.append((numbers[q], found, d))
+                if in_turn:
+                    if near is None or current[0] != numbers[0]:
+                        done += numbered(current, near)
+                        if sum(len(part[0]) for part in done) > _HELD // 10:
+                            yield table(done)
+                            done = []
+                        current, near = numbers.copy(), Nearest(queries.copy(), metric, k)  # the batch is not kept
+                    for low, high, asking in listed(batch, i, len(queries)):
+                        near.add(ids[low:high], rows[low:high], asking)
+                    if near.held > _HELD:
+                        near.settle()
+                        if near.held > _HELD // 2:
+                            yield table(numbered(current, near))
+                    continue
+                for low, high, asking in listed(batch, i, len(queries)):
+                    q, found, d = best_per_query(ids[low:high], rows[low:high], queries[asking], metric, k)
+                    parts.append((numbers[asking[q]], found, d))
                     held += len(q)
                 if held > _HELD:
                     parts = [_merge(parts, k)]
@@ -258,6 +381,7 @@ def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType, group_of: np.
                         parts, held = [], 0
         if parts:
             done.append(_merge(parts, k))
+        done += numbered(current, near)
         if done:
             yield table(done)
 
@@ -381,7 +505,7 @@ def knn_join(
     more = ({} if group_of is None else {"group_of": group_of}) | ({"in_turn": False} if small else {})
     found = pairs.mapInArrow(pair_topk(dim, metric, k, _arrow_type(id_type), **more), out_schema)
     ranked, steps = found, [["_q"]]  # k rows a query from each slice of its groups
-    if small or group_of is None:
+    if small:  # from every task
         ranked = found.withColumn("_part", F.pmod(F.xxhash64("_id"), F.lit(_PARTS)))
         steps = [["_q", "_part"], ["_q"]]
     for keys in steps:
