@@ -299,3 +299,17 @@ def test_most_rows_are_compared_with_a_bound_only(monkeypatch):
     want = whole(np.arange(4000), rows, queries, "l2", k)
     assert all(np.array_equal(a, b) for a, b in zip(got, want))
     assert sum(scored) <= 500  # the first rows, for a first bound
+
+
+def test_rows_far_from_zero_fall_back_to_double_precision(monkeypatch):
+    rng = np.random.default_rng(8)
+    rows, queries = 1e4 + rng.normal(size=(3000, 8)), 1e4 + rng.normal(size=(50, 8))
+    exact, pairs = knn.score_pairs, []
+    monkeypatch.setattr(knn, "score_pairs", lambda rows, *a: pairs.append(len(rows)) or exact(rows, *a))
+    near = knn.Nearest(queries, "l2", 4)
+    for low in range(0, 3000, 1000):
+        near.add(np.arange(low, low + 1000), rows[low : low + 1000], np.arange(50))
+    got = [np.concatenate(c) for c in zip(*near.taken())]
+    assert sum(pairs) < 50 * 3000 // 4
+    far = np.sqrt(((rows[None] - queries[:, None]) ** 2).sum(axis=2))
+    assert got[1].reshape(50, 4).tolist() == np.argsort(far, axis=1, kind="stable")[:, :4].tolist()

@@ -162,21 +162,20 @@ class Nearest:
                 factors, mine = _factors(rows, self.metric, False), self.factors[asking]
                 error = _single(factors, mine)
                 factors, mine = (factors.astype(np.float32), mine.astype(np.float32)) if error is not None else (factors, mine)
-            if error is None:
+            few = error is not None and self._compare(ids[at : at + size], rows[at : at + size], factors[at : at + size], mine, error, asking)
+            if error is not None and not few:  # one vector may be that of many rows
+                left = at + _smallest_of_equals(ids[at:], rows[at:], self.k)
+                ids, rows, factors, at = ids[left], rows[left], factors[left], 0
+                few = self._compare(ids[:size], rows[:size], factors[:size], mine, error, asking)
+            if not few:  # or single precision tells too little apart
                 q, found, d = best_per_query(ids[at : at + size], rows[at : at + size], queries, self.metric, self.k)
                 self._keep(asking[q], found, d)
-            else:
-                many = self._compare(ids[at : at + size], rows[at : at + size], factors[at : at + size], mine, error, asking)
-                if many:  # one vector may be that of many rows
-                    left = at + _smallest_of_equals(ids[at:], rows[at:], self.k)
-                    ids, rows, factors, at = ids[left], rows[left], factors[left], 0
-                    many = self._compare(ids[:size], rows[:size], factors[:size], mine, error, asking, True)
             at, size = at + size, 2 * size
             if self.held - self.settled > len(self.bound) // 2:
                 self.settle()
 
-    def _compare(self, ids, rows, factors, mine, error, asking, all_of_them: bool = False) -> bool:
-        """Keep the rows within the bounds; or, True and none, where more than a few are, unless ``all_of_them`` are asked for."""
+    def _compare(self, ids, rows, factors, mine, error, asking) -> bool:
+        """Keep the rows within the bounds; or, False and none, where they are more than a few."""
         bound = self.bound[asking]
         scores = {"l2": bound * bound - self.squares[asking], "cosine": bound - 1.0}.get(self.metric, bound)
         with np.errstate(over="ignore"):
@@ -187,8 +186,8 @@ class Nearest:
             hit = np.flatnonzero(near.any(axis=1))  # few rows have any
             r, q = np.nonzero(near[hit])
             r = hit[r]
-            if not all_of_them and len(r) > max(near.size // 16, 8 * self.k * len(asking)):
-                return True
+            if len(r) > max(near.size // 16, 8 * self.k * len(asking)):
+                return False
             for start in range(0, len(r), _PAIRS):
                 some, of = r[start : start + _PAIRS] + low, q[start : start + _PAIRS]
                 d = score_pairs(rows[some], self.queries[asking[of]], self.metric)
@@ -196,7 +195,7 @@ class Nearest:
                 found.append((asking[of[best]], ids[some[best]], d[best]))
         for part in found:
             self._keep(*part)
-        return False
+        return True
 
 
 def _id_array(column: pa.Array) -> np.ndarray:
