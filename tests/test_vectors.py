@@ -301,6 +301,18 @@ def test_most_rows_are_compared_with_a_bound_only(monkeypatch):
     assert sum(scored) <= 500  # the first rows, for a first bound
 
 
+def test_chunks_of_queries_that_begin_alike_are_apart():
+    rng = np.random.default_rng(9)
+    rows, queries = rng.normal(size=(600, 4)), rng.normal(size=(3, 4))
+    def batch(numbers):
+        chunks = [pa.array([list(range(600))]), pa.array([rows.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array([numbers]), pa.array([queries[numbers].tobytes()], pa.binary()), *chunks], ["_numbers", "_asked", "ids", "vectors"])
+    out = list(knn.pair_topk(4, "l2", 2, pa.int64())(batch(n) for n in ([0, 1], [0, 2], [0, 1, 2])))
+    got = {(q, i) for b in out for q, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    q, ids, _ = knn.best_per_query(np.arange(600), rows, queries, "l2", 2)
+    assert got == set(zip(q.tolist(), ids.tolist()))
+
+
 def test_rows_far_from_zero_fall_back_to_double_precision(monkeypatch):
     rng = np.random.default_rng(8)
     rows, queries = 1e4 + rng.normal(size=(3000, 8)), 1e4 + rng.normal(size=(50, 8))

@@ -355,7 +355,7 @@ def pair_topk(dim: int, metric: str, k: int, id_type: pa.DataType, group_of: np.
                     np.frombuffer(batch.column(c)[i].as_buffer(), np.float64).reshape(-1, dim) for c in (1, 3)
                 )
                 if in_turn:
-                    if near is None or current[0] != numbers[0]:
+                    if near is None or not np.array_equal(current, numbers):  # chunks of two groups may begin alike
                         done += numbered(current, near)
                         if sum(len(part[0]) for part in done) > _HELD // 10:
                             yield table(done)
